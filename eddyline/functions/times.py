@@ -39,6 +39,11 @@ def from_micros(us: Column, like: T.DataType) -> Column:
     return F.timestamp_micros(us).cast(like)
 
 
+def interval(us: int) -> Column:
+    """A length of time as a literal to add to a timestamp column."""
+    return F.make_dt_interval(secs=F.lit(us).cast("decimal(20,0)") / SECOND)
+
+
 def column_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddyline.functions.times import bucket, micros, span
+from eddyline.functions.times import bucket, interval, micros, span
 from eddyline.operators.patterns import default_width
 from eddyline.operators.timeline import BUCKET, HOME, overlapping
 
@@ -28,6 +28,7 @@ def interval_join(
     Column names other than ``keys`` must differ.  Time buckets as long as the interval join the
     equality keys, and a right row goes to the (at most two) buckets its partners can be in.  A
     hot key is thereby cut into buckets, and only rows near each other in time are ever compared.
+    Works on two streams when both times carry a watermark.
     """
     low, high = span(before), span(after)
     width = max(low + high, 1)
@@ -36,9 +37,11 @@ def interval_join(
     rights = right.withColumn(
         BUCKET, F.explode(F.sequence(bucket(us - high, width), bucket(us + low, width)))
     )
-    gap = micros(right_ts) - micros(left_ts)
-    over_low = gap >= -low if lower_inclusive else gap > -low
-    under_high = gap <= high if upper_inclusive else gap < high
+    # Written on the columns themselves, so that a stream can tell when to forget a row.
+    earliest = F.col(left_ts) - interval(low)
+    latest = F.col(left_ts) + interval(high)
+    over_low = F.col(right_ts) >= earliest if lower_inclusive else F.col(right_ts) > earliest
+    under_high = F.col(right_ts) <= latest if upper_inclusive else F.col(right_ts) < latest
     joined = lefts.join(rights, [*keys, BUCKET], "inner")
     return joined.where(over_low & under_high).drop(BUCKET)
 

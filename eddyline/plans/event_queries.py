@@ -331,7 +331,7 @@ def pay_receipt_reconcile(spark: SparkSession, folder: str) -> DataFrame:
 
     def first(kind: str, name: str) -> DataFrame:
         rows = _side(spark, folder, kind, name).withColumn(
-            "day", F.to_date(f"{name}_ts")
+            "day", F.unix_date(F.to_date(f"{name}_ts")).cast("long")
         )
         return rows.groupBy("user_id", "day").agg(
             F.min(F.struct(f"{name}_ts", f"{name}_id")).alias("f")

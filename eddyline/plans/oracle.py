@@ -146,9 +146,9 @@ SELECT user_id,
 FROM placed WHERE second OR NOT joins_next"""
 
 _RECONCILE = """WITH
-pays AS (SELECT user_id, CAST(ts AS DATE) AS day, min(ts) AS pay_ts, arg_min(event_id, ts) AS pay_id
+pays AS (SELECT user_id, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS day, min(ts) AS pay_ts, arg_min(event_id, ts) AS pay_id
          FROM events WHERE event_type = 'click' GROUP BY 1, 2),
-receipts AS (SELECT user_id, CAST(ts AS DATE) AS day, min(ts) AS receipt_ts, arg_min(event_id, ts) AS receipt_id
+receipts AS (SELECT user_id, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS day, min(ts) AS receipt_ts, arg_min(event_id, ts) AS receipt_id
              FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)
 SELECT coalesce(p.user_id, r.user_id) AS user_id, coalesce(p.day, r.day) AS day,
        pay_ts, pay_id, receipt_ts, receipt_id,
@@ -226,3 +226,44 @@ WHERE p.event_type = 'click' AND r.event_type = 'purchase'""",
     "pay_receipt_reconcile": _RECONCILE,
     "pay_receipt_reconcile_all": _RECONCILE_ALL,
 }
+
+
+def _watermark(condition: str = "true") -> str:
+    """Where the watermark stands at the end of the input: a tick behind the last row."""
+    return f"""(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 MILLISECOND
+               FROM events WHERE {condition})"""
+
+
+_VIEWED = _watermark("event_type = 'view'")
+_ORDERED = _watermark("event_type IN ('click', 'purchase')")
+
+ORACLE |= {
+    "hot_items_stream": _HOT_ITEMS,
+    "hot_items_closed_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_VIEWED}",
+    "pv_hourly_stream": f"SELECT * FROM ({_PV}) WHERE window_end <= {_VIEWED}",
+    "uv_hourly_stream": f"SELECT * FROM ({ORACLE['uv_hourly_exact']}) WHERE window_end <= {_watermark()}",
+    "pay_receipt_interval_stream": ORACLE["pay_receipt_interval"],
+    "login_fail_window_stream": f"""SELECT * FROM ({_FAIL_WINDOW})
+WHERE first_ts + INTERVAL 6 HOUR < {_watermark()}""",
+    "order_timeout_state_stream": f"SELECT * FROM ({_ORDER_STATE}) WHERE ts <= {_ORDERED}",
+    "order_timeout_pattern_stream": f"""SELECT o.* FROM ({_ORDER_PATTERN}) o
+JOIN events c ON c.event_id = o.create_id LEFT JOIN events p ON p.event_id = o.pay_id
+WHERE CASE WHEN pay_id IS NULL THEN c.ts + INTERVAL 12 HOUR ELSE p.ts END <= {_ORDERED}""",
+    "pay_receipt_reconcile_stream": f"""WITH pairs AS ({_RECONCILE_ALL}),
+nexts AS (SELECT user_id, event_id, event_type, ts,
+                 lead(event_type) OVER w AS next_type, lead(ts) OVER w AS next_ts
+          FROM events WHERE event_type IN ('click', 'purchase')
+          WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_type, event_id))
+SELECT p.user_id, CASE WHEN tag = 'matched' AND receipt_ts < pay_ts THEN receipt_id
+                       ELSE coalesce(CASE WHEN tag <> 'receipt_no_pay' THEN pay_id END, receipt_id) END AS first_id,
+       CASE WHEN tag = 'matched' AND receipt_ts >= pay_ts THEN receipt_id
+            ELSE coalesce(CASE WHEN tag <> 'receipt_no_pay' THEN pay_id END, receipt_id) END AS last_id, tag
+FROM pairs p LEFT JOIN nexts n ON n.event_id = coalesce(p.pay_id, p.receipt_id)
+WHERE CASE WHEN tag = 'matched' THEN greatest(pay_ts, receipt_ts) <= {_ORDERED}
+           -- a lone row is reported when its wait is over or when one of its own side takes over
+           ELSE n.ts + INTERVAL 5 HOUR < {_ORDERED}
+             OR (n.next_type = n.event_type AND n.next_ts <= {_ORDERED}) END""",
+    "click_filter_stream": f"""{_CLICKS} SELECT user_id, ad_id, ts, event_id,
+       CASE WHEN n <= 2 THEN 'pass' ELSE 'warning' END AS tag
+FROM numbered WHERE n <= 3 AND ts <= {_watermark()}""",
+}

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(text: str) -> T.StructType:
+def fields(text: str) -> T.StructType:
+    """A schema from ``"name type, ..."``; needs no session, unlike Spark's own DDL reader."""
     kinds = {"long": T.LongType(), "int": T.IntegerType(), "string": T.StringType()}
-    fields = [part.split() for part in text.split(",")]
-    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in fields])
+    pairs = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in pairs])
 
 
-USER_BEHAVIOR = _schema(
+USER_BEHAVIOR = fields(
     "userId long, itemId long, categoryId int, behavior string, timestamp long"
 )
-AD_CLICK = _schema("userId long, adId long, province string, city string, timestamp long")
-LOGIN = _schema("userId long, ip string, eventType string, timestamp long")
-ORDER = _schema("orderId long, eventType string, txId string, eventTime long")
-RECEIPT = _schema("txId string, payChannel string, timestamp long")
+AD_CLICK = fields("userId long, adId long, province string, city string, timestamp long")
+LOGIN = fields("userId long, ip string, eventType string, timestamp long")
+ORDER = fields("orderId long, eventType string, txId string, eventTime long")
+RECEIPT = fields("txId string, payChannel string, timestamp long")
 
 # Event tables in parquet.
 EVENTS = T.StructType(

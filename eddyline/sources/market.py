@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eddyline.sources.files import ASCENDING
+
 # The behaviors and channels of the marketing events, and rows per second.
 BEHAVIORS = ("CLICK", "DOWNLOAD", "INSTALL", "UNINSTALL")
 CHANNELS = ("app store", "wechat", "weibo", "tieba")
@@ -40,7 +42,7 @@ def market_stream(
     """Random marketing events as they come, with event time now."""
     rate = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
     return rate.select(*_columns(F.col("value"), F.col("timestamp"), seed)).withWatermark(
-        "ts", "0 seconds"
+        "ts", ASCENDING
     )
 
 
