@@ -51,10 +51,10 @@ def column_type(df: DataFrame, name: str) -> T.DataType:
 def bucket(us: Column, width: int) -> Column:
     """Number of the ``width``-long time bucket, rounding down before the epoch too.
 
-    The multiple is taken in whole numbers first: a plain division would round instants just
-    under a bucket's end up into the next one.
+    Whole-number division throughout: a floating one would round instants just under a bucket's
+    end up into the next one.
     """
-    return ((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("long")
+    return F.call_function("div", us - F.pmod(us, F.lit(width)), F.lit(width))
 
 
 def local_day(us: Column) -> Column:

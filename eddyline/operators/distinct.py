@@ -80,7 +80,7 @@ def running_distinct(
         F.col(tie).alias("_tie"),
         F.window(ts, size)["end"].alias("window_end"),
         value.alias("_value"),
-    )
+    ).where("window_end IS NOT NULL AND _ts IS NOT NULL")
     steps = (
         rows.groupBy("window_end", "_value")
         .agg(F.min(F.struct("_ts", "_tie")).alias("_first"))

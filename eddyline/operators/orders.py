@@ -31,8 +31,8 @@ def order_states(
     bound = span(within)
     kind = column_type(df, ts)
     events = (
-        df.withColumn("_paid", F.coalesce(paid, F.lit(False)))
-        .where(F.col("_paid") | created)
+        df.where(created | paid)
+        .withColumn("_paid", F.coalesce(paid, F.lit(False)))
         .select(key, ts, tie, "_paid")
     )
     spread = overlapping(events, ts, default_width(bound), behind=bound, ahead=bound)

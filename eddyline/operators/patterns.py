@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,10 +111,8 @@ def relaxed_sequence(
     width = span(bucket) if bucket else default_width(bound)
     fits = [f"_fit{i}" for i in range(len(steps))]
     base = (
-        df.withColumns(
-            {f: F.coalesce(s.condition, F.lit(False)) for f, s in zip(fits, steps)}
-        )
-        .where(" OR ".join(fits))
+        df.where(reduce(or_, [s.condition for s in steps]))
+        .withColumns({f: F.coalesce(s.condition, F.lit(False)) for f, s in zip(fits, steps)})
         .withColumn("_me", F.struct(*columns, F.col(ts).alias("_ts")))
         .select(*dict.fromkeys([*keys, ts, *tie, *fits, "_me"]))
     )

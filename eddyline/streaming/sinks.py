@@ -6,41 +6,43 @@ failure, so a repeated batch leaves the same rows behind.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.functions.times import bucket, micros, span
 from eddyline.operators.topn import top_n_changes, top_n_per_window
 
 
-@dataclass(frozen=True)
 class WindowCounts:
     """Counts per (window_end, key), of which each batch brings the changed ones.
 
-    Rows are laid out by batch and day of the window, so looking up the windows a batch touched
-    reads the folders of their days only.
+    Looking up the windows a batch touched reads only files whose range of window ends meets the
+    batch's own, which is narrow on a live stream.
     """
 
-    spark: SparkSession
-    path: str
-    key: str
+    def __init__(self, spark: SparkSession, path: str, key: str):
+        self.spark, self.path, self.key = spark, path, key
 
-    def put(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(self.key, "window_end", "cnt", F.to_date("window_end").alias("day"))
-        rows.write.mode("overwrite").partitionBy("day").parquet(
-            f"{self.path}/batch_id={batch_id}"
+    def put(self, batch: DataFrame, batch_id: int) -> tuple | None:
+        """Write a batch; returns the first and last window end in it, if any."""
+        ends = Observation()
+        rows = batch.select(self.key, "window_end", "cnt").observe(
+            ends, F.min("window_end").alias("first"), F.max("window_end").alias("last")
         )
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        return (ends.get["first"], ends.get["last"]) if ends.get.get("first") else None
 
-    def latest(self, upto: int | None = None, touched_by: int | None = None) -> DataFrame:
-        """Newest count of every key, as of a batch; only windows another batch touched if given."""
+    def latest(
+        self, upto: int | None = None, touched_by: int | None = None, ends: tuple | None = None
+    ) -> DataFrame:
+        """Newest count of every key as of a batch, of the windows another batch touched."""
         rows = self.spark.read.option("basePath", self.path).parquet(self.path)
+        if ends is not None:
+            rows = rows.where(F.col("window_end").between(*ends))
         if touched_by is not None:
-            windows = rows.where(F.col("batch_id") == touched_by).select("day", "window_end")
-            rows = rows.join(windows.distinct(), ["day", "window_end"], "left_semi")
+            windows = rows.where(F.col("batch_id") == touched_by).select("window_end")
+            rows = rows.join(windows.distinct(), "window_end", "left_semi")
         if upto is not None:
             rows = rows.where(F.col("batch_id") <= upto)
         return rows.groupBy("window_end", self.key).agg(
@@ -61,12 +63,11 @@ class TopNTable:
         self.counts = WindowCounts(spark, f"{path}/counts", key)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.counts.put(batch, batch_id)
-        try:
-            after = self._ranked(self.counts.latest(batch_id, batch_id))
-            before = self._ranked(self.counts.latest(batch_id - 1, batch_id))
-        except AnalysisException:
-            return  # nothing has been counted yet
+        ends = self.counts.put(batch, batch_id)
+        if ends is None:
+            return
+        after = self._ranked(self.counts.latest(batch_id, batch_id, ends))
+        before = self._ranked(self.counts.latest(batch_id - 1, batch_id, ends))
         top_n_changes(before, after).write.mode("overwrite").parquet(
             f"{self.path}/changes/batch_id={batch_id}"
         )
