@@ -67,32 +67,57 @@ def failure_windows(
         instants.withColumn("_at", F.timestamp_micros("_us")),
         "_at", default_width(bound), behind=bound, ahead=2 * bound,
     ).drop("_at")
-    line = Window.partitionBy(*keys, BUCKET).orderBy("_us")
-    open_for = line.rangeBetween(0, bound)
-    beyond = line.rangeBetween(bound + 1, 2 * bound)
-    fail_us = F.when(F.col("_fails") > 0, F.col("_us"))
-    events = spread.withColumn("_before", F.lag(F.struct("_us", "_passes")).over(line)).withColumn(
+    parts = [*keys, BUCKET]
+    line = Window.partitionBy(*parts).orderBy("_us")
+    failing = F.col("_fails") > 0
+    events = spread.withColumns(
+        {
+            "_before": F.lag(F.struct("_us", "_passes")).over(line),
+            "_fails_upto": F.sum("_fails").over(line),
+            "_passes_upto": F.sum("_passes").over(line),
+        }
+    ).withColumn(
         # A run starts where no failure of the last ``length`` could have left a window open.
         "_starts",
-        (F.col("_fails") > 0)
+        failing
         & (
             F.col("_before").isNull()
             | (F.col("_before")["_passes"] > 0)
             | (F.col("_us") - F.col("_before")["_us"] > bound)
         ),
     )
+    # Every failure gets a second row at the end of the window it would open.  What a window
+    # holds is the difference of two running counts, so a crowded window costs no more than an
+    # empty one.
+    opening = F.col(HOME) & failing
+    end = F.when(opening, F.col("_us") + bound)
+    marked = events.withColumn("_at", F.explode(F.array_compact(F.array("_us", end)))).withColumn(
+        "_ends", F.col("_at") > F.col("_us")
+    )
+    event = lambda column: F.when(~F.col("_ends"), column)
+    upto = (
+        Window.partitionBy(*parts)
+        .orderBy("_at", "_ends")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    after = (
+        Window.partitionBy(*parts)
+        .orderBy(F.desc("_at"), F.desc("_ends"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     failures = (
-        events.withColumns(
+        marked.withColumns(
             {
-                "_n": F.sum("_fails").over(open_for),
-                "_last": F.max(fail_us).over(open_for),
-                "_passed": F.sum("_passes").over(open_for) > 0,
-                "_then": F.min(
-                    F.when(F.col("_fails") > 0, F.struct("_us", "_starts"))
-                ).over(beyond),
+                "_n": F.sum(event(F.col("_fails"))).over(upto) - F.col("_fails_upto") + F.col("_fails"),
+                "_passed": F.sum(event(F.col("_passes"))).over(upto)
+                - F.col("_passes_upto") + F.col("_passes") > 0,
+                "_last": F.max(event(F.when(failing, F.col("_us")))).over(upto),
+                "_then": F.last(
+                    event(F.when(failing, F.struct("_us", "_starts"))), ignorenulls=True
+                ).over(after),
             }
         )
-        .where(F.col(HOME) & (F.col("_fails") > 0))
+        .where(F.col(HOME) & F.col("_ends"))
         .select(
             *keys, "_us", "_starts", "_n", "_last", "_passed",
             F.when(~F.col("_passed") & ~F.col("_then")["_starts"], F.col("_then")["_us"]).alias("_to"),
