@@ -240,6 +240,8 @@ _ORDERED = _watermark("event_type IN ('click', 'purchase')")
 ORACLE |= {
     "hot_items_stream": _HOT_ITEMS,
     "hot_items_closed_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_VIEWED}",
+    "hot_items_sql_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_VIEWED}",
+    "uv_bitmap_stream": ORACLE["uv_hourly_bitmap"],
     "pv_hourly_stream": f"SELECT * FROM ({_PV}) WHERE window_end <= {_VIEWED}",
     "uv_hourly_stream": f"SELECT * FROM ({ORACLE['uv_hourly_exact']}) WHERE window_end <= {_watermark()}",
     "pay_receipt_interval_stream": ORACLE["pay_receipt_interval"],

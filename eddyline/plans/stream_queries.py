@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.functions.times import span
-from eddyline.operators import joins, salting, windows
+from eddyline.operators import distinct, joins, salting, windows
 from eddyline.plans.event_queries import TOP, Query
 from eddyline.session import new_folder
 from eddyline.sources.files import event_stream
@@ -60,6 +60,31 @@ def hot_items_closed_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(rows.drop("batch_id"))
 
 
+def hot_items_sql_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The windowed counts as SQL over a streaming view, ranked as windows close."""
+    path = new_folder(spark, "hot-items-sql")
+    items = _events(spark, folder).withColumn(
+        "item_id", F.get_json_object("props", "$.k").cast("long")
+    )
+    items.createOrReplaceTempView("behavior_stream")
+    counts = queries.sql_window_counts(
+        spark, "behavior_stream", "item_id", "ts", "event_type = 'view'"
+    )
+    table = sinks.ClosedTopN(f"{path}/rows", "item_id", TOP)
+    runs.each_batch(counts, table, f"{path}/checkpoint", "append", "hot_items_sql")
+    rows = spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+    return _plain_times(rows.drop("batch_id"))
+
+
+def uv_bitmap_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Unique visitors from bitmap pieces that every micro-batch brings up to date."""
+    path = new_folder(spark, "uv-bitmap")
+    pieces = queries.bitmap_pieces(_events(spark, folder), "ts", "1 hour", F.col("user_id"))
+    table = sinks.WindowValues(spark, f"{path}/pieces", "piece", "bits")
+    runs.each_batch(pieces, table, f"{path}/checkpoint", "update", "uv_bitmap")
+    return _plain_times(distinct.bitmap_counts(table.latest()))
+
+
 def pv_hourly_stream(spark: SparkSession, folder: str) -> DataFrame:
     counts = salting.salted_counts(
         _of_type(spark, folder, "view"), "ts", "1 hour", salting.salt(["event_id"])
@@ -152,7 +177,8 @@ def click_filter_stream(spark: SparkSession, folder: str) -> DataFrame:
 STREAM: dict[str, Query] = {
     f.__name__: f
     for f in (
-        hot_items_stream, hot_items_closed_stream, pv_hourly_stream, uv_hourly_stream,
+        hot_items_stream, hot_items_closed_stream, hot_items_sql_stream, pv_hourly_stream,
+        uv_hourly_stream, uv_bitmap_stream,
         pay_receipt_interval_stream, login_fail_window_stream, order_timeout_state_stream,
         order_timeout_pattern_stream, pay_receipt_reconcile_stream, click_filter_stream,
     )

@@ -6,9 +6,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eddyline.functions.hashing import bitmap_offset
+
 
 def distinct_per_window(
     stream: DataFrame, ts: str, size: str, column: str, name: str = "uv"
@@ -20,3 +22,29 @@ def distinct_per_window(
     seen = stream.select(F.window(ts, size).alias("w"), column).dropDuplicates(["w", column])
     counts = seen.groupBy("w").agg(F.count(F.lit(1)).alias(name))
     return counts.select(F.col("w.end").alias("window_end"), name)
+
+
+def bitmap_pieces(stream: DataFrame, ts: str, size: str, value: Column) -> DataFrame:
+    """Bitmap pieces per tumbling window, for update mode: changed pieces come out as they fill.
+
+    Kept with ``sinks.WindowValues`` by piece, this gives a unique-visitor count that is brought
+    up to date with every micro-batch.
+    """
+    at = stream.select(ts, bitmap_offset(value).alias("_at"))
+    pieces = at.groupBy(F.window(ts, size).alias("w"), F.bitmap_bucket_number("_at").alias("piece"))
+    bits = pieces.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits"))
+    return bits.select("piece", F.col("w.end").alias("window_end"), "bits")
+
+
+def sql_window_counts(
+    spark: SparkSession, view: str, item: str, ts: str, condition: str
+) -> DataFrame:
+    """Counts per sliding window as SQL text over a streaming view with a watermark on ``ts``.
+
+    Ranking is left to the sink: rank functions are not available on streams.
+    """
+    return spark.sql(f"""
+        SELECT {item}, w.end AS window_end, count({item}) AS cnt
+        FROM (SELECT {item}, window({ts}, '1 hour', '5 minutes') AS w FROM {view} WHERE {condition})
+        GROUP BY {item}, w
+    """)

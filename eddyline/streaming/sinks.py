@@ -14,20 +14,23 @@ from eddyline.functions.times import bucket, micros, span
 from eddyline.operators.topn import top_n_changes, top_n_per_window
 
 
-class WindowCounts:
-    """Counts per (window_end, key), of which each batch brings the changed ones.
+class WindowValues:
+    """One value per (window_end, key), of which each batch brings the changed ones.
 
     Looking up the windows a batch touched reads only files whose range of window ends meets the
     batch's own, which is narrow on a live stream.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str):
-        self.spark, self.path, self.key = spark, path, key
+    def __init__(self, spark: SparkSession, path: str, key: str, value: str = "cnt"):
+        self.spark, self.path, self.key, self.value = spark, path, key, value
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.put(batch, batch_id)
 
     def put(self, batch: DataFrame, batch_id: int) -> tuple | None:
         """Write a batch; returns the first and last window end in it, if any."""
         ends = Observation()
-        rows = batch.select(self.key, "window_end", "cnt").observe(
+        rows = batch.select(self.key, "window_end", self.value).observe(
             ends, F.min("window_end").alias("first"), F.max("window_end").alias("last")
         )
         rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
@@ -36,7 +39,7 @@ class WindowCounts:
     def latest(
         self, upto: int | None = None, touched_by: int | None = None, ends: tuple | None = None
     ) -> DataFrame:
-        """Newest count of every key as of a batch, of the windows another batch touched."""
+        """Newest value of every key as of a batch, of the windows another batch touched."""
         rows = self.spark.read.option("basePath", self.path).parquet(self.path)
         if ends is not None:
             rows = rows.where(F.col("window_end").between(*ends))
@@ -46,7 +49,7 @@ class WindowCounts:
         if upto is not None:
             rows = rows.where(F.col("batch_id") <= upto)
         return rows.groupBy("window_end", self.key).agg(
-            F.max_by("cnt", "batch_id").alias("cnt")
+            F.max_by(self.value, "batch_id").alias(self.value)
         )
 
 
@@ -60,7 +63,7 @@ class TopNTable:
 
     def __init__(self, spark: SparkSession, path: str, key: str, n: int):
         self.spark, self.path, self.key, self.n = spark, path, key, n
-        self.counts = WindowCounts(spark, f"{path}/counts", key)
+        self.counts = WindowValues(spark, f"{path}/counts", key)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         ends = self.counts.put(batch, batch_id)
