@@ -6,10 +6,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.functions.hashing import bitmap_offset
+from eddyline.functions.times import span
+from eddyline.operators.windows import sliding_counts
 
 
 def distinct_per_window(
@@ -48,3 +52,24 @@ def sql_window_counts(
         FROM (SELECT {item}, window({ts}, '1 hour', '5 minutes') AS w FROM {view} WHERE {condition})
         GROUP BY {item}, w
     """)
+
+
+def late_sliding_counts(
+    stream: DataFrame,
+    ts: str,
+    size: str,
+    slide: str,
+    keys: Sequence[str],
+    bound: str,
+    lateness: str,
+) -> DataFrame:
+    """Sliding counts that late rows still correct, for update mode and ``sinks.TopNTable``.
+
+    A window takes rows until the progress of time is ``bound`` plus ``lateness`` past its end;
+    every micro-batch hands on the counts it changed, early and corrected ones alike.  Spark holds
+    rows against the progress before the last micro-batch, so never drops one too early.
+    ``sinks.LateRouter`` with the same figures keeps the rows that come later still.
+    """
+    delay = f"{span(bound) + span(lateness)} microseconds"
+    # Panes would hold a window back until it is complete.
+    return sliding_counts(stream.withWatermark(ts, delay), ts, size, slide, keys, panes=False)
