@@ -237,7 +237,17 @@ def _watermark(condition: str = "true") -> str:
 _VIEWED = _watermark("event_type = 'view'")
 _ORDERED = _watermark("event_type IN ('click', 'purchase')")
 
+
+
+def _seen(name: str, columns: str) -> str:
+    return f"""SELECT {columns} FROM ({ORACLE[name]}) f JOIN events e ON e.event_id = f.last_id
+WHERE e.ts <= {_watermark()}"""
+
+
 ORACLE |= {
+    "login_fail_strict_seq_stream": _seen("login_fail_strict_seq", "f.user_id, first_id, last_id"),
+    "login_fail_strict_seq_global_stream": _seen("login_fail_strict_seq_global", "first_id, last_id"),
+    "fail_runs_stream": _seen("fail_runs", "f.user_id, first_id, last_id"),
     "hot_items_stream": _HOT_ITEMS,
     "hot_items_closed_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_VIEWED}",
     "hot_items_sql_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_VIEWED}",

@@ -108,8 +108,12 @@ def pay_receipt_interval_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(runs.collected(pairs, "pay-receipt"))
 
 
-def _detected(stream: DataFrame, keys, kind, detector, name: str, side=None) -> DataFrame:
-    found = processors.detect(stream, keys, "ts", "event_id", kind, detector, side)
+def _detected(
+    stream: DataFrame, keys, kind, detector, name: str, side=None, bound: str | None = None
+) -> DataFrame:
+    found = processors.detect(
+        stream, keys, "ts", "event_id", kind, detector, side, bound and span(bound)
+    )
     return _plain_times(processors.with_times(runs.collected(found, name)))
 
 
@@ -123,6 +127,28 @@ def login_fail_window_stream(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("user_id", "first_ts", "last_ts", F.col("n").alias("n_fail"))
 
 
+def _failure_runs(spark: SparkSession, folder: str, keys, within: str | None, name: str):
+    failed = (F.col("event_type") == "error").cast("int")
+    run = processors.StrictRun(2, within and span(within))
+    # In order of event_id at equal times, whatever the event.
+    found = _detected(_events(spark, folder), keys, failed, run, name, F.lit(0), within)
+    return found.select(
+        *keys, F.col("first_tie").alias("first_id"), F.col("last_tie").alias("last_id")
+    )
+
+
+def login_fail_strict_seq_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return _failure_runs(spark, folder, ["user_id"], "6 hours", "fail-sequence")
+
+
+def login_fail_strict_seq_global_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return _failure_runs(spark, folder, [], "10 minutes", "fail-sequence-global")
+
+
+def fail_runs_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return _failure_runs(spark, folder, ["user_id"], None, "fail-runs")
+
+
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return _events(spark, folder).where(F.col("event_type").isin("click", "purchase"))
 
@@ -134,7 +160,7 @@ def _paying():
 def order_timeout_state_stream(spark: SparkSession, folder: str) -> DataFrame:
     found = _detected(
         _orders(spark, folder), ["user_id"], _paying(),
-        processors.OrderState(span("12 hours")), "order-state",
+        processors.OrderState(span("12 hours")), "order-state", bound="12 hours",
     )
     return found.select(
         "user_id", F.col("last_ts").alias("ts"), F.col("last_tie").alias("event_id"), "tag"
@@ -144,7 +170,7 @@ def order_timeout_state_stream(spark: SparkSession, folder: str) -> DataFrame:
 def order_timeout_pattern_stream(spark: SparkSession, folder: str) -> DataFrame:
     found = _detected(
         _orders(spark, folder), ["user_id"], _paying(),
-        processors.FollowedBy(span("12 hours")), "order-pattern",
+        processors.FollowedBy(span("12 hours")), "order-pattern", bound="12 hours",
     )
     return found.select(
         "user_id", F.col("first_tie").alias("create_id"), F.col("last_tie").alias("pay_id"), "tag"
@@ -179,7 +205,8 @@ STREAM: dict[str, Query] = {
     for f in (
         hot_items_stream, hot_items_closed_stream, hot_items_sql_stream, pv_hourly_stream,
         uv_hourly_stream, uv_bitmap_stream,
-        pay_receipt_interval_stream, login_fail_window_stream, order_timeout_state_stream,
+        pay_receipt_interval_stream, login_fail_window_stream, login_fail_strict_seq_stream,
+        login_fail_strict_seq_global_stream, fail_runs_stream, order_timeout_state_stream,
         order_timeout_pattern_stream, pay_receipt_reconcile_stream, click_filter_stream,
     )
 }

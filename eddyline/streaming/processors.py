@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from eddyline.functions.times import LOCAL_DAY_OFFSET, micros, span
+from eddyline.functions.times import LOCAL_DAY_OFFSET, bucket, micros, span
+from eddyline.operators.patterns import default_width
+from eddyline.operators.timeline import BUCKET, HOME, overlapping
 from eddyline.schemas import fields
 from eddyline.streaming.runs import use_state_store
 
 DAY = span("1 day")
+FOREVER = 1 << 62
 EVENT = fields("us long, side int, tie long, kind int")
 RESULT = fields("first_us long, last_us long, first_tie long, last_tie long, n long, tag string")
 
@@ -137,6 +140,32 @@ class FollowedBy(Detector):
         return ((starts[1:], ties[1:], len(starts) - 1) if starts[1:] else None), out
 
 
+class StrictRun(Detector):
+    """kind 1 matches, 0 does not.  State: times and ties of the matching rows just before.
+
+    A row that ends a run of ``times`` matching rows, all in less than ``within``, is reported
+    with the run's first row; without a bound the state of a key is never dropped.
+    """
+
+    state = "starts array<bigint>, ties array<bigint>, n long"
+
+    def __init__(self, times: int, within: int | None = None):
+        self.times, self.within = times, within
+
+    def event(self, state, us, tie, kind):
+        if kind == 0:
+            return None, []
+        starts, ties = (list(state[0]), list(state[1])) if state else ([], [])
+        starts, ties = [*starts, us][-self.times :], [*ties, tie][-self.times :]
+        out = []
+        if len(starts) == self.times and (self.within is None or us - starts[0] < self.within):
+            out = [(starts[0], us, ties[0], tie, self.times, "matched")]
+        return (starts[1 - self.times :], ties[1 - self.times :], 0), out
+
+    def deadline(self, state):
+        return FOREVER if self.within is None else state[0][-1] + self.within
+
+
 class Pairing(Detector):
     """kind is the side.  State: waiting row's time, tie and side."""
 
@@ -200,7 +229,8 @@ class InOrder(StatefulProcessor):
             self.kept.clear()
         elif state != before:
             self.kept.update(state)
-            self._call_at(self.detector.deadline(state) + 1)
+            if self.detector.deadline(state) < FOREVER:
+                self._call_at(self.detector.deadline(state) + 1)
         result = Row(*self.columns)
         for row in out:
             yield result(*key, *row)
@@ -224,10 +254,16 @@ def detect(
     kind: Column,
     detector: Detector,
     side: Column | None = None,
+    bound: int | None = None,
 ) -> DataFrame:
     """Run a detector per key; ``ts`` must carry a watermark.  Result: keys and ``RESULT``.
 
     At equal times rows come in order of ``side`` (default: ``kind``), then ``tie``.
+
+    ``bound`` is for detectors whose results depend on no more than that much time around their
+    first row (``StrictRun`` and ``FollowedBy`` within a bound, ``OrderState``).  The state is
+    then kept per key and time bucket, with rows near an edge copied over, so that a hot key, or
+    a whole stream taken as one sequence, is spread over many tasks.
     """
     use_state_store(stream.sparkSession)
     kind = kind.cast("int")
@@ -239,18 +275,21 @@ def detect(
         F.col(tie).cast("long").alias("tie"),
         kind.alias("kind"),
     )
-    key_fields = [f for f in events.schema if f.name in keys]
-    schema = T.StructType(
-        sorted(key_fields, key=lambda f: list(keys).index(f.name))
-        + RESULT.fields
-    )
-    found = events.groupBy(*keys).transformWithState(
+    parts = list(keys)
+    if bound is not None:
+        width = default_width(bound)
+        events = overlapping(events, ts, width, behind=bound, ahead=bound).drop(HOME)
+        parts.append(BUCKET)
+    schema = T.StructType([events.schema[name] for name in parts] + RESULT.fields)
+    found = events.groupBy(*parts).transformWithState(
         statefulProcessor=InOrder(detector, schema.names),
         outputStructType=schema,
         outputMode="append",
         timeMode="eventTime",
     )
-    return found
+    if bound is None:
+        return found
+    return found.where(F.col(BUCKET) == bucket(F.col("first_us"), width)).drop(BUCKET)
 
 
 def with_times(found: DataFrame, first: str = "first_ts", last: str = "last_ts") -> DataFrame:

@@ -59,8 +59,10 @@ def shuffled_batches(seed, count=240, span_s=300, batches=4, disorder=0):
     return events, [arrived[i : i + size] for i in range(0, count, size)]
 
 
-def detected(stream, kind, detector, spark, side=None):
-    found = processors.detect(stream, ["key"], "ts", "tie", kind, detector, side)
+def detected(stream, kind, detector, spark, side=None, bound=None, keys=("key",)):
+    found = processors.detect(stream, keys, "ts", "tie", kind, detector, side, bound)
+    if not keys:
+        return runs.collected(found, "detected").collect()
     return runs.collected(found, "detected").where("key >= 0").collect()
 
 
@@ -84,15 +86,34 @@ def test_order_state(spark, fed, disorder):
     events, batches = shuffled_batches(1, disorder=disorder)
     stream = fed(batches, f"{disorder} seconds" if disorder else "1 millisecond")
     stream = stream.where("kind IN ('create', 'pay', 'flush')")
-    rows = detected(stream, kind_number("create", "pay"), processors.OrderState(us(15)), spark)
+    # With disorder the state is also split by time buckets.
+    bound = us(15) if disorder else None
+    rows = detected(
+        stream, kind_number("create", "pay"), processors.OrderState(us(15)), spark, bound=bound
+    )
     got = sorted((r.key, start(r.last_us), r.last_tie, r.tag) for r in rows)
     assert got == brute.order_states(events, 15)
 
 
+@pytest.mark.parametrize("times, within, keyed", [(2, 3, True), (2, 3, False), (3, None, True)])
+def test_strict_run(spark, fed, times, within, keyed):
+    events, batches = shuffled_batches(8)
+    run = processors.StrictRun(times, within and us(within))
+    rows = detected(
+        fed(batches), (F.col("kind") == "create").cast("int"), run, spark, F.lit(0),
+        within and us(within), ["key"] if keyed else [],
+    )
+    fed_events = [(k if keyed else 0, t, i, kind) for k, t, i, kind in events]
+    want = brute.strict_sequence(fed_events, [lambda v: v == "create"] * times, within)
+    assert sorted((r.first_tie, r.last_tie) for r in rows) == sorted((w[1], w[-1]) for w in want)
+
+
 def test_followed_by(spark, fed):
     events, batches = shuffled_batches(2)
     stream = fed(batches).where("kind IN ('create', 'pay', 'flush')")
-    rows = detected(stream, kind_number("create", "pay"), processors.FollowedBy(us(15)), spark)
+    rows = detected(
+        stream, kind_number("create", "pay"), processors.FollowedBy(us(15)), spark, bound=us(15)
+    )
     got = sorted(((r.key, r.first_tie, r.last_tie, r.tag) for r in rows), key=str)
     tests = [lambda v: v == "create", lambda v: v == "pay"]
     # At equal times the state machine takes creates before payments.
