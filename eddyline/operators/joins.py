@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.functions.times import bucket, interval, micros, span
-from eddyline.operators.patterns import default_width
+from eddyline.operators.patterns import bucket_width
 from eddyline.operators.timeline import BUCKET, HOME, overlapping
 
 
@@ -56,6 +56,7 @@ def reconcile(
     left_tie: str,
     right_tie: str,
     tags: tuple[str, str, str] = ("matched", "pay_no_receipt", "receipt_no_pay"),
+    bucket_size: str | None = None,
 ) -> DataFrame:
     """One-to-one matching of two streams: every row waits ``wait`` for a partner of the other.
 
@@ -73,7 +74,7 @@ def reconcile(
         *key, F.col(ts).alias("_ts"), F.col(tie).alias("_tie"), F.lit(n).alias("_side")
     )
     both = side(left, left_ts, left_tie, 0).unionByName(side(right, right_ts, right_tie, 1))
-    spread = overlapping(both, "_ts", default_width(bound), behind=bound, ahead=bound)
+    spread = overlapping(both, "_ts", bucket_width(bound, bucket_size), behind=bound, ahead=bound)
     parts = [*key, BUCKET]
     line = Window.partitionBy(*parts).orderBy("_ts", "_side", "_tie")
     me = F.struct("_ts", "_side", "_tie")

@@ -8,18 +8,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.functions.times import column_type, from_micros, micros, span
-from eddyline.operators.patterns import default_width
+from eddyline.operators.patterns import bucket_width
 from eddyline.operators.timeline import BUCKET, HOME, home_rows, overlapping
 from eddyline.session import shared_folder
 
 
 def failure_pairs(
-    df: DataFrame, keys: Sequence[str], ts: str, tie: str, failed: Column, within: str
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    tie: str,
+    failed: Column,
+    within: str,
+    bucket: str | None = None,
 ) -> DataFrame:
     """Two failures of a key with no other event between, less than ``within`` apart."""
     bound = span(within)
     base = df.select(*keys, ts, tie, F.coalesce(failed, F.lit(False)).alias("_failed"))
-    spread = overlapping(base, ts, default_width(bound), behind=bound)
+    spread = overlapping(base, ts, bucket_width(bound, bucket), behind=bound)
     line = Window.partitionBy(*keys, BUCKET).orderBy(ts, tie)
     before = F.lag(F.struct(ts, "_failed")).over(line)
     pairs = home_rows(spread.withColumn("_before", before)).where(
@@ -37,6 +43,7 @@ def failure_windows(
     failed: Column,
     length: str,
     at_least: int = 2,
+    bucket: str | None = None,
 ) -> DataFrame:
     """Failures counted in windows that the first failure opens: (keys, first_ts, last_ts, n_fail).
 
@@ -65,7 +72,7 @@ def failure_windows(
     )
     spread = overlapping(
         instants.withColumn("_at", F.timestamp_micros("_us")),
-        "_at", default_width(bound), behind=bound, ahead=2 * bound,
+        "_at", bucket_width(bound, bucket), behind=bound, ahead=2 * bound,
     ).drop("_at")
     parts = [*keys, BUCKET]
     line = Window.partitionBy(*parts).orderBy("_us")

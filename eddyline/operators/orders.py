@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.functions.times import column_type, from_micros, micros, span
-from eddyline.operators.patterns import default_width
+from eddyline.operators.patterns import bucket_width
 from eddyline.operators.timeline import BUCKET, HOME, overlapping
 
 TAGS = ("paid", "create_without_pay", "pay_without_create")
@@ -20,6 +20,7 @@ def order_states(
     created: Column,
     paid: Column,
     within: str,
+    bucket: str | None = None,
 ) -> DataFrame:
     """Every payment and every create that ran out of time, tagged: (key, ts, tie, tag).
 
@@ -35,7 +36,7 @@ def order_states(
         .withColumn("_paid", F.coalesce(paid, F.lit(False)))
         .select(key, ts, tie, "_paid")
     )
-    spread = overlapping(events, ts, default_width(bound), behind=bound, ahead=bound)
+    spread = overlapping(events, ts, bucket_width(bound, bucket), behind=bound, ahead=bound)
     line = Window.partitionBy(key, BUCKET).orderBy(ts, "_paid", tie)
     near = spread.withColumns(
         {

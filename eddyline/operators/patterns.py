@@ -23,9 +23,13 @@ class Step:
     condition: Column
 
 
-def default_width(bound: int) -> int:
-    """Bucket length for a time bound: short enough to split a hot key, with 1/8 copied rows."""
-    return 8 * bound
+def bucket_width(bound: int, asked: str | None = None) -> int:
+    """Bucket length for a time bound, unless one is asked for.
+
+    Eight bounds split a hot key well and copy an eighth of the rows; where one key is so busy
+    that this is too much for a task, a shorter bucket copies more and splits further.
+    """
+    return span(asked) if asked else 8 * bound
 
 
 def strict_sequence(
@@ -52,7 +56,7 @@ def strict_sequence(
     base = df.withColumn("_me", row).select(*needed)
     if within is not None:
         bound = span(within)
-        width = span(bucket) if bucket else default_width(bound)
+        width = bucket_width(bound, bucket)
         spread = overlapping(base, ts, width, ahead=bound)
         line = Window.partitionBy(*keys, BUCKET).orderBy(*order)
         nexts = F.array(*[F.lead("_me", i).over(line) for i in range(1, further + 1)])
@@ -108,7 +112,7 @@ def relaxed_sequence(
     rows of a bucket, and rows of no step are dropped before the shuffle.
     """
     bound = span(within)
-    width = span(bucket) if bucket else default_width(bound)
+    width = bucket_width(bound, bucket)
     fits = [f"_fit{i}" for i in range(len(steps))]
     base = (
         df.where(reduce(or_, [s.condition for s in steps]))

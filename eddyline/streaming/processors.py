@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eddyline.functions.times import LOCAL_DAY_OFFSET, bucket, micros, span
-from eddyline.operators.patterns import default_width
+from eddyline.operators.patterns import bucket_width
 from eddyline.operators.timeline import BUCKET, HOME, overlapping
 from eddyline.schemas import fields
 from eddyline.streaming.runs import use_state_store
@@ -277,7 +277,7 @@ def detect(
     )
     parts = list(keys)
     if bound is not None:
-        width = default_width(bound)
+        width = bucket_width(bound)
         events = overlapping(events, ts, width, behind=bound, ahead=bound).drop(HOME)
         parts.append(BUCKET)
     schema = T.StructType([events.schema[name] for name in parts] + RESULT.fields)
