@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.llm import byte_bpe, token_counts
-from eddyline.llm.tables import table
+from eddyline.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    html_text,
+    licenses,
+    neighbours,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+)
+from eddyline.llm.oracle import ORACLE
+from eddyline.llm.tables import fold, table, training_rows
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,9 +53,104 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation with its repaired role and its piece of the rendered text."""
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return table(spark, sf_dir, "pages").select("page_id", html_text.extract("html").alias("text"))
+
+
+#: Rows that the quality classifier learns from at most, its held-out fold and its threshold.
+QUALITY_ROWS, QUALITY_THRESHOLD = 40_000, 0.3
+
+
+def quality_held_out() -> Column:
+    return fold("doc_id", 5) == 0
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Discriminant:
+    rows = training_rows(docs, labels, "quality", quality_held_out(), QUALITY_ROWS)
+    return quality.fit(
+        rows.select("doc_id", "label", quality.document_statistics("text").alias("statistics"))
+    )
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id",
+        quality_held_out().alias("held_out"),
+        quality.score(quality.document_statistics("text"), model).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every 50th."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+TOXIC_THRESHOLD = 0.7
+
+
+def toxic_held_out() -> Column:
+    return fold("doc_id", 3) == 1
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.fit(training_rows(docs, labels, "toxic", toxic_held_out(), toxicity.MOST_ROWS))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id", toxic_held_out().alias("held_out"), toxicity.score("text", model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_THRESHOLD).cast("int"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document stands in the benchmark."""
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    digest = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
+    return found.withColumn("items_sha256", digest).drop("item_ids")
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license declaration of every document, with its place and its differences in wording."""
+    found = table(spark, sf_dir, "documents").select(
+        "doc_id", F.explode(licenses.license_findings("text")).alias("found")
+    )
+    return found.select("doc_id", "found.*")
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and the near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex("print").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_chat": op2_chat,
+    "op3_html_text": op3_html_text,
+    "op4_quality": op4_quality,
+    "op5_neighbours": op5_neighbours,
     "op6_token_counts": op6_token_counts,
+    "op7_toxicity": op7_toxicity,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_licenses": op9_licenses,
+    "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

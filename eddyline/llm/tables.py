@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eddyline.session import new_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -13,3 +15,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fold(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; 0 for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds, F.lit(0))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, and there for any executor."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def training_labels(labels: DataFrame, label: str, held_out: Column, most: int) -> DataFrame:
+    """``doc_id, label``: distinct 0/1 labels outside the held-out fold, at most about ``most``.
+
+    A hash of the id chooses them, so the same rows are chosen each time.  The result is bounded and
+    may be broadcast.
+    """
+    usable = (
+        labels.select("doc_id", F.col(label).cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out)
+        .distinct()
+    )
+    share = min(1.0, most / max(usable.count(), 1))
+    return usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def training_rows(
+    docs: DataFrame, labels: DataFrame, label: str, held_out: Column, most: int
+) -> DataFrame:
+    """``doc_id, label, text`` of the chosen labelled rows; the documents are not shuffled."""
+    chosen = training_labels(labels, label, held_out, most)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
