@@ -17,7 +17,7 @@ shuffle by term, with the words around each posting instead of the whole documen
 Words are runs of ASCII letters, digits and characters beyond ASCII, with A-Z in lower case.  Null
 and empty texts have no words.  Items without words have no window; an item shorter than a window is
 one window.  Items with null ids or equal texts are items like any other; equal windows of an item
-count once.  Rows of equal doc_id count as one document.
+count once.  Every row of the documents is a document, repeated ids or null ids or not.
 """
 
 from __future__ import annotations
@@ -46,9 +46,17 @@ def words(text: Column | str) -> Column:
 
 
 def positional_index(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_words, terms``: the term at each position, stored in the shared folder."""
-    index = docs.select("doc_id", words("text").alias("terms"))
-    return written(index.select("doc_id", F.size("terms").alias("n_words"), "terms"), "index")
+    """``row, doc_id, text_key, n_words, terms``: the term at each position, stored in the shared
+    folder.  ``row`` numbers the rows, ``text_key`` is a hash of the text.
+    """
+    index = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words("text").alias("terms"))
+    return written(
+        index.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id", "text_key", F.size("terms").alias("n_words"), "terms",
+        ),
+        "index",
+    )
 
 
 def windows(items: DataFrame, length: int = WINDOW) -> DataFrame:
@@ -106,22 +114,22 @@ def rarest_terms(index: DataFrame, phrases: DataFrame, small: bool) -> DataFrame
 
 
 def _postings(index: DataFrame, rarest: DataFrame, small: bool, reach: int) -> DataFrame:
-    """Postings of the rarest terms with their windows: ``doc_id, at, around, before, ...``.
+    """Postings of the rarest terms with their windows: ``row, doc_id, at, around, before, ...``.
 
     ``around`` is what the document has near the posting, ``before`` how much of it is in front.
     """
-    at = index.select("doc_id", "terms", F.posexplode("terms").alias("at", "term"))
+    at = index.select("row", "doc_id", "terms", F.posexplode("terms").alias("at", "term"))
     if small:
         near = at.join(F.broadcast(rarest), "term")
         return near.withColumnRenamed("terms", "around").withColumn("before", F.col("at"))
     before = F.least("at", F.lit(reach))
     around = F.slice("terms", F.col("at") - before + 1, before + reach + 1)
-    cut = at.select("doc_id", "at", "term", around.alias("around"), before.alias("before"))
+    cut = at.select("row", "doc_id", "at", "term", around.alias("around"), before.alias("before"))
     return cut.join(rarest, "term")
 
 
 def phrase_matches(index: DataFrame, items: DataFrame, length: int = WINDOW) -> DataFrame:
-    """``doc_id, item_id, start, n``: each place where a window of an item stands, n words long."""
+    """``row, doc_id, item_id, start, n``: each place where a window of an item stands, n words long."""
     phrases = written(windows(items, length), "phrases")
     small = _small(phrases)
     rarest = rarest_terms(index, phrases, small)
@@ -134,6 +142,7 @@ def phrase_matches(index: DataFrame, items: DataFrame, length: int = WINDOW) ->
     )
     whole = F.slice("around", F.col("start") + 1, F.size("phrase")) == F.col("phrase")
     return both.where(whole).select(
+        "row",
         "doc_id",
         "item_id",
         (F.col("at") - F.col("offset")).alias("start"),
@@ -144,7 +153,7 @@ def phrase_matches(index: DataFrame, items: DataFrame, length: int = WINDOW) ->
 def near_matches(
     index: DataFrame, items: DataFrame, within: int, share: float, length: int = WINDOW
 ) -> DataFrame:
-    """``doc_id, item_id, at, terms``: places where a share of a window's terms is close together.
+    """``row, doc_id, item_id, at, terms``: places where a share of a window's terms is close together.
 
     Around each posting of the window's rarest term, ``within`` words to either side, ``terms`` of
     the window's distinct terms occur, in any order, and they are at least that share of them.
@@ -159,13 +168,13 @@ def near_matches(
     return (
         found.withColumn("terms", terms)
         .where(F.col("terms") >= F.size(F.array_distinct("phrase")) * F.lit(share))
-        .groupBy("doc_id", "item_id", "at")
+        .groupBy("row", "doc_id", "item_id", "at")
         .agg(F.max("terms").alias("terms"))
     )
 
 
 def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, item_ids, contaminated`` for every document.
+    """``doc_id, text_key, n_words, n_hit, n_items, item_ids, contaminated`` for every document.
 
     ``n_hit`` counts words inside any match, ``item_ids`` are the items found, as sorted strings.
     """
@@ -173,20 +182,21 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> Da
     found = written(phrase_matches(index, items, length), "matches")
     last = F.col("start") + F.col("n") - 1
     hit = (
-        found.select("doc_id", "start", "n").distinct()
-        .select("doc_id", F.explode(F.sequence("start", last)).alias("at")).distinct()
-        .groupBy("doc_id").agg(F.count("*").alias("n_hit"))
+        found.select("row", "start", "n").distinct()
+        .select("row", F.explode(F.sequence("start", last)).alias("at")).distinct()
+        .groupBy("row").agg(F.count("*").alias("n_hit"))
     )
     names = F.sort_array(F.collect_list(F.coalesce(F.col("item_id").cast("string"), F.lit("null"))))
     of = (
-        found.select("doc_id", "item_id").distinct()
-        .groupBy("doc_id").agg(F.count("*").alias("n_items"), names.alias("item_ids"))
+        found.select("row", "item_id").distinct()
+        .groupBy("row").agg(F.count("*").alias("n_items"), names.alias("item_ids"))
     )
-    hits = hit.join(of, "doc_id")
-    sizes = index.select("doc_id", F.col("n_words").cast("long").alias("n_words"))
+    hits = hit.join(of, "row")
+    sizes = index.select("row", "doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
-    return sizes.join(hits, "doc_id", "left").select(
+    return sizes.join(hits, "row", "left").select(
         "doc_id",
+        "text_key",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"),

@@ -123,7 +123,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
     digest = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
-    return found.withColumn("items_sha256", digest).drop("item_ids")
+    return found.withColumn("items_sha256", digest).drop("item_ids", "text_key")
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -246,22 +246,23 @@ def _shard_components(prints: DataFrame, tree: ShardTree) -> DataFrame:
 
     def members(shard: pd.DataFrame) -> pd.DataFrame:
         # Smallest doc_id first, so that the root of a component is its smallest node.
-        shard = shard.sort_values(["first_id", "print"], ignore_index=True)
+        shard = shard.sort_values(["first_id", "first_key", "print"], ignore_index=True)
         root = components_in_shard(shard["print"].to_numpy(np.int64).view(np.uint64))
         kept = np.bincount(root, minlength=len(root))[root] > 1
         return pd.DataFrame(
             {
                 "print": shard["print"][kept],
                 "root_id": shard["first_id"].to_numpy()[root][kept],
+                "root_key": shard["first_key"].to_numpy()[root][kept],
                 "root_print": shard["print"].to_numpy()[root][kept],
             }
         )
 
-    routed = prints.select("print", "first_id", F.explode(shards_of("print")).alias("shard"))
+    routed = prints.select("print", "first_id", "first_key", F.explode(shards_of("print")).alias("shard"))
     found = routed.groupBy("shard").applyInPandas(
-        members, "print long, root_id long, root_print long"
+        members, "print long, root_id long, root_key long, root_print long"
     )
-    return found.select("print", F.struct("root_id", "root_print").alias("root"))
+    return found.select("print", F.struct("root_id", "root_key", "root_print").alias("root"))
 
 
 def star_components(links: DataFrame) -> DataFrame:
@@ -293,13 +294,24 @@ def star_components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """``doc_id, print, component_id`` for every row of ``docs`` (``doc_id, text``)."""
-    spark = docs.sparkSession
+    """``doc_id, text_key, print, component_id, first`` for every row of ``docs`` (``doc_id, text``).
+
+    ``text_key`` is a hash of the text.  ``first`` marks the row that stands for its component: the
+    one of the smallest doc_id, then of the smallest key.  Rows that repeat it are marked as well.
+    """
     own = written(
-        docs.select("doc_id", fingerprint("text", shingle_words).alias("print")), "fingerprints"
+        docs.select(
+            "doc_id",
+            F.xxhash64("text").alias("text_key"),
+            fingerprint("text", shingle_words).alias("print"),
+        ),
+        "fingerprints",
+    )
+    own_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
+    first = F.min(F.struct(own_id.alias("first_id"), F.col("text_key").alias("first_key")))
+    prints = written(
+        own.groupBy("print").agg(first.alias("first")).select("print", "first.*"), "prints"
     )
-    first = F.coalesce(F.min(F.col("doc_id").cast("long")), F.lit(_NO_ID))
-    prints = written(own.groupBy("print").agg(first.alias("first_id")), "prints")
     rows = prints.count()
     tree = ShardTree(_bounded_sample(prints, rows), rows, SHARD_ROWS)
     members = written(_shard_components(prints, tree), "shard-components")
@@ -310,13 +322,23 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
 
     placed = members.groupBy("print").agg(F.min("root").alias("node"))
     named = placed.join(labels, "node", "left").select(
-        "print", F.coalesce("label", "node")["root_id"].alias("label_id")
+        "print", F.coalesce("label", "node").alias("root")
     )
-    lookup = prints.join(named, "print", "left").select(
-        "print", F.coalesce("label_id", "first_id").alias("component_id")
+    alone = F.struct(
+        F.col("first_id").alias("root_id"),
+        F.col("first_key").alias("root_key"),
+        F.col("print").alias("root_print"),
     )
+    lookup = prints.join(named, "print", "left").select("print", F.coalesce("root", alone).alias("root"))
     # Written, so that the join below has a plain exchange on both sides, which AQE can split where
     # one fingerprint has a large part of all rows.
-    lookup = written(lookup, "components")
-    real_id = F.when(F.col("component_id") != _NO_ID, F.col("component_id"))
-    return own.join(lookup, "print").select("doc_id", "print", real_id.alias("component_id"))
+    lookup = written(lookup.select("print", "root.*"), "components")
+    real_id = F.when(F.col("root_id") != _NO_ID, F.col("root_id"))
+    is_first = (
+        (own_id == F.col("root_id"))
+        & (F.col("text_key") == F.col("root_key"))
+        & (F.col("print") == F.col("root_print"))
+    )
+    return own.join(lookup, "print").select(
+        "doc_id", "text_key", "print", real_id.alias("component_id"), is_first.alias("first")
+    )
