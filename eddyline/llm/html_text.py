@@ -1,7 +1,8 @@
 """Visible text of HTML pages, laid out as a reader would see it.
 
 A tree is built with the tags that HTML lets authors leave out (ends of paragraphs, list items, table
-cells and rows, options and terms; ends of all that stands inside a closed element).  Hidden parts are
+cells and rows, options and terms; ends of all that stands inside a closed element), and what stands
+between the cells of a table moves in front of it, as in a browser.  Hidden parts are
 left out: scripts, styles, templates, the head, ``hidden`` and ``display:none``, hidden inputs and
 media that show no text.  All other text is emitted: blocks stand on lines of their own with the
 spacing between them, list items behind their mark, preformatted text unchanged, and table cells in
@@ -53,6 +54,8 @@ CLOSES = {
 }
 #: Blocks that end an open paragraph.
 ENDS_PARAGRAPH = BLOCKS - {"body", "html", "li", "dt", "dd", "option", "optgroup", "caption"}
+_TABLE_PARTS = frozenset("tr td th thead tbody tfoot caption colgroup col".split())
+_BETWEEN_CELLS = frozenset("table tr thead tbody tfoot".split())
 #: An end tag does not reach beyond these.
 WALLS = frozenset("table td th caption template".split())
 
@@ -109,10 +112,21 @@ def build(page: str) -> Node:
             tag = open_nodes[k].tag
             if tag in names:
                 drop_from(k)
-            elif tag in bound:
+            if tag in bound:
                 return
             k -= 1
 
+    def place(child: Node | str) -> None:
+        """Into the open node; what may not stand between cells goes in front of their table."""
+        loose = child.strip() if isinstance(child, str) else child.tag not in _TABLE_PARTS
+        if loose and open_nodes[-1].tag in _BETWEEN_CELLS and open_tags["table"] > 0:
+            k = len(open_nodes) - 1
+            while open_nodes[k].tag != "table":
+                k -= 1
+            open_nodes[k - 1].children.insert(-1, child)
+        else:
+            open_nodes[-1].children.append(child)
+
     at, end = 0, len(page)
     while at < end:
         token = _TOKEN.match(page, at)
@@ -121,12 +135,12 @@ def build(page: str) -> Node:
         if tag is None:
             text = token[0]
             if text[0] != "<" or text == "<":
-                open_nodes[-1].children.append(html.unescape(text))
+                place(html.unescape(text))
             continue
         tag = tag.lower()
         if token[1]:
             if tag == "br":
-                open_nodes[-1].children.append(Node("br"))
+                place(Node("br"))
             for k in range(len(open_nodes) - 1, 0, -1) if open_tags[tag] > 0 else ():
                 if open_nodes[k].tag == tag:
                     drop_from(k)
@@ -138,12 +152,14 @@ def build(page: str) -> Node:
             close(*CLOSES[tag])
         if tag in ENDS_PARAGRAPH:
             close({"p"}, WALLS | {"button", "li", "dd", "dt", "div", "blockquote"})
+        if tag == "table" and open_nodes[-1].tag in _BETWEEN_CELLS:
+            close({"table"}, WALLS)  # a table between cells begins after the open one
         if tag in ("td", "th") and open_nodes[-1].tag in ("table", "thead", "tbody", "tfoot"):
             row = Node("tr")
             open_nodes[-1].children.append(row)
             push(row)
         node = Node(tag, _attributes(token[3]) if token[3] else {})
-        open_nodes[-1].children.append(node)
+        place(node)
         if tag in VOID:
             continue
         if tag in RAW:
@@ -304,11 +320,7 @@ def render(root: Node) -> str:
         elif node.tag == "table":
             rows, grid = _rows(node), []
             captions = [c for c in node.children if isinstance(c, Node) and c.tag == "caption"]
-            loose = [
-                c for c in node.children
-                if (isinstance(c, str) and c.strip()) or (isinstance(c, Node) and c.tag not in _TABLE_PARTS)
-            ]
-            work = [("open", c, None) for c in [*captions, *loose]]
+            work = [("open", c, None) for c in captions]
             for row in rows:
                 cells: list = []
                 grid.append(cells)
@@ -352,9 +364,6 @@ def render(root: Node) -> str:
     return out.result()
 
 
-_TABLE_PARTS = frozenset("tr thead tbody tfoot caption colgroup col".split())
-
-
 def page_text(page: str | None) -> str | None:
     return None if page is None else render(build(page))
 

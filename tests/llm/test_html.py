@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from eddyline.llm import html_text
+from eddyline.llm.html_text import page_text
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (None, None),
+        ("", ""),
+        ("plain &amp; &lt;b&gt;", "plain & <b>"),
+        ("<p>a<p>b", "a\n\nb"),
+        ("<div>a</div><div>b <b>c</b>\n d</div>", "a\nb c d"),
+        ("a<br>b<br><br>c", "a\nb\n\nc"),
+        ("<ul><li>a<li>b<ul><li>c</ul></ul>", "- a\n- b\n  - c"),
+        ("<ol start=9><li>a<li>b</ol>", "9. a\n10. b"),
+        ("<table><tr><th>n<th>count<tr><td>long one<td>1</table>", "n        | count\nlong one | 1"),
+        ("<table><td>a<td>b<tr><td colspan=2>wide<td>c</table>", "a | b\nwide  | c"),
+        ("<table><tr><td>x<table><tr><td>in<td>ner</table>y</table>", "x in | ner y"),
+        ("<pre>  a\n   b</pre>after", "  a\n   b\n\nafter"),
+        ("<head><title>t</title></head><body>x<script>var a='</p>'</script>y", "xy"),
+        ("<p hidden>no</p><p style='display: none'>no<b>no</b></p>yes", "yes"),
+        ("<!-- a > b -->x<!doctype html>y", "xy"),
+        ("a < b > c", "a < b > c"),
+        ("</div></p>x</b>", "x"),
+        ("<dl><dt>a<dd>b<dt>c<dd>d</dl>", "a\nb\nc\nd"),
+        ("<select><option>a<option>b</select>", "a\nb"),
+        ("<p>a<div>b</div>c", "a\n\nb\nc"),
+        ("<script>never closed", ""),
+        ("<textarea>a &lt; b</textarea>", "a < b"),
+        ("x<hr>y", "x\n\n---\n\ny"),
+    ],
+)
+def test_layout(page, text):
+    assert page_text(page) == text
+
+
+def test_depth_and_length():
+    assert page_text("<div>" * 100_000 + "x" + "</b>" * 100_000) == "x"
+    assert page_text("<table><tr><td>" * 500 + "x") == "x"
+    assert page_text("<p>word</p>" * 20_000).count("word") == 20_000
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="<>/=\"' abtdrlipu!-&;", max_size=80))
+def test_nothing_breaks_it(page):
+    page_text(page)
+
+
+@settings(max_examples=100, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(
+            "<p> </p> <ul> <li> </ul> <table> <tr> <td> </td> </table> <div> </div> <b> </b> <br>".split()
+        ),
+        max_size=30,
+    )
+)
+def test_all_visible_words_come_out(tags):
+    page = "".join(f"{tag}w{k} " for k, tag in enumerate(tags))
+    out = page_text(page)
+    assert all(f"w{k}" in out for k in range(len(tags)))
+
+
+def test_query(spark):
+    from eddyline.llm.queries import op3_html_text
+
+    rows = {r.page_id: r.text for r in op3_html_text(spark, SMALL).collect()}
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
+    assert rows == {p.page_id: page_text(p.html) for p in pages}
+    none = spark.createDataFrame([(None, "x")], "html string, text string")
+    assert none.select(html_text.extract("html")).collect()[0][0] is None
