@@ -34,6 +34,12 @@ def micros(ts: Column | str) -> Column:
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
 
+def required(column: Column | str, name: str | None = None) -> Column:
+    """The column, or an error where it is null."""
+    name = name or (column if isinstance(column, str) else "a time or key")
+    return F.coalesce(column, F.raise_error(F.lit(f"{name} must not be null")))
+
+
 def from_micros(us: Column, like: T.DataType) -> Column:
     """Microseconds back to the timestamp type of the column they came from."""
     return F.timestamp_micros(us).cast(like)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.functions.hashing import bitmap_offset
-from eddyline.functions.times import bucket, micros, span
+from eddyline.functions.times import bucket, micros, required, span
 from eddyline.operators.timeline import running
 from eddyline.operators.windows import tumbling
 
@@ -80,7 +80,7 @@ def running_distinct(
         F.col(tie).alias("_tie"),
         F.window(ts, size)["end"].alias("window_end"),
         value.alias("_value"),
-    ).where("window_end IS NOT NULL AND _ts IS NOT NULL")
+    ).withColumn("_ts", required("_ts", "event time"))
     steps = (
         rows.groupBy("window_end", "_value")
         .agg(F.min(F.struct("_ts", "_tie")).alias("_first"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.times import bucket, interval, micros, span
 from eddyline.operators.patterns import bucket_width
-from eddyline.operators.timeline import BUCKET, HOME, overlapping
+from eddyline.operators.timeline import BUCKET, HOME, join_summary, overlapping
 
 
 def interval_join(
@@ -106,7 +106,7 @@ def reconcile(
         F.col("_start").isNotNull(), F.col("_row") - F.col("_start")
     ).otherwise(F.col("_row") + F.col("_carry"))
     first_of_pair = F.pmod(position, F.lit(2)) == 0
-    done = placed.join(carried, parts, "left").where(
+    done = join_summary(placed, carried, parts, "left").where(
         ~first_of_pair | ~F.col("_joins_next")
     ).withColumn("_pair", ~first_of_pair)
     pick = lambda n, f: F.when(F.col("_side") == n, F.col(f"_{f}")).when(

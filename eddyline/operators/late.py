@@ -10,15 +10,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.functions.times import bucket, column_type, from_micros, micros, span
+from eddyline.functions.times import bucket, column_type, from_micros, micros, required, span
 from eddyline.operators.timeline import BUCKET, running
 
 SEEN = "_seen_max"
 CLOSED = "_closed"
+#: Length of the slots of arrival time that are ordered on their own; busy streams need shorter ones.
+SLOT = "10 minutes"
 
 
 def with_progress(
-    df: DataFrame, ts: str, arrival: str, tie: str, slot: str = "10 minutes"
+    df: DataFrame, ts: str, arrival: str, tie: str, slot: str = SLOT
 ) -> DataFrame:
     """Add the largest event time (microseconds) among all earlier arrivals.
 
@@ -26,7 +28,10 @@ def with_progress(
     maxima, one row per slot, are put in one order.
     """
     slotted = df.withColumns(
-        {BUCKET: bucket(micros(arrival), span(slot)), "_us": micros(ts)}
+        {
+            BUCKET: bucket(required(micros(arrival), "arrival"), span(slot)),
+            "_us": required(micros(ts), "event time"),
+        }
     )
     return running(
         slotted, [], BUCKET, [F.col(arrival), F.col(tie)], {SEEN: F.col("_us")}, F.max,
@@ -57,6 +62,7 @@ def late_sliding_counts(
     bound: str,
     lateness: str,
     name: str = "cnt",
+    slot: str = SLOT,
 ) -> DataFrame:
     """Final count of every sliding window after corrections by late rows.
 
@@ -67,7 +73,7 @@ def late_sliding_counts(
     width, step = span(size), span(slide)
     kind = column_type(df, ts)
     panes = (
-        with_progress(df.select(*keys, ts, arrival, tie), ts, arrival, tie)
+        with_progress(df.select(*keys, ts, arrival, tie), ts, arrival, tie, slot)
         .select(
             *keys,
             bucket(micros(ts), step).alias("_pane"),
@@ -92,9 +98,10 @@ def late_rows(
     slide: str,
     bound: str,
     lateness: str,
+    slot: str = SLOT,
 ) -> DataFrame:
     """Rows that came after all of their windows had closed for good."""
-    seen = with_progress(df, ts, arrival, tie)
+    seen = with_progress(df, ts, arrival, tie, slot)
     closed = closed_windows(ts, size, slide, span(bound) + span(lateness))
     return seen.where(closed == span(size) // span(slide)).drop(SEEN)
 
@@ -109,11 +116,12 @@ def late_corrections(
     keys: Sequence[str],
     bound: str,
     lateness: str,
+    slot: str = SLOT,
 ) -> DataFrame:
     """Windows that fired again: the count at the first firing and the corrected one."""
     width, step = span(size), span(slide)
     kind = column_type(df, ts)
-    seen = with_progress(df.select(*keys, ts, arrival, tie), ts, arrival, tie)
+    seen = with_progress(df.select(*keys, ts, arrival, tie), ts, arrival, tie, slot)
     panes = (
         seen.select(
             *keys,

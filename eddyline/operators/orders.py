@@ -12,6 +12,11 @@ from eddyline.operators.timeline import BUCKET, HOME, overlapping
 TAGS = ("paid", "create_without_pay", "pay_without_create")
 
 
+def with_transaction(orders: DataFrame, transaction: str = "txId") -> DataFrame:
+    """Order events that name a transaction: payments.  Others would all meet under one empty key."""
+    return orders.where((F.col(transaction).isNotNull()) & (F.col(transaction) != ""))
+
+
 def order_states(
     df: DataFrame,
     key: str,

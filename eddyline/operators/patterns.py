@@ -88,10 +88,11 @@ def loop(
     times: int,
     columns: Sequence[str],
     within: str | None = None,
+    bucket: str | None = None,
 ) -> DataFrame:
     """``times`` rows in a row that fulfil one condition."""
     steps = [Step(f"s{i + 1}", condition) for i in range(times)]
-    return strict_sequence(df, keys, ts, tie, steps, columns, within)
+    return strict_sequence(df, keys, ts, tie, steps, columns, within, bucket)
 
 
 def relaxed_sequence(

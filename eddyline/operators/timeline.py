@@ -10,17 +10,19 @@ an option.  Two tools split a key by time and stay exact:
   is worked on by itself, and one small summary row per (key, slot) carries over what earlier or
   later slots contribute.
 
-Keys and event time must not be null, as in any keyed event-time stream.
+A null key is a key of its own.  A null event time is an error: the row has no place in any order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddyline.functions.times import bucket, micros
+from eddyline.functions.times import bucket, micros, required
 
 BUCKET = "_bucket"
 HOME = "_home"
@@ -34,7 +36,7 @@ def overlapping(
     A bucket then holds every row from its start minus ``behind`` to its end plus ``ahead``, so
     the true neighbour of a home row is present whenever it lies within these bounds.
     """
-    us = micros(ts)
+    us = required(micros(ts), "event time")
     first, last = bucket(us - ahead, width), bucket(us + behind, width)
     return df.withColumn(BUCKET, F.explode(F.sequence(first, last))).withColumn(
         HOME, F.col(BUCKET) == bucket(us, width)
@@ -45,6 +47,13 @@ def home_rows(df: DataFrame) -> DataFrame:
     return df.where(HOME).drop(BUCKET, HOME)
 
 
+def join_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Joins a summary per ``keys``; null keys meet their like, as they do in a window."""
+    renamed = summary.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return df.join(renamed, same, how).drop(*[f"_of_{k}" for k in keys])
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,7 +87,7 @@ def running(
         slot,
         *[how(F.col(f"_slot_{name}")).over(outer).alias(f"_before_{name}") for name in values],
     )
-    joined = local.join(carried, [*keys, slot], "left")
+    joined = join_summary(local, carried, [*keys, slot], "left")
 
     def combine(name: str) -> Column:
         here, before = F.col(name), F.col(f"_before_{name}")
@@ -106,7 +115,7 @@ def following(
     Each slot's first ``count`` rows are all that an earlier slot can need, so only those are
     put in key order.
     """
-    slotted = df.withColumn(BUCKET, bucket(micros(ts), width)).withColumn("_row", row)
+    slotted = df.withColumn(BUCKET, bucket(required(micros(ts), "event time"), width)).withColumn("_row", row)
     inner = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     local = slotted.withColumns(
         {
@@ -130,7 +139,7 @@ def following(
         .where((F.col("_pos") == 1) & F.col("_earlier").isNotNull())
         .select(*keys, F.col("_earlier").alias(BUCKET), "_after")
     )
-    joined = local.join(carried, [*keys, BUCKET], "left")
+    joined = join_summary(local, carried, [*keys, BUCKET], "left")
     all_next = F.when(F.col("_after").isNull(), F.col(name)).otherwise(
         F.slice(F.concat(name, "_after"), 1, count)
     )

@@ -74,17 +74,22 @@ def report(
     )
 
 
-def hot_items_sql_text(view: str, item: str, behavior: str, wanted: str, ts: str, n: int) -> str:
-    """The Top-N question as one Spark SQL statement over a view."""
+def hot_items_sql_text(
+    view: str, item: str, behavior: str, ts: str, size: str, slide: str
+) -> str:
+    """The Top-N question as one Spark SQL statement over a view.
+
+    Its parameters are ``:wanted``, the behavior, and ``:n``.
+    """
     return f"""
         SELECT {item} AS item_id, cnt, window_end, rk FROM (
           SELECT {item}, cnt, window_end,
                  CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, {item}) AS BIGINT) AS rk
           FROM (
             SELECT {item}, w.end AS window_end, count({item}) AS cnt
-            FROM (SELECT {item}, window({ts}, '1 hour', '5 minutes') AS w
-                  FROM {view} WHERE {behavior} = '{wanted}')
+            FROM (SELECT {item}, window({ts}, '{size}', '{slide}') AS w
+                  FROM {view} WHERE {behavior} = :wanted)
             GROUP BY {item}, w
           )
-        ) WHERE rk <= {n}
+        ) WHERE rk <= :n
     """

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eddyline.functions.times import span
+from eddyline.functions.times import bucket, column_type, from_micros, micros, span
 
 
 def tumbling(
@@ -23,6 +23,102 @@ def tumbling(
     return out.withColumn("window_end", F.col("w.end")).drop("w")
 
 
+#: How an aggregate of rows becomes one of panes: what is kept per pane, and how panes add up.
+_MERGED = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+_KEPT = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+
+Aggs = dict[str, tuple[str, Column]]
+
+
+def _kept(aggs: Aggs) -> tuple[dict[str, tuple[str, Column]], dict[str, Column]]:
+    """Partial aggregates by name, and the results as columns over the merged partials.
+
+    An average is the merged sum by the merged count.
+    """
+    partial, result = {}, {}
+    for name, (kind, value) in aggs.items():
+        if kind == "avg":
+            partial[f"_sum_{name}"], partial[f"_n_{name}"] = ("sum", value), ("count", value)
+            result[name] = F.try_divide(f"_sum_{name}", f"_n_{name}")
+        elif kind in _KEPT:
+            partial[name] = (kind, value)
+            result[name] = F.col(name)
+        else:
+            raise ValueError(f"{kind} is none of count, sum, min, max, avg")
+    return partial, result
+
+
+def sliding(
+    df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str], aggs: Aggs
+) -> DataFrame:
+    """Aggregates per sliding window and keys, on a table; adds ``window_end``.
+
+    ``aggs``: name -> (count, sum, min, max or avg, column).  The size must be a multiple of the
+    slide.  Rows are aggregated per slide-long pane first.  A pane then goes to its own stretch of
+    one window's length and to the next, and each stretch spreads its panes over the windows that
+    end in it and adds them up, inside the task: the shuffle after the panes moves two rows per pane
+    and not one per window, however short the slide is.
+    """
+    width, step = span(size), span(slide)
+    if df.isStreaming or width % step:
+        raise ValueError("panes need a table and a size that is a multiple of the slide")
+    partial, result = _kept(aggs)
+    kind = column_type(df, ts)
+    of = width // step
+    panes = df.groupBy(*keys, bucket(micros(ts), step).alias("_pane")).agg(
+        *[_KEPT[how](value).alias(name) for name, (how, value) in partial.items()]
+    )
+    panes = panes.where("_pane IS NOT NULL")
+    # The window numbered w ends with pane w; its panes are w - of + 1 to w.
+    own = bucket(F.col("_pane"), of)
+    there = panes.withColumn("_part", F.explode(F.array(own, own + 1))).repartition(*keys, "_part")
+    first = F.greatest(F.col("_pane"), F.col("_part") * of)
+    last = F.least(F.col("_pane") + (of - 1), F.col("_part") * of + (of - 1))
+    spread = there.where(first <= last).withColumn("_window", F.explode(F.sequence(first, last)))
+    merged = spread.groupBy(*keys, "_part", "_window").agg(
+        *[_MERGED[how](F.col(name)).alias(name) for name, (how, _) in partial.items()]
+    )
+    end = from_micros((F.col("_window") + 1) * step, kind)
+    return merged.select(
+        *keys, end.alias("window_end"), *[c.alias(name) for name, c in result.items()]
+    )
+
+
+def sliding_rows(
+    df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str], aggs: Aggs
+) -> DataFrame:
+    """The same result with every row spread over its windows: for streams and for sparse keys.
+
+    Also for sizes that are no multiple of the slide.  Aggregates are combined map-side.
+    """
+    partial, result = _kept(aggs)
+    rows = df.groupBy(F.window(ts, size, slide).alias("w"), *keys).agg(
+        *[_KEPT[how](value).alias(name) for name, (how, value) in partial.items()]
+    )
+    return rows.select(
+        *keys, F.col("w.end").alias("window_end"), *[c.alias(name) for name, c in result.items()]
+    )
+
+
+def sliding_chained(
+    df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str], aggs: Aggs
+) -> DataFrame:
+    """The same result on a stream in append mode: a window over panes, chained on their own time.
+
+    State holds panes, and windows of panes, instead of every row in every window.
+    """
+    partial, result = _kept(aggs)
+    panes = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(
+        *[_KEPT[how](value).alias(name) for name, (how, value) in partial.items()]
+    )
+    merged = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"), *keys).agg(
+        *[_MERGED[how](F.col(name)).alias(name) for name, (how, _) in partial.items()]
+    )
+    return merged.select(
+        *keys, F.col("w.end").alias("window_end"), *[c.alias(name) for name, c in result.items()]
+    )
+
+
 def sliding_counts(
     df: DataFrame,
     ts: str,
@@ -31,23 +127,7 @@ def sliding_counts(
     keys: Sequence[str],
     counted: Column | None = None,
     name: str = "cnt",
-    panes: bool | None = None,
+    how: Callable[..., DataFrame] = sliding,
 ) -> DataFrame:
-    """Count rows per sliding window and keys; adds ``window_end``.
-
-    With panes (the default when the size is a multiple of the slide) rows are first counted per
-    slide-long pane, and only the pane counts are spread over the windows they belong to.  The
-    spread factor size/slide then applies to (key, pane) pairs rather than to rows.  Works on
-    streams too: the second stage chains on the pane's own event time.
-    """
-    if panes is None:
-        panes = span(size) % span(slide) == 0 and size != slide
-    count = F.count(F.lit(1) if counted is None else counted)
-    if not panes:
-        counts = df.groupBy(F.window(ts, size, slide).alias("w"), *keys).agg(count.alias(name))
-    else:
-        per_pane = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(count.alias("_n"))
-        counts = per_pane.groupBy(
-            F.window(F.window_time("pane"), size, slide).alias("w"), *keys
-        ).agg(F.sum("_n").alias(name))
-    return counts.select(*keys, F.col("w.end").alias("window_end"), name)
+    """Rows per sliding window and keys, by one of the three ways above."""
+    return how(df, ts, size, slide, keys, {name: ("count", F.lit(1) if counted is None else counted)})

@@ -6,6 +6,7 @@ those named next to each query.  ``k`` is the number inside ``props``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from eddyline.functions.hashing import bitmap_offset
 from eddyline.operators import (
     blacklist, distinct, joins, late, logins, orders, patterns, salting, topn, windows,
 )
+from eddyline.operators.orders import with_transaction
 from eddyline.operators.patterns import Step
+from eddyline.session import new_folder
 from eddyline.sources import files, market
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,9 +52,11 @@ def hot_items_topn(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hot_items_sql(spark: SparkSession, folder: str) -> DataFrame:
-    _with_k(_events(spark, folder)).createOrReplaceTempView("behavior_events")
+    view = f"behavior_events_{uuid.uuid4().hex}"
+    _with_k(_events(spark, folder)).createOrReplaceTempView(view)
     return spark.sql(
-        topn.hot_items_sql_text("behavior_events", "k", "event_type", "view", "ts", TOP)
+        topn.hot_items_sql_text(view, "k", "event_type", "ts", "1 hour", "5 minutes"),
+        args={"wanted": "view", "n": TOP},
     )
 
 
@@ -92,7 +97,12 @@ def uv_hourly_bitmap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def uv_hourly_hll(spark: SparkSession, folder: str) -> DataFrame:
-    return distinct.sketch_per_window(_events(spark, folder), "ts", "1 hour", "user_id")
+    """Whether the sketch is within 5 % of the exact count, for every hour."""
+    events = _events(spark, folder)
+    about = distinct.sketch_per_window(events, "ts", "1 hour", "user_id", name="about")
+    exact = distinct.distinct_per_window(events, "ts", "1 hour", "user_id", name="exact")
+    close = F.abs(F.col("about") - F.col("exact")) <= 0.05 * F.col("exact")
+    return about.join(exact, "window_end").select("window_end", close.alias("close"))
 
 
 def uv_running(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,6 +127,18 @@ def hot_urls_topn(spark: SparkSession, folder: str) -> DataFrame:
     return topn.top_n_per_window(counts, TOP, "url")
 
 
+def hot_urls_topn_5s(spark: SparkSession, folder: str) -> DataFrame:
+    """The same every 5 seconds."""
+    counts = windows.sliding_counts(
+        _requests(spark, folder), "ts", "10 minutes", "5 seconds", ["url"]
+    )
+    return topn.top_n_per_window(counts, TOP, "url")
+
+
+def hot_urls_report(spark: SparkSession, folder: str) -> DataFrame:
+    return topn.report(hot_urls_topn(spark, folder), "url", topn.REPORT_LABELS["url"])
+
+
 # Late arrival: ts + (event_id * 7919 % 7200) s; watermark bound 5 min, lateness 30 min.
 _LATE = {"bound": "5 minutes", "lateness": "30 minutes"}
 
@@ -149,8 +171,8 @@ def late_corrections(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def access_log_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Access-log lines written from events and parsed back; GET requests per url and hour."""
+def log_lines(events: DataFrame) -> DataFrame:
+    """Events as lines of an access log."""
     line = F.concat_ws(
         " ",
         F.lit("10.0.0.1"), F.col("user_id").cast("string"), F.lit("-"),
@@ -158,12 +180,83 @@ def access_log_counts(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("event_type") == "click", "GET").otherwise("POST"),
         F.concat(F.lit("/item/"), F.get_json_object("props", "$.k")),
     )
-    log = _events(spark, folder).select(line.alias("value"))
-    parsed = log.select(*files.access_log_columns(F.col("value"))).where("method = 'GET'")
-    counts = windows.tumbling(parsed, "ts", "1 hour", ["url"])
+    return events.select(line.alias("value"))
+
+
+def csv_lines(events: DataFrame, *columns) -> DataFrame:
+    """Columns as comma-separated lines, without a header or quotes."""
+    texts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    return events.select(F.concat_ws(",", *texts).alias("value"))
+
+
+def in_files(lines: DataFrame, name: str) -> str:
+    """The folder that the lines were written to as text files."""
+    path = new_folder(lines.sparkSession, name)
+    lines.write.text(path)
+    return path
+
+
+def _plain_end(counts: DataFrame) -> DataFrame:
     return counts.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
 
 
+def access_log_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Log files written from events and read back; GET requests per url and hour."""
+    path = in_files(log_lines(_events(spark, folder)), "access-log")
+    requests = files.access_log(spark, path).where("method = 'GET'")
+    return _plain_end(windows.tumbling(requests, "ts", "1 hour", ["url"]))
+
+
+def seconds_of(name: str = "ts"):
+    return F.unix_seconds(F.col(name).cast("timestamp"))
+
+
+def behavior_lines(events: DataFrame) -> DataFrame:
+    """Events as lines of the behavior file; the category is the item's last digit."""
+    return csv_lines(
+        _with_k(events), F.col("user_id"), F.col("k"), F.col("k") % 10, F.col("event_type"),
+        seconds_of(),
+    )
+
+
+def behavior_csv_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Behavior files written from events and read back; rows per behavior and hour."""
+    path = in_files(behavior_lines(_events(spark, folder)), "behavior")
+    rows = files.event_csv(spark, path, "user_behavior")
+    return _plain_end(windows.tumbling(rows, "ts", "1 hour", ["behavior"]))
+
+
+def _order_lines(events: DataFrame) -> DataFrame:
+    """Clicks create an order, purchases pay it; every seventh payment lacks its transaction."""
+    paid = (F.col("event_type") == "purchase") & (F.col("event_id") % 7 != 0)
+    tx = F.when(paid, F.concat(F.lit("tx"), F.col("event_id")))
+    kind = F.when(F.col("event_type") == "click", "create").otherwise("pay")
+    orders = events.where(F.col("event_type").isin("click", "purchase"))
+    return csv_lines(orders, F.col("user_id"), kind, tx, seconds_of())
+
+
+def _receipt_lines(events: DataFrame) -> DataFrame:
+    """Two of three payments have a receipt, 5 seconds before to 5 seconds after them."""
+    paid = _with_k(events).where("event_type = 'purchase' AND event_id % 3 <> 0")
+    late = F.col("event_id") % 11 - 5
+    channel = F.concat(F.lit("c"), F.col("k") % 4)
+    return csv_lines(paid, F.concat(F.lit("tx"), F.col("event_id")), channel, seconds_of() + late)
+
+
+def pay_receipt_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Order and receipt files written from events, read back and joined by transaction."""
+    events = _events(spark, folder)
+    orders = files.event_csv(spark, in_files(_order_lines(events), "orders"), "orders")
+    receipts = files.event_csv(spark, in_files(_receipt_lines(events), "receipts"), "receipts")
+    pays = with_transaction(orders).select("txId", F.col("ts").alias("pay_ts"), "orderId")
+    bills = receipts.select("txId", F.col("ts").alias("receipt_ts"), "payChannel")
+    pairs = joins.interval_join(pays, bills, ["txId"], "pay_ts", "receipt_ts", "3 seconds", "5 seconds")
+    return pairs.select(
+        "txId", "orderId", "payChannel",
+        seconds_of("pay_ts").alias("pay_s"), seconds_of("receipt_ts").alias("receipt_s"),
+    )
+
+
 # --- marketing: channel 'c(k%4)' and event type, and ad clicks by province 'p(k%10)'; 1 h / 5 min
 
 
@@ -176,6 +269,31 @@ def channel_behavior_counts(spark: SparkSession, folder: str) -> DataFrame:
     return windows.sliding_counts(events, "ts", "1 hour", "5 minutes", ["channel", "behavior"])
 
 
+def channel_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Number, sum, least, largest and mean k per channel; 1 h / 5 min."""
+    events = _with_k(_events(spark, folder)).withColumn(
+        "channel", F.concat(F.lit("c"), (F.col("k") % 4).cast("string"))
+    )
+    k = F.col("k")
+    return windows.sliding(
+        events, "ts", "1 hour", "5 minutes", ["channel"],
+        {
+            "n": ("count", k), "sum_k": ("sum", k), "min_k": ("min", k), "max_k": ("max", k),
+            "mean_k": ("avg", k),
+        },
+    )
+
+
+def province_peak_5s(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest count of a window of 1 h / 5 s that ends on a day, per province."""
+    events = _with_k(_events(spark, folder)).withColumn(
+        "province", F.concat(F.lit("p"), (F.col("k") % 10).cast("string"))
+    )
+    counts = windows.sliding_counts(events, "ts", "1 hour", "5 seconds", ["province"])
+    day = F.date_format("window_end", "yyyy-MM-dd").alias("day")
+    return counts.groupBy("province", day).agg(F.max("cnt").alias("peak"))
+
+
 def market_source_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Generated marketing events, one per event row, counted per channel and behavior."""
     made = market.market_events(_events(spark, folder), "event_id", "ts")
@@ -349,8 +467,9 @@ BATCH: dict[str, Query] = {
         hot_items_topn, hot_items_sql, hot_items_report,
         pv_hourly, pv_hourly_salted,
         uv_hourly_exact, uv_hourly_records, uv_hourly_bitmap, uv_hourly_hll, uv_running,
-        hot_urls_topn, hot_urls_late, late_rows, late_corrections, access_log_counts,
-        channel_behavior_counts, market_source_counts, ad_clicks_by_province, click_blacklist,
+        hot_urls_topn, hot_urls_topn_5s, hot_urls_report, hot_urls_late, late_rows,
+        late_corrections, access_log_counts, behavior_csv_counts, pay_receipt_csv,
+        channel_behavior_counts, channel_stats, province_peak_5s, market_source_counts, ad_clicks_by_province, click_blacklist,
         login_fail_window, login_fail_pairs, login_fail_alerts,
         login_fail_strict_seq, login_fail_strict_seq_global, fail_runs,
         order_timeout_pattern, order_timeout_state,

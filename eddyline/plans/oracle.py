@@ -20,6 +20,15 @@ def _sliding(source: str, keys: str, size_minutes: int, slide_minutes: int) -> s
       ) GROUP BY {keys}, window_end"""
 
 
+def _sliding_seconds(source: str, keys: str, size: int, slide: int) -> str:
+    return f"""
+      SELECT {keys}, window_end, count(*) AS cnt FROM (
+        SELECT {keys}, time_bucket(INTERVAL {slide} SECOND, ts)
+               + INTERVAL 1 SECOND * ({slide} * (i + 1)) AS window_end
+        FROM {source}, (SELECT unnest(range({size // slide})) AS i)
+      ) GROUP BY {keys}, window_end"""
+
+
 def _top(counts: str, key: str) -> str:
     return f"""
       SELECT {key}, cnt, window_end, rk FROM (
@@ -183,12 +192,37 @@ FROM ({_HOT_ITEMS}) GROUP BY window_end""",
     "uv_hourly_records": f"""{_EV} SELECT {_HOUR_END} AS window_end,
        count(DISTINCT (user_id, k, event_type, ts)) AS uv FROM ev GROUP BY 1""",
     "uv_hourly_bitmap": f"SELECT {_HOUR_END} AS window_end, count(DISTINCT {_OFFSET}) AS uv FROM events GROUP BY 1",
+    "uv_hourly_hll": f"SELECT DISTINCT {_HOUR_END} AS window_end, true AS close FROM events",
     "uv_running": f"""WITH placed AS (SELECT event_id, ts, {_HOUR_END} AS window_end, {_OFFSET} AS h FROM events),
 flagged AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY window_end, h ORDER BY ts, event_id) = 1
                            THEN 1 ELSE 0 END AS first_seen FROM placed)
 SELECT event_id, window_end,
        CAST(sum(first_seen) OVER (PARTITION BY window_end ORDER BY ts, event_id) AS BIGINT) AS uv FROM flagged""",
     "hot_urls_topn": f"{_REQUESTS} {_top(_sliding('gets', 'url', 10, 1), 'url')}",
+    "hot_urls_topn_5s": f"""{_REQUESTS} {_top(_sliding_seconds('gets', 'url', 600, 5), 'url')}""",
+    "hot_urls_report": f"""{_REQUESTS} SELECT window_end,
+       '==============================' || chr(10) || '窗口结束时间：'
+       || strftime(window_end, '%Y-%m-%d %H:%M:%S') || chr(10)
+       || string_agg('TOP ' || rk || ' Url ' || url || ' Url热度=' || cnt, chr(10) ORDER BY rk)
+       || chr(10) || '==============================' AS report
+FROM ({_top(_sliding('gets', 'url', 10, 1), 'url')}) GROUP BY window_end""",
+    "behavior_csv_counts": f"""SELECT event_type AS behavior, {_HOUR_END} AS window_end, count(*) AS cnt
+FROM events GROUP BY 1, 2""",
+    "pay_receipt_csv": """WITH paid AS (
+  SELECT event_id, user_id AS orderId, CAST(floor(epoch(ts)) AS BIGINT) AS s,
+         CAST(json_extract(props, '$.k') AS BIGINT) AS k
+  FROM events WHERE event_type = 'purchase')
+SELECT 'tx' || event_id AS txId, orderId, 'c' || (k % 4) AS payChannel, s AS pay_s,
+       s + event_id % 11 - 5 AS receipt_s
+FROM paid WHERE event_id % 7 <> 0 AND event_id % 3 <> 0 AND event_id % 11 - 5 BETWEEN -3 AND 5""",
+    "channel_stats": f"""{_EV}, m AS (SELECT ts, 'c' || (k % 4) AS channel, k FROM ev)
+SELECT channel, window_end, count(k) AS n, CAST(sum(k) AS BIGINT) AS sum_k, min(k) AS min_k,
+       max(k) AS max_k, avg(k) AS mean_k
+FROM (SELECT channel, k, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 1 MINUTE * (5 * (i + 1)) AS window_end
+      FROM m, (SELECT unnest(range(12)) AS i)) GROUP BY channel, window_end""",
+    "province_peak_5s": f"""{_EV}, m AS (SELECT ts, 'p' || (k % 10) AS province FROM ev)
+SELECT province, strftime(window_end, '%Y-%m-%d') AS day, max(cnt) AS peak
+FROM ({_sliding_seconds('m', 'province', 3600, 5)}) GROUP BY 1, 2""",
     "hot_urls_late": f"""{_ARRIVED}
 {_top("SELECT url, window_end, count(*) AS cnt FROM taken GROUP BY url, window_end", "url")}""",
     "late_rows": f"""{_ARRIVED} SELECT event_id, ts, url FROM seen
@@ -244,6 +278,8 @@ def _seen(name: str, columns: str) -> str:
 WHERE e.ts <= {_watermark()}"""
 
 
+_TAKEN = """(event_id % 50 <> 0 OR ts >= (SELECT max(ts) FROM gets) - INTERVAL 1 DAY)"""
+
 ORACLE |= {
     "login_fail_strict_seq_stream": _seen("login_fail_strict_seq", "f.user_id, first_id, last_id"),
     "login_fail_strict_seq_global_stream": _seen("login_fail_strict_seq_global", "first_id, last_id"),
@@ -251,6 +287,14 @@ ORACLE |= {
     "hot_items_stream": _HOT_ITEMS,
     "hot_items_closed_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_VIEWED}",
     "hot_items_sql_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_VIEWED}",
+    "hot_items_changes_stream": f"SELECT *, CAST(1 AS BIGINT) AS net FROM ({_HOT_ITEMS})",
+    "access_log_stream": f"""SELECT * FROM ({ORACLE['access_log_counts']}) WHERE window_end <=
+  (SELECT date_trunc('second', max(ts)) - INTERVAL 1 MINUTE FROM events)""",
+    "behavior_csv_stream": f"""SELECT * FROM ({ORACLE['behavior_csv_counts']}) WHERE window_end <=
+  (SELECT date_trunc('second', max(ts)) - INTERVAL 2 SECOND FROM events)""",
+    "hot_urls_late_stream": f"""{_REQUESTS}, near AS (SELECT * FROM gets WHERE {_TAKEN})
+{_top(_sliding('near', 'url', 10, 1), 'url')}""",
+    "late_rows_stream": f"{_REQUESTS} SELECT event_id, ts, url FROM gets WHERE NOT ({_TAKEN})",
     "uv_bitmap_stream": ORACLE["uv_hourly_bitmap"],
     "pv_hourly_stream": f"SELECT * FROM ({_PV}) WHERE window_end <= {_VIEWED}",
     "uv_hourly_stream": f"SELECT * FROM ({ORACLE['uv_hourly_exact']}) WHERE window_end <= {_watermark()}",

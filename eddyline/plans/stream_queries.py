@@ -6,14 +6,18 @@ the end of the input are not reported, as on any stream; the SQL they are checke
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.functions.times import span
 from eddyline.operators import distinct, joins, salting, windows
-from eddyline.plans.event_queries import TOP, Query
+from eddyline.plans.event_queries import TOP, Query, behavior_lines, in_files, log_lines
 from eddyline.session import new_folder
-from eddyline.sources.files import event_stream
+from eddyline.sources import files
+from eddyline.sources.files import event_stream, event_table
 from eddyline.streaming import processors, queries, runs, sinks
 
 
@@ -32,11 +36,11 @@ def _plain_times(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
 
 
-def _item_counts(spark: SparkSession, folder: str, panes: bool | None = None) -> DataFrame:
+def _item_counts(spark: SparkSession, folder: str, how: Callable[..., DataFrame]) -> DataFrame:
     items = _of_type(spark, folder, "view").select(
         "ts", F.get_json_object("props", "$.k").cast("long").alias("item_id")
     )
-    return windows.sliding_counts(items, "ts", "1 hour", "5 minutes", ["item_id"], panes=panes)
+    return windows.sliding_counts(items, "ts", "1 hour", "5 minutes", ["item_id"], how=how)
 
 
 def hot_items_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,7 +48,7 @@ def hot_items_stream(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "hot-items")
     table = sinks.TopNTable(spark, path, "item_id", TOP)
     # Update mode shows a window as it fills, which a second chained window could not.
-    counts = _item_counts(spark, folder, panes=False)
+    counts = _item_counts(spark, folder, windows.sliding_rows)
     runs.each_batch(counts, table, f"{path}/checkpoint", "update", "hot_items_stream")
     return _plain_times(table.current())
 
@@ -54,7 +58,8 @@ def hot_items_closed_stream(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "hot-items-closed")
     table = sinks.ClosedTopN(f"{path}/rows", "item_id", TOP)
     runs.each_batch(
-        _item_counts(spark, folder), table, f"{path}/checkpoint", "append", "hot_items_closed"
+        _item_counts(spark, folder, windows.sliding_chained),
+        table, f"{path}/checkpoint", "append", "hot_items_closed",
     )
     rows = spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows")
     return _plain_times(rows.drop("batch_id"))
@@ -66,9 +71,11 @@ def hot_items_sql_stream(spark: SparkSession, folder: str) -> DataFrame:
     items = _events(spark, folder).withColumn(
         "item_id", F.get_json_object("props", "$.k").cast("long")
     )
-    items.createOrReplaceTempView("behavior_stream")
+    # A view of its own name, so that two runs at a time do not share one.
+    view = f"behavior_stream_{uuid.uuid4().hex}"
+    items.createOrReplaceTempView(view)
     counts = queries.sql_window_counts(
-        spark, "behavior_stream", "item_id", "ts", "event_type = 'view'"
+        spark, view, "item_id", "ts", "event_type = 'view'"
     )
     table = sinks.ClosedTopN(f"{path}/rows", "item_id", TOP)
     runs.each_batch(counts, table, f"{path}/checkpoint", "append", "hot_items_sql")
@@ -76,6 +83,99 @@ def hot_items_sql_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(rows.drop("batch_id"))
 
 
+def hot_items_changes_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """What the change rows of the Top-N add up to: additions less removals."""
+    path = new_folder(spark, "hot-item-changes")
+    table = sinks.TopNTable(spark, path, "item_id", TOP)
+    counts = _item_counts(spark, folder, windows.sliding_rows)
+    runs.each_batch(counts, table, f"{path}/checkpoint", "update", "hot_items_changes")
+    net = F.sum(F.when(F.col("op") == "+", 1).otherwise(-1)).alias("net")
+    rows = table.changes().groupBy("item_id", "cnt", "window_end", "rk").agg(net)
+    return _plain_times(rows.where("net <> 0"))
+
+
+def access_log_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Log files as a stream, out of order by up to a minute; GET requests per url and hour."""
+    events = event_table(spark, folder)
+    mixed = events.orderBy(F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") * 7919 % 60)
+    path = in_files(log_lines(mixed), "access-log")
+    requests = files.access_log(spark, path, streaming=True).where("method = 'GET'")
+    counts = windows.tumbling(requests, "ts", "1 hour", ["url"])
+    return _plain_times(runs.collected(counts, "access-log-counts"))
+
+
+def behavior_csv_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Behavior files as a stream with a bound of two seconds; rows per behavior and hour."""
+    path = in_files(behavior_lines(event_table(spark, folder)), "behavior")
+    rows = files.event_csv(spark, path, "user_behavior", streaming=True, delay="2 seconds")
+    counts = windows.tumbling(rows, "ts", "1 hour", ["behavior"])
+    return _plain_times(runs.collected(counts, "behavior-counts"))
+
+
+# Requests arrive up to 25 minutes after their time, but every fiftieth of those more than a day
+# before the last twelve days after it.
+_PARTS = 6
+
+
+def _late_requests(spark: SparkSession, folder: str) -> tuple[DataFrame, list[DataFrame]]:
+    """Requests with their arrival, and the same in parts of equal length of arrival."""
+    k = F.get_json_object("props", "$.k")
+    clicks = event_table(spark, folder).where("event_type = 'click'").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("/item/"), k).alias("url")
+    )
+    end = clicks.agg(F.max("ts")).first()[0]
+    late = (F.col("event_id") % 50 == 0) & (F.col("ts") < F.lit(end) - F.make_dt_interval(F.lit(1)))
+    behind = F.when(late, 12 * 86400).otherwise(F.col("event_id") * 7919 % 1500)
+    rows = clicks.withColumn("arrival", F.unix_seconds("ts") + behind)
+    first, last = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    if first is None:
+        return rows, []
+    step = max(1, -(-(last - first + 1) // _PARTS))
+    part = F.col("arrival").between
+    return rows, [
+        rows.where(part(first + k * step, first + (k + 1) * step - 1)).drop("arrival")
+        for k in range(_PARTS)
+    ]
+
+
+def _as_they_arrive(spark: SparkSession, folder: str, name: str, run) -> None:
+    """Writes part after part and lets the same query work off each: ``run(stream)``."""
+    path = new_folder(spark, name)
+    rows, parts = _late_requests(spark, folder)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        run(spark.readStream.schema(part.schema).parquet(path))
+
+
+_LATE = {"bound": "5 minutes", "lateness": "30 minutes"}
+
+
+def hot_urls_late_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Top-N of what arrives within the lateness, corrected as it does; 10 min / 1 min."""
+    path = new_folder(spark, "hot-urls-late")
+    table = sinks.TopNTable(spark, f"{path}/top", "url", TOP)
+
+    def run(stream: DataFrame) -> None:
+        counts = queries.late_sliding_counts(
+            stream, "ts", "10 minutes", "1 minute", ["url"], **_LATE
+        )
+        runs.each_batch(counts, table, f"{path}/checkpoint", "update", "hot_urls_late")
+
+    _as_they_arrive(spark, folder, "late-requests", run)
+    return _plain_times(table.current())
+
+
+def late_rows_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The requests that come after all their windows have closed."""
+    path = new_folder(spark, "late-rows")
+    router = sinks.LateRouter(spark, path, "ts", "10 minutes", "1 minute", **_LATE)
+    _as_they_arrive(
+        spark, folder, "late-requests",
+        lambda stream: runs.each_batch(stream, router, f"{path}/checkpoint", "append", "late_rows"),
+    )
+    return _plain_times(router.rows("late").select("event_id", "ts", "url"))
+
+
 def uv_bitmap_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Unique visitors from bitmap pieces that every micro-batch brings up to date."""
     path = new_folder(spark, "uv-bitmap")
@@ -114,7 +214,8 @@ def _detected(
     found = processors.detect(
         stream, keys, "ts", "event_id", kind, detector, side, bound and span(bound)
     )
-    return _plain_times(processors.with_times(runs.collected(found, name)))
+    rows = runs.collected(found, name).where(F.coalesce("tag", F.lit("")) != processors.LATE)
+    return _plain_times(processors.with_times(rows))
 
 
 def login_fail_window_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,7 +304,9 @@ def click_filter_stream(spark: SparkSession, folder: str) -> DataFrame:
 STREAM: dict[str, Query] = {
     f.__name__: f
     for f in (
-        hot_items_stream, hot_items_closed_stream, hot_items_sql_stream, pv_hourly_stream,
+        hot_items_stream, hot_items_closed_stream, hot_items_sql_stream, hot_items_changes_stream,
+        access_log_stream, behavior_csv_stream, hot_urls_late_stream, late_rows_stream,
+        pv_hourly_stream,
         uv_hourly_stream, uv_bitmap_stream,
         pay_receipt_interval_stream, login_fail_window_stream, login_fail_strict_seq_stream,
         login_fail_strict_seq_global_stream, fail_runs_stream, order_timeout_state_stream,

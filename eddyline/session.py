@@ -41,12 +41,15 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and state tables: the one the cluster names.
 
-    ``spark.checkpoint.dir`` comes first, then a checkpoint folder already set on the context.  A
-    folder of our own is made only where neither is set, as in local tests.
+    ``spark.checkpoint.dir`` comes first, then a checkpoint folder already set on the context.
+    Where neither is set, a local session gets a folder of its own; on a cluster that would be one
+    machine's disk, so it is an error there.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="eddyline-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline import schemas
+from eddyline.functions.times import required
 
 _TIME_FIELD = {"orders": "eventTime"}
 _SCHEMAS = {
@@ -43,17 +44,25 @@ def event_csv(
     """One of the five event files, with event time ``ts``; a malformed field fails the read.
 
     ``kind``: user_behavior, ad_clicks, logins, orders or receipts.  Streams get a watermark that
-    trails the largest event time by ``delay``.  An empty text field stays an empty text.
+    trails the largest event time by ``delay``.  Fields are what stands between commas, quotes
+    included.  An empty text field stays an empty text; an empty number fails the read, as a row
+    without its time or key would be lost silently further on.
     """
     schema = _SCHEMAS[kind]
     raw = (
         _reader(spark, streaming, options)
         .schema(schema)
         .option("mode", "FAILFAST")
+        .option("quote", "")
         .csv(path)
     )
     texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
-    whole = raw.withColumns({name: F.coalesce(name, F.lit("")) for name in texts})
+    whole = raw.withColumns(
+        {
+            f.name: F.coalesce(f.name, F.lit("")) if f.name in texts else required(f.name)
+            for f in schema
+        }
+    )
     seconds = F.col(_TIME_FIELD.get(kind, "timestamp"))
     return _watermark(whole.withColumn("ts", F.timestamp_seconds(seconds)), streaming, delay)
 

@@ -25,6 +25,8 @@ from eddyline.streaming.runs import use_state_store
 
 DAY = span("1 day")
 FOREVER = 1 << 62
+#: The tag of rows that come behind the watermark; no detector sees them.
+LATE = "late"
 EVENT = fields("us long, side int, tie long, kind int")
 RESULT = fields("first_us long, last_us long, first_tie long, last_tie long, n long, tag string")
 
@@ -201,10 +203,18 @@ class InOrder(StatefulProcessor):
         self.waiting = handle.getListState("waiting", EVENT)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        new = [(r.us, r.side, r.tie, r.kind) for r in rows]
-        self.waiting.appendList(new)
-        self._call_at(min(new)[0])
-        return iter([])
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        result = Row(*self.columns)
+        new = []
+        for r in rows:
+            if r.us <= passed:
+                # The order of the key's rows is settled up to the watermark.
+                yield result(*key, r.us, r.us, r.tie, r.tie, None, LATE)
+            else:
+                new.append((r.us, r.side, r.tie, r.kind))
+        if new:
+            self.waiting.appendList(new)
+            self._call_at(min(new)[0])
 
     def handleExpiredTimer(
         self, key: Any, timerValues: Any, expiredTimerInfo: Any
@@ -255,21 +265,24 @@ def detect(
     detector: Detector,
     side: Column | None = None,
     bound: int | None = None,
+    bucket_size: str | None = None,
 ) -> DataFrame:
     """Run a detector per key; ``ts`` must carry a watermark.  Result: keys and ``RESULT``.
 
+    Rows behind the watermark come out as they are, once, with the tag ``late``.
+
     At equal times rows come in order of ``side`` (default: ``kind``), then ``tie``.
 
     ``bound`` is for detectors whose results depend on no more than that much time around their
     first row (``StrictRun`` and ``FollowedBy`` within a bound, ``OrderState``).  The state is
     then kept per key and time bucket, with rows near an edge copied over, so that a hot key, or
-    a whole stream taken as one sequence, is spread over many tasks.
+    a whole stream taken as one sequence, is spread over many tasks.  ``bucket_size`` is the length
+    of a bucket; a busy key needs shorter ones, at the price of more copies.
     """
     use_state_store(stream.sparkSession)
     kind = kind.cast("int")
     events = stream.select(
         *keys,
-        ts,
         micros(ts).alias("us"),
         (kind if side is None else side.cast("int")).alias("side"),
         F.col(tie).cast("long").alias("tie"),
@@ -277,8 +290,9 @@ def detect(
     )
     parts = list(keys)
     if bound is not None:
-        width = bucket_width(bound)
-        events = overlapping(events, ts, width, behind=bound, ahead=bound).drop(HOME)
+        width = bucket_width(bound, bucket_size)
+        timed = events.withColumn("_at", F.timestamp_micros("us"))
+        events = overlapping(timed, "_at", width, behind=bound, ahead=bound).drop(HOME, "_at")
         parts.append(BUCKET)
     schema = T.StructType([events.schema[name] for name in parts] + RESULT.fields)
     found = events.groupBy(*parts).transformWithState(

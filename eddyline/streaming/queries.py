@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.hashing import bitmap_offset
 from eddyline.functions.times import span
-from eddyline.operators.windows import sliding_counts
+from eddyline.operators.windows import sliding_counts, sliding_rows
 
 
 def distinct_per_window(
@@ -72,4 +72,4 @@ def late_sliding_counts(
     """
     delay = f"{span(bound) + span(lateness)} microseconds"
     # Panes would hold a window back until it is complete.
-    return sliding_counts(stream.withWatermark(ts, delay), ts, size, slide, keys, panes=False)
+    return sliding_counts(stream.withWatermark(ts, delay), ts, size, slide, keys, how=sliding_rows)

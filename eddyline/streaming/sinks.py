@@ -105,8 +105,8 @@ class ClosedTopN:
 class LateRouter:
     """Separates rows that come after all of their windows have closed for good.
 
-    The progress of time (largest event time so far) is kept as one small row per micro-batch.
-    A row is late when its last window's end plus the lateness is not after the progress before
+    The progress of time (largest event time so far) is one value, written anew by every
+    micro-batch and read from the batch before.  A row is late when its last window's end plus the lateness is not after the progress before
     its batch minus the disorder bound.
     """
 
@@ -119,12 +119,12 @@ class LateRouter:
 
     def _progress_before(self, batch_id: int) -> int | None:
         try:
-            seen = self.spark.read.schema("us long, batch_id long").option(
-                "basePath", f"{self.path}/progress"
-            ).parquet(f"{self.path}/progress")
+            seen = self.spark.read.schema("us long").parquet(
+                f"{self.path}/progress/batch_id={batch_id - 1}"
+            )
         except AnalysisException:
             return None
-        return seen.where(F.col("batch_id") < batch_id).agg(F.max("us")).first()[0]
+        return seen.first()["us"]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         before = self._progress_before(batch_id)
@@ -139,9 +139,11 @@ class LateRouter:
             .partitionBy("tag")
             .parquet(f"{self.path}/rows/batch_id={batch_id}")
         )
-        self.spark.range(1).select(F.lit(seen.get["us"]).cast("long").alias("us")).write.mode(
-            "overwrite"
-        ).parquet(f"{self.path}/progress/batch_id={batch_id}")
+        known = [us for us in (before, seen.get.get("us")) if us is not None]
+        progress = F.lit(max(known, default=None)).cast("long")
+        self.spark.range(1).select(progress.alias("us")).write.mode("overwrite").parquet(
+            f"{self.path}/progress/batch_id={batch_id}"
+        )
 
     def rows(self, tag: str) -> DataFrame:
         path = f"{self.path}/rows"

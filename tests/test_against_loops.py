@@ -214,3 +214,22 @@ def test_following_over_empty_slots(spark):
     )
     nexts = {r.tie: [n.tie for n in r["_next"]] for r in got.collect()}
     assert nexts == {i: list(range(i + 1, min(i + 4, 7))) for i in range(7)}
+
+
+def test_null_keys_and_times(spark):
+    side = lambda rows, name: spark.createDataFrame(
+        rows, f"key long, {name}_ts timestamp_ntz, {name}_id long"
+    )
+    # A pay 2 s before its receipt, over the edge of a bucket of 40 s, both without a key.
+    edge = 40 * 1000
+    left, right = side([(None, at(edge - 1), 1)], "pay"), side([(None, at(edge + 1), 2)], "receipt")
+    for bucket in ("40 seconds", "10 seconds", "1 second"):
+        got = joins.reconcile(
+            left, right, ["key"], "pay_ts", "receipt_ts", "5 seconds", "pay_id", "receipt_id",
+            bucket_size=bucket,
+        )
+        assert [(r.pay_id, r.receipt_id, r.tag) for r in got.collect()] == [(1, 2, "matched")]
+    rows = spark.createDataFrame([(1, None, 1, "create")], "key long, ts timestamp_ntz, tie long, kind string")
+    created = F.col("kind") == "create"
+    with pytest.raises(Exception, match="must not be null"):
+        orders.order_states(rows, "key", "ts", "tie", created, ~created, "1 hour").collect()

@@ -69,3 +69,12 @@ def test_bounded_sequences_take_one_shuffle(spark, name):
     physical = text[text.index("== Physical Plan ==") :]
     assert physical.count("Exchange hashpartitioning") == 1
     assert "_bucket" in re.search(r"Exchange hashpartitioning\(([^)]*)\)", physical).group(1)
+
+
+@pytest.mark.parametrize("name", ["channel_behavior_counts", "channel_stats"])
+def test_one_shuffle_after_the_panes(spark, name):
+    text = plan(spark, name)
+    physical = text[text.index("== Physical Plan ==") :]
+    assert physical.count("Exchange hashpartitioning") == 2
+    # The panes move by key and stretch; the windows are made behind that.
+    assert re.search(r"Exchange hashpartitioning\([^)]*_part[^)]*\), REPARTITION_BY_COL", physical)

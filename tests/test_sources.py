@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.hashing import bitmap_offset
 from eddyline.functions.times import bucket, local_day, span
+from eddyline.operators import orders
+from eddyline.session import shared_folder
 from eddyline.sources import files, market
 
 
@@ -83,3 +85,36 @@ def test_local_day_changes_at_sixteen_utc(spark):
 def test_bitmap_offset(spark):
     value = spark.range(1).select(bitmap_offset(F.lit(543462))).first()[0]
     assert value == 493197308
+
+
+@pytest.mark.parametrize("line", ["1,a,success,", ",a,success,5"])
+def test_empty_number_fails(spark, tmp_path, line):
+    rows = files.event_csv(spark, write(tmp_path / "in.csv", line), "logins")
+    with pytest.raises(Exception, match="must not be null"):
+        rows.collect()
+
+
+def test_quotes_are_text(spark, tmp_path):
+    path = write(tmp_path / "in.csv", '1,"a",success,5', '2,"a,success,5', "3,b,success,5")
+    rows = files.event_csv(spark, path, "logins").orderBy("userId").collect()
+    assert [r.ip for r in rows] == ['"a"', '"a', "b"]
+
+
+def test_orders_with_a_transaction(spark):
+    rows = spark.createDataFrame([("a",), ("",), (None,)], "txId string")
+    assert [r.txId for r in orders.with_transaction(rows).collect()] == ["a"]
+
+
+def test_no_folder_of_one_machine_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())

@@ -164,7 +164,7 @@ def test_click_limit(spark, fed):
 def test_windows_agree_with_batch(spark, fed):
     events, batches = shuffled_batches(6, disorder=5)
     stream = fed(batches, "5 seconds")
-    sliding = windows.sliding_counts(stream, "ts", "60 seconds", "10 seconds", ["key"])
+    sliding = windows.sliding_counts(stream, "ts", "60 seconds", "10 seconds", ["key"], how=windows.sliding_chained)
     got = runs.collected(sliding, "sliding").where("key >= 0").collect()
     want = Counter()
     for key, t, _, _ in events:
@@ -206,7 +206,7 @@ def test_top_n_is_corrected_and_changes_add_up(spark, fed, tmp_path):
         [(3, 70, 6, "v")],
     ]
     stream = fed(batches, "30 seconds", flush=False)
-    counts = windows.sliding_counts(stream, "ts", "1 minute", "1 minute", ["key"], panes=False)
+    counts = windows.sliding_counts(stream, "ts", "1 minute", "1 minute", ["key"], how=windows.sliding_rows)
     table = sinks.TopNTable(spark, str(tmp_path / "top"), "key", 2)
     runs.each_batch(counts, table, str(tmp_path / "checkpoint"), "update")
     current = sorted((secs(r.window_end), r.rk, r.key, r.cnt) for r in table.current().collect())
@@ -227,7 +227,7 @@ def test_top_n_is_corrected_and_changes_add_up(spark, fed, tmp_path):
 
 def test_closed_top_n(spark, fed, tmp_path):
     batches = [[(1, 1, 0, "v"), (1, 2, 1, "v"), (2, 3, 2, "v"), (3, 4, 3, "v")], [(2, 65, 4, "v")]]
-    counts = windows.sliding_counts(fed(batches), "ts", "1 minute", "30 seconds", ["key"])
+    counts = windows.sliding_counts(fed(batches), "ts", "1 minute", "30 seconds", ["key"], how=windows.sliding_chained)
     table = sinks.ClosedTopN(str(tmp_path / "rows"), "key", 1)
     runs.each_batch(counts, table, str(tmp_path / "checkpoint"), "append")
     rows = spark.read.parquet(str(tmp_path / "rows")).where("key >= 0").collect()
@@ -317,3 +317,14 @@ def test_generated_stream_and_console(spark, tmp_path):
     # The JVM prints by itself; what can be seen from here is that the row went to the console.
     assert query.exception() is None
     assert sum(p["numInputRows"] for p in query.recentProgress) == 1
+
+
+@pytest.mark.parametrize("bound", [None, 20_000_000])
+def test_late_rows_of_a_detector_are_tagged(spark, fed, bound):
+    batches = [[(1, 10, 0, "create")], [(1, 100, 1, "create")], [(1, 5, 2, "pay"), (1, 101, 3, "pay")]]
+    found = processors.detect(
+        fed(batches, "1 second", flush=False), ["key"], "ts", "tie", F.col("kind") == "pay",
+        processors.OrderState(20_000_000), bound=bound,
+    )
+    rows = runs.collected(found, "late-tags").collect()
+    assert [(r.first_tie, r.last_tie) for r in rows if r.tag == processors.LATE] == [(2, 2)]

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+
+import pytest
 from collections import Counter, defaultdict
 
 from conftest import at, secs, stream_rows
@@ -28,8 +30,8 @@ def test_panes_equal_direct_windows(spark):
     for key, t, _ in rows:
         for i in range(120):
             want[(key, t // 5 * 5 + 5 * (i + 1))] += 1
-    for panes in (True, False):
-        got = windows.sliding_counts(df, "ts", "10 minutes", "5 seconds", ["key"], panes=panes)
+    for how in (windows.sliding, windows.sliding_rows):
+        got = windows.sliding_counts(df, "ts", "10 minutes", "5 seconds", ["key"], how=how)
         assert {(r.key, secs(r.window_end)): r.cnt for r in got.collect()} == want
 
 
@@ -84,3 +86,32 @@ def test_split_and_written_tags(spark, tmp_path):
     assert sorted(r.x for r in parts["a"].collect()) == [1, 3]
     tags.write_by_tag(df, str(tmp_path / "out"))
     assert [r.x for r in spark.read.parquet(str(tmp_path / "out" / "tag=b")).collect()] == [2]
+
+
+def test_aggregates_over_panes(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice("ab"), at(rng.randrange(-500, 500)), rng.choice([None, 1, 2, 5])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, v int")
+    v = F.col("v")
+    aggs = {k: (k, v) for k in ("count", "sum", "min", "max", "avg")}
+    args = (df, "ts", "2 minutes", "10 seconds", ["key"], aggs)
+    got = {(r.key, r.window_end): tuple(r)[2:] for r in windows.sliding(*args).collect()}
+    assert got == {(r.key, r.window_end): tuple(r)[2:] for r in windows.sliding_rows(*args).collect()}
+    want = {}
+    for key, ts, value in rows:
+        start = int((ts - at(0)).total_seconds() // 10 * 10)
+        for end in range(start + 10, start + 130, 10):
+            want.setdefault((key, at(end)), []).append(value)
+    assert got.keys() == want.keys()
+    for k, values in want.items():
+        real = [x for x in values if x is not None]
+        mean = sum(real) / len(real) if real else None
+        assert got[k] == (len(real), sum(real) if real else None, min(real, default=None), max(real, default=None), mean)
+
+
+def test_panes_want_a_multiple(spark):
+    df = spark.createDataFrame([(at(1),)], "ts timestamp_ntz")
+    with pytest.raises(ValueError):
+        windows.sliding_counts(df, "ts", "1 minute", "7 seconds", [])
+    got = windows.sliding_counts(df, "ts", "1 minute", "7 seconds", [], how=windows.sliding_rows)
+    assert got.count() in (8, 9)
