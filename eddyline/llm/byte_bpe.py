@@ -85,7 +85,7 @@ class Codec:
         self.bytes_of = {
             k: bytes(byte_of[c] for c in self.tokenizer.id_to_token(k)) for k in range(size)
         }
-        self.packed = Kept(self._pack)
+        self.packed = Kept(self._pack, 500_000)
 
     def _pack(self, unit: str) -> bytes:
         return np.array(self.tokenizer.encode(unit).ids, "<u4").tobytes()
@@ -118,14 +118,18 @@ def codec(vocabulary: str, pattern: str) -> Codec:
 
 
 def encode(text: Column | str, vocabulary: str, pattern: str) -> Column:
-    """Packed ids of ``text``; ``vocabulary`` is a rank file that every executor can read."""
+    """Packed ids of ``text``; ``vocabulary`` is a rank file that every executor can read.
+
+    Marked as not deterministic, which it is, so that Spark does not put it into each expression that
+    uses the ids and encode the text again for every one of them.
+    """
 
     @F.arrow_udf("binary")
     def encoded(texts: pa.Array) -> pa.Array:
         one = codec(vocabulary, pattern)
         return pa.array(one.encode(texts.to_pylist()), pa.binary())
 
-    return encoded(text)
+    return encoded.asNondeterministic()(text)
 
 
 def encode_with_offsets(text: Column | str, vocabulary: str, pattern: str) -> Column:
