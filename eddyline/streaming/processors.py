@@ -27,7 +27,18 @@ DAY = span("1 day")
 FOREVER = 1 << 62
 #: The tag of rows that come behind the watermark; no detector sees them.
 LATE = "late"
-EVENT = fields("us long, side int, tie long, kind int")
+#: The rows of a slot, a column each.
+SLOT_ROWS = T.StructType(
+    [
+        T.StructField(name, T.ArrayType(kind))
+        for name, kind in (
+            ("us", T.LongType()),
+            ("side", T.IntegerType()),
+            ("tie", T.LongType()),
+            ("kind", T.IntegerType()),
+        )
+    ]
+)
 RESULT = fields("first_us long, last_us long, first_tie long, last_tie long, n long, tag string")
 
 # Sent to the Python workers with their code: the worker that prepares a stateful stream on the
@@ -192,59 +203,82 @@ class Pairing(Detector):
 
 
 class InOrder(StatefulProcessor):
-    """Runs a detector over one key's rows in event-time order."""
+    """Runs a detector over one key's rows in event-time order.
 
-    def __init__(self, detector: Detector, columns: Sequence[str]):
-        self.detector, self.columns = detector, list(columns)
+    Rows wait in slots of event time, so a timer reads the slots that are due and no others, and new
+    rows touch their own slots only.  A key has one timer at a time: an earlier one replaces it.
+    """
+
+    def __init__(self, detector: Detector, columns: Sequence[str], slot: int):
+        self.detector, self.columns, self.slot = detector, list(columns), slot
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.kept = handle.getValueState("kept", self.detector.state)
-        self.waiting = handle.getListState("waiting", EVENT)
+        self.waiting = handle.getMapState("waiting", fields("slot long"), SLOT_ROWS)
+        self.timer = handle.getValueState("timer", fields("at long"))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         result = Row(*self.columns)
-        new = []
+        new: dict[int, list[tuple]] = {}
         for r in rows:
             if r.us <= passed:
                 # The order of the key's rows is settled up to the watermark.
                 yield result(*key, r.us, r.us, r.tie, r.tie, None, LATE)
             else:
-                new.append((r.us, r.side, r.tie, r.kind))
+                new.setdefault(r.us // self.slot, []).append((r.us, r.side, r.tie, r.kind))
+        for slot, events in new.items():
+            held = self._rows(slot) if self.waiting.containsKey((slot,)) else []
+            self._hold(slot, held + events)
         if new:
-            self.waiting.appendList(new)
-            self._call_at(min(new)[0])
+            self._call_at(min(min(events)[0] for events in new.values()))
 
     def handleExpiredTimer(
         self, key: Any, timerValues: Any, expiredTimerInfo: Any
     ) -> Iterator[Row]:
+        self.timer.clear()
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
-        due = [r for r in held if r[0] <= passed]
+        slots = sorted(slot for (slot,) in self.waiting.keys())
         state = tuple(self.kept.get()) if self.kept.exists() else None
         before = state
         out: list[Output] = []
-        for us, _, tie, kind in due:
-            state = self._expire(state, us, out)
-            state, more = self.detector.event(state, us, tie, kind)
-            out += more
-        state = self._expire(state, passed, out)
-        if due:
-            rest = held[len(due):]
-            self.waiting.put(rest) if rest else self.waiting.clear()
+        following = None
+        for slot in slots:
+            if slot * self.slot > passed:
+                following = slot * self.slot
+                break
+            held = sorted(self._rows(slot))
+            rest = [r for r in held if r[0] > passed]
+            for us, _, tie, kind in held[: len(held) - len(rest)]:
+                state = self._expire(state, us, out)
+                state, more = self.detector.event(state, us, tie, kind)
+                out += more
             if rest:
-                self._call_at(rest[0][0])
+                self._hold(slot, rest)
+                following = rest[0][0]
+                break
+            self.waiting.removeKey((slot,))
+        state = self._expire(state, passed, out)
+        if following is not None:
+            self._call_at(following)
         if state is None:
             self.kept.clear()
-        elif state != before:
-            self.kept.update(state)
+        else:
+            if state != before:
+                self.kept.update(state)
             if self.detector.deadline(state) < FOREVER:
                 self._call_at(self.detector.deadline(state) + 1)
         result = Row(*self.columns)
         for row in out:
             yield result(*key, *row)
 
+    def _rows(self, slot: int) -> list[tuple]:
+        return list(zip(*self.waiting.getValue((slot,)), strict=True))
+
+    def _hold(self, slot: int, rows: list[tuple]) -> None:
+        self.waiting.updateValue((slot,), tuple(map(list, zip(*rows, strict=True))))
+
     def _expire(self, state: State, now: int, out: list[Output]) -> State:
         """Let a deadline before ``now`` take effect."""
         while state is not None and self.detector.deadline(state) < now:
@@ -253,7 +287,14 @@ class InOrder(StatefulProcessor):
         return state
 
     def _call_at(self, us: int) -> None:
-        self.handle.registerTimer(-(-us // 1000))
+        at = -(-us // 1000)
+        if self.timer.exists():
+            (known,) = self.timer.get()
+            if known <= at:
+                return
+            self.handle.deleteTimer(known)
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
 
 
 def detect(
@@ -266,11 +307,14 @@ def detect(
     side: Column | None = None,
     bound: int | None = None,
     bucket_size: str | None = None,
+    slot: str = "1 minute",
 ) -> DataFrame:
     """Run a detector per key; ``ts`` must carry a watermark.  Result: keys and ``RESULT``.
 
     Rows behind the watermark come out as they are, once, with the tag ``late``.
 
+    Rows wait for the watermark in slots of event time of length ``slot``.
+
     At equal times rows come in order of ``side`` (default: ``kind``), then ``tie``.
 
     ``bound`` is for detectors whose results depend on no more than that much time around their
@@ -296,7 +340,7 @@ def detect(
         parts.append(BUCKET)
     schema = T.StructType([events.schema[name] for name in parts] + RESULT.fields)
     found = events.groupBy(*parts).transformWithState(
-        statefulProcessor=InOrder(detector, schema.names),
+        statefulProcessor=InOrder(detector, schema.names, span(slot)),
         outputStructType=schema,
         outputMode="append",
         timeMode="eventTime",

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import brute
 import pytest
 from conftest import at, secs, stream_rows
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from eddyline.functions.times import span
@@ -328,3 +329,77 @@ def test_late_rows_of_a_detector_are_tagged(spark, fed, bound):
     )
     rows = runs.collected(found, "late-tags").collect()
     assert [(r.first_tie, r.last_tie) for r in rows if r.tag == processors.LATE] == [(2, 2)]
+
+
+class FakeState:
+    """Value, map and timer state of one key, with the rows read counted."""
+
+    def __init__(self):
+        self.value, self.slots, self.timers, self.read = None, {}, set(), 0
+
+    def getValueState(self, name, schema):
+        return FakeState()
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def containsKey(self, slot):
+        return slot in self.slots
+
+    def getValue(self, slot):
+        self.read += len(self.slots[slot][0])
+        return self.slots[slot]
+
+    def updateValue(self, slot, rows):
+        self.slots[slot] = rows
+
+    def removeKey(self, slot):
+        del self.slots[slot]
+
+    def keys(self):
+        return iter(list(self.slots))
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_a_timer_reads_due_rows_only():
+    """One busy key over many batches: what a timer reads does not grow with what waits."""
+    state, columns = FakeState(), ["key", "first_us", "last_us", "first_tie", "last_tie", "n", "tag"]
+    machine = processors.InOrder(processors.OrderState(5_000_000), columns, 1_000_000)
+    machine.init(state)
+    rows = [Row(us=k * 250_000 + 1, side=k % 2, tie=k, kind=k % 2) for k in range(4000)]
+    assert list(machine.handleInputRows((1,), iter(rows), Watermark(0))) == []
+    assert len(state.timers) == 1
+    found, mark = [], 0
+    while state.timers and mark < 10**9:
+        (mark,) = state.timers
+        mark += 500
+        state.timers.clear()
+        state.read = 0
+        found += machine.handleExpiredTimer((1,), Watermark(mark), None)
+        assert state.read <= 8 and len(state.timers) <= 1
+    assert [(r.first_tie, r.last_tie, r.tag) for r in found] == [(k, k + 1, "paid") for k in range(0, 4000, 2)]
