@@ -24,8 +24,11 @@ turn numbers come first; repeated rows are turns of their own.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,61 +132,89 @@ def _opening(label: int) -> str:
 CLOSING = "<|end|>\n"
 
 
-def _summary(run: pd.DataFrame) -> pd.DataFrame:
-    run = run.sort_values(["turn", "role"], na_position="first", kind="stable")
-    matrix = run_matrix(label_costs([None if pd.isna(r) else r for r in run["role"]]))
-    first = run.iloc[0]
-    return pd.DataFrame(
-        {"conv_id": [first["conv_id"]], "run": [first["run"]], "matrix": [matrix.ravel().tolist()]}
-    )
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
+    """Rows of a sorted partition that share their first columns; one group is held at a time."""
+    group: list[tuple] = []
+    for batch in batches:
+        for row in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+            if group and row[:keys] != group[0][:keys]:
+                yield group
+                group = []
+            group.append(row)
+    if group:
+        yield group
 
 
-def _solved(runs: pd.DataFrame) -> pd.DataFrame:
-    runs = runs.sort_values("run", kind="stable")
-    matrices = [np.array(m, float).reshape(4, 3) for m in runs["matrix"]]
-    ends, cost = ends_of_runs(matrices)
-    out = runs[["conv_id", "run"]].copy()
-    out["entry"], out["exit"] = [START, *ends[:-1]], ends
-    out["last"] = [False] * (len(ends) - 1) + [True]
-    out["total_cost"] = cost
-    return out
+def _batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, 2000)):
+        columns = zip(*some, strict=True)
+        arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def _per_group(df: DataFrame, keys: list[str], order: list[str], work, schema: pa.Schema, ddl: str):
+    """``work(rows of a group)`` for every group, many groups in a task without a call for each."""
+    sorted_rows = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _batched((row for g in _groups(batches, len(keys)) for row in work(g)), schema)
+
+    return sorted_rows.mapInArrow(run, ddl)
+
+
+def _summary(run: list[tuple]) -> Iterator[tuple]:
+    matrix = run_matrix(label_costs([role for _, _, _, role in run]))
+    yield *run[0][:2], matrix.ravel().tolist()
 
 
-def _labelled(run: pd.DataFrame) -> pd.DataFrame:
-    run = run.sort_values(["turn", "role", "text"], na_position="first", kind="stable")
-    roles = [None if pd.isna(r) else r for r in run["role"]]
-    costs = label_costs(roles)
-    state, last = int(run["entry"].iloc[0]), bool(run["last"].iloc[0])
-    labels = best_labels(costs, state, int(run["exit"].iloc[0]))
-    actions, inserted, paid, pieces = [], [], [], []
-    for k, (label, text) in enumerate(zip(labels, run["text"], strict=True)):
-        text = "" if pd.isna(text) else text.replace("<|", "< |")
+def _solved(runs: list[tuple]) -> Iterator[tuple]:
+    matrices = [np.array(matrix, float).reshape(4, 3) for _, _, matrix in runs]
+    ends, _ = ends_of_runs(matrices)
+    for k, (conv_id, run, _) in enumerate(runs):
+        yield conv_id, run, START if k == 0 else ends[k - 1], ends[k], k == len(runs) - 1
+
+
+def _labelled(run: list[tuple]) -> Iterator[tuple]:
+    _, _, _, _, _, entry, exit, last = run[0]
+    costs = label_costs([role for _, _, _, role, *_ in run])
+    labels = best_labels(costs, entry, exit)
+    state = entry
+    for k, (label, row) in enumerate(zip(labels, run, strict=True)):
+        conv_id, number, turn, role, text = row[:5]
+        text = (text or "").replace("<|", "< |")
         # A merge is cheaper than the insertion that would allow a second turn of the label.
-        merged = state == label and STEP[state, label] == MERGE
+        merged = bool(state == label and STEP[state, label] == MERGE)
         gap = [] if merged else _GAPS.get((state, label), [])
+        cost = STEP[state, label] + costs[k, label]
         piece = "\n\n" + text if merged else ""
-        if not merged:
-            for part in gap:
-                piece += (CLOSING if state != START else "") + _opening(part)
-                state = part
-            piece += (CLOSING if state != START else "") + _opening(label) + text
-        own = STEP[int(run["entry"].iloc[0]) if k == 0 else labels[k - 1], label] + costs[k, label]
-        state = label
+        for part in () if merged else (*gap, label):
+            piece += (CLOSING if state != START else "") + _opening(part)
+            state = part
+        piece += "" if merged else text
         if last and k == len(labels) - 1:
-            for part in _ENDS[label]:
-                piece += CLOSING + _opening(part)
-                gap, own = [*gap, part], own + INSERT
-            piece += CLOSING
-        changed = "relabel" if costs[k, label] else "keep"
-        actions.append("merge" if merged and changed == "keep" else "relabel and merge" if merged else changed)
-        inserted.append(len(gap))
-        paid.append(float(own))
-        pieces.append(piece)
-    out = run[["conv_id", "run", "turn", "role"]].copy()
-    out["place"] = range(len(out))
-    out["label"] = [LABELS[k] for k in labels]
-    out["action"], out["inserted"], out["cost"], out["piece"] = actions, inserted, paid, pieces
-    return out
+            piece += "".join(CLOSING + _opening(part) for part in _ENDS[label]) + CLOSING
+            gap, cost = [*gap, *_ENDS[label]], cost + END[label]
+        actions = ["relabel"] * bool(costs[k, label]) + ["merge"] * merged
+        action = " and ".join(actions) or "keep"
+        yield conv_id, number, turn, role, k, LABELS[label], action, len(gap), float(cost), piece
+
+
+_SUMMARY = pa.schema(
+    [("conv_id", pa.int64()), ("run", pa.int64()), ("matrix", pa.list_(pa.float64()))]
+)
+_SOLVED = pa.schema(
+    [
+        ("conv_id", pa.int64()), ("run", pa.int64()), ("entry", pa.int32()), ("exit", pa.int32()),
+        ("last", pa.bool_()),
+    ]
+)
+_LABELLED = pa.schema(
+    [
+        ("conv_id", pa.int64()), ("run", pa.int64()), ("turn", pa.int64()), ("role", pa.string()),
+        ("place", pa.int32()), ("label", pa.string()), ("action", pa.string()),
+        ("inserted", pa.int32()), ("cost", pa.float64()), ("piece", pa.string()),
+    ]
+)
 
 
 def repair(turns: DataFrame, run_turns: int = RUN_TURNS) -> DataFrame:
@@ -193,29 +224,27 @@ def repair(turns: DataFrame, run_turns: int = RUN_TURNS) -> DataFrame:
     contains besides its own, ``cost`` is the turn's part of the conversation's cost.
     """
     turns = turns.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"),
+        F.col("conv_id").cast("long").alias("conv_id"),
         F.coalesce(F.floor(F.col("turn") / run_turns), F.lit(-(1 << 60))).cast("long").alias("run"),
+        F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
+        F.col("text").cast("string").alias("text"),
+    )
+    runs = ["conv_id", "run"]
+    summaries = _per_group(
+        turns.select(*runs, "turn", "role"), runs, ["turn", "role"], _summary, _SUMMARY,
+        "conv_id long, run long, matrix array<double>",
+    )
+    solved = _per_group(
+        summaries, ["conv_id"], ["run"], _solved, _SOLVED,
+        "conv_id long, run long, entry int, exit int, last boolean",
     )
-    summaries = (
-        turns.select("conv_id", "run", "turn", "role")
-        .groupBy("conv_id", "run")
-        .applyInPandas(_summary, "conv_id long, run long, matrix array<double>")
-    )
-    solved = summaries.groupBy("conv_id").applyInPandas(
-        _solved, "conv_id long, run long, entry int, exit int, last boolean, total_cost double"
-    )
     ends = solved.select(F.col("conv_id").alias("c"), F.col("run").alias("r"), "entry", "exit", "last")
     placed = turns.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("run") == F.col("r")))
-    return (
-        placed.drop("c", "r")
-        .groupBy("conv_id", "run")
-        .applyInPandas(
-            _labelled,
-            "conv_id long, run long, turn long, role string, place int, label string, action string, inserted int, "
-            "cost double, piece string",
-        )
-    )
+    return _per_group(
+        placed.drop("c", "r"), runs, ["turn", "role", "text"], _labelled, _LABELLED,
+        "conv_id long, run long, turn long, role string, place int, label string, action string, "
+        "inserted int, cost double, piece string",
+    )
 
 
 def render(pieces: DataFrame) -> DataFrame:
