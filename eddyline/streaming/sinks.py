@@ -1,11 +1,13 @@
 """Tables kept up to date by micro-batches: keyed counts, Top-N with change rows, late rows.
 
-All tables are written one folder per micro-batch, overwritten when a batch is run again after a
-failure, so a repeated batch leaves the same rows behind.
+A micro-batch that is run again after a failure overwrites what it wrote before, so it leaves the same
+rows behind.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,43 +16,113 @@ from eddyline.functions.times import bucket, micros, span
 from eddyline.operators.topn import top_n_changes, top_n_per_window
 
 
+class Folder:
+    """A folder of a shared file system, through the session's own access to it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm, self.path = spark._jvm, path
+        where = self.jvm.org.apache.hadoop.fs.Path(path)
+        self.files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def names(self, below: str = "") -> list[str]:
+        """Names of the folders in it, without hidden ones."""
+        if not self.files.exists(self._at(below)):
+            return []
+        found = [s.getPath().getName() for s in self.files.listStatus(self._at(below)) if s.isDirectory()]
+        return sorted(n for n in found if n[0] not in "._")
+
+    def remove(self, name: str) -> None:
+        self.files.delete(self._at(name), True)
+
+
 class WindowValues:
     """One value per (window_end, key), of which each batch brings the changed ones.
 
-    Looking up the windows a batch touched reads only files whose range of window ends meets the
-    batch's own, which is narrow on a live stream.
+    Values are kept by the day of their window, and a batch writes the days it touches anew: what it
+    reads and what there is to read is the present state of those days, however many batches there
+    have been.  Of each day the version of the last batch and the one before it stay, so a batch that
+    is run again after a failure starts from the same state.  ``keep`` (such as ``"30 days"``) drops
+    days that are so much older than the newest.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, value: str = "cnt"):
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, value: str = "cnt", keep: str | None = None
+    ):
         self.spark, self.path, self.key, self.value = spark, path, key, value
+        self.keep = None if keep is None else span(keep) // span("1 day")
+        self.days = Folder(spark, f"{path}/days")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.put(batch, batch_id)
 
-    def put(self, batch: DataFrame, batch_id: int) -> tuple | None:
-        """Write a batch; returns the first and last window end in it, if any."""
-        ends = Observation()
-        rows = batch.select(self.key, "window_end", self.value).observe(
-            ends, F.min("window_end").alias("first"), F.max("window_end").alias("last")
+    def _versions(self, day: str) -> list[int]:
+        return sorted(int(n.removeprefix("batch_id=")) for n in self.days.names(day))
+
+    def _paths(self, upto: int | None, days: list[str] | None = None) -> list[str]:
+        """The newest version, as of a batch, of each day."""
+        found = []
+        for day in self.days.names() if days is None else days:
+            known = [v for v in self._versions(day) if upto is None or v <= upto]
+            if known:
+                found.append(f"{self.path}/days/{day}/batch_id={known[-1]}")
+        return found
+
+    def put(self, batch: DataFrame, batch_id: int) -> list[str]:
+        """Write a batch; returns the days it touched."""
+        new = batch.select("window_end", self.key, self.value)
+        path = f"{self.path}/batches/batch_id={batch_id}"
+        new.write.mode("overwrite").parquet(path)
+        rows = self.spark.read.schema(new.schema).parquet(path)
+        day = F.date_format("window_end", "yyyy-MM-dd").alias("day")
+        days = [f"day={r.day}" for r in rows.select(day).distinct().collect()]
+        for name in Folder(self.spark, f"{self.path}/batches").names():
+            if int(name.removeprefix("batch_id=")) < batch_id - 1:
+                Folder(self.spark, f"{self.path}/batches").remove(name)
+        if not days:
+            return days
+        both = rows.withColumn("_new", F.lit(1))
+        known = self._paths(batch_id - 1, days)
+        if known:
+            old = self.spark.read.schema(new.schema).parquet(*known)
+            both = both.unionByName(old.withColumn("_new", F.lit(0)))
+        merged = both.groupBy("window_end", self.key).agg(
+            F.max_by(self.value, "_new").alias(self.value)
+        )
+        (
+            merged.select("*", day, F.lit(batch_id).alias("batch_id"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch_id")
+            .parquet(f"{self.path}/days")
         )
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        return (ends.get["first"], ends.get["last"]) if ends.get.get("first") else None
+        for name in days:
+            for version in self._versions(name)[:-2]:
+                self.days.remove(f"{name}/batch_id={version}")
+        if self.keep is not None:
+            newest = dt.date.fromisoformat(self.days.names()[-1].removeprefix("day="))
+            for name in self.days.names():
+                if (newest - dt.date.fromisoformat(name.removeprefix("day="))).days > self.keep:
+                    self.days.remove(name)
+        return days
 
     def latest(
-        self, upto: int | None = None, touched_by: int | None = None, ends: tuple | None = None
+        self, upto: int | None = None, touched_by: int | None = None, days: list[str] | None = None
     ) -> DataFrame:
-        """Newest value of every key as of a batch, of the windows another batch touched."""
-        rows = self.spark.read.option("basePath", self.path).parquet(self.path)
-        if ends is not None:
-            rows = rows.where(F.col("window_end").between(*ends))
+        """The values as of a batch; of some days only, and of the windows that a batch touched."""
+        batches = f"{self.path}/batches"
+        first = Folder(self.spark, batches).names()[-1]
+        schema = self.spark.read.parquet(f"{batches}/{first}").schema
+        known = self._paths(upto, days)
+        if not known:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(*known)
         if touched_by is not None:
-            windows = rows.where(F.col("batch_id") == touched_by).select("window_end")
-            rows = rows.join(windows.distinct(), "window_end", "left_semi")
-        if upto is not None:
-            rows = rows.where(F.col("batch_id") <= upto)
-        return rows.groupBy("window_end", self.key).agg(
-            F.max_by(self.value, "batch_id").alias(self.value)
-        )
+            touched = self.spark.read.schema(schema).parquet(f"{batches}/batch_id={touched_by}")
+            rows = rows.join(touched.select("window_end").distinct(), "window_end", "left_semi")
+        return rows
 
 
 class TopNTable:
@@ -61,16 +133,18 @@ class TopNTable:
     ``-`` rows.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, n: int):
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, n: int, keep: str | None = None
+    ):
         self.spark, self.path, self.key, self.n = spark, path, key, n
-        self.counts = WindowValues(spark, f"{path}/counts", key)
+        self.counts = WindowValues(spark, f"{path}/counts", key, keep=keep)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        ends = self.counts.put(batch, batch_id)
-        if ends is None:
+        days = self.counts.put(batch, batch_id)
+        if not days:
             return
-        after = self._ranked(self.counts.latest(batch_id, batch_id, ends))
-        before = self._ranked(self.counts.latest(batch_id - 1, batch_id, ends))
+        after = self._ranked(self.counts.latest(batch_id, batch_id, days))
+        before = self._ranked(self.counts.latest(batch_id - 1, batch_id, days))
         top_n_changes(before, after).write.mode("overwrite").parquet(
             f"{self.path}/changes/batch_id={batch_id}"
         )

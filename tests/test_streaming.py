@@ -403,3 +403,22 @@ def test_a_timer_reads_due_rows_only():
         found += machine.handleExpiredTimer((1,), Watermark(mark), None)
         assert state.read <= 8 and len(state.timers) <= 1
     assert [(r.first_tie, r.last_tie, r.tag) for r in found] == [(k, k + 1, "paid") for k in range(0, 4000, 2)]
+
+
+def test_what_a_batch_reads_does_not_grow(spark, tmp_path):
+    table = sinks.WindowValues(spark, str(tmp_path / "t"), "key", keep="2 days")
+    want = {}
+    for batch_id in range(8):
+        rows = [(k, at(3600 + 86400 * (batch_id // 2)), batch_id * 10 + k) for k in range(3 + batch_id % 2)]
+        want |= {(r[0], r[1]): r[2] for r in rows}
+        batch = spark.createDataFrame(rows, "key int, window_end timestamp_ntz, cnt int")
+        for _ in range(2):  # as when it is run again after a failure
+            table.put(batch, batch_id)
+        versions = {day: table._versions(day) for day in table.days.names()}
+        assert all(len(v) <= 2 for v in versions.values()) and len(versions) <= 3
+        assert len(sinks.Folder(spark, str(tmp_path / "t/batches")).names()) <= 2
+    newest = max(end for _, end in want)
+    kept = {k: v for k, v in want.items() if (newest - k[1]).days <= 2}
+    assert {(r.key, r.window_end): r.cnt for r in table.latest().collect()} == kept
+    before = {(r.key, r.window_end): r.cnt for r in table.latest(6, 7).collect()}
+    assert before == {(k, newest): 60 + k for k in range(3)}
