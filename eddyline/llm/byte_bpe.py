@@ -85,7 +85,7 @@ class Codec:
         self.bytes_of = {
             k: bytes(byte_of[c] for c in self.tokenizer.id_to_token(k)) for k in range(size)
         }
-        self.packed = Kept(self._pack, 500_000)
+        self.packed = Kept(self._pack, 150_000)
 
     def _pack(self, unit: str) -> bytes:
         return np.array(self.tokenizer.encode(unit).ids, "<u4").tobytes()
@@ -95,7 +95,8 @@ class Codec:
         out = []
         for text in texts:
             units = cut(text or "")
-            new = list({u for u in units if u not in self.packed})
+            known, old = self.packed, self.packed.old
+            new = list({u for u in units if u not in known and u not in old})
             for unit, coded in zip(new, self.tokenizer.encode_batch_fast(new), strict=True):
                 self.packed.keep(unit, np.array(coded.ids, "<u4").tobytes())
             out.append(b"".join(map(self.packed.__getitem__, units)))

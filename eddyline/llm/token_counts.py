@@ -59,8 +59,8 @@ class MergeCounter:
             self.joined.append(ids[left + right])
         self.cut_pieces = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.find_pieces = regex.compile(PIECES).findall
-        self.piece_counts = Kept(self._count_piece, 500_000)
-        self.unit_counts = Kept(self._count_unit)
+        self.piece_counts = Kept(self._count_piece, 250_000)
+        self.unit_counts = Kept(self._count_unit, 500_000)
 
     def _count_piece(self, piece: str) -> int:
         data = piece.encode()

@@ -66,13 +66,17 @@ _REPEATED = re.compile(r"(.)\1{1,}")
 _CAPITALS = re.compile("[A-ZÀ-ÖØ-Þ]")
 
 
+#: What most tokens are; one object for all of them.
+PLAIN = (0.0, False, "", False, False, False)
+
+
 class Reader:
     """Features of texts under one lexicon, in one Python worker."""
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
         self.persons = frozenset(SECOND_PERSONS.split())
-        self.tokens = Kept(self._token, 500_000)
+        self.tokens = Kept(self._token, 150_000)
 
     def weight(self, word: str) -> float:
         get = self.lexicon.get
@@ -107,7 +111,8 @@ class Reader:
             hidden = best > 0
         person = any(word in self.persons for word in words)
         letters = sum(map(len, words))
-        return best, hidden, hit, person, letters > 2 and token.isupper(), mixed
+        found = best, hidden, hit, person, letters > 2 and token.isupper(), mixed
+        return PLAIN if found == PLAIN else found
 
     def _apart(self, tokens: list[str]) -> list[float]:
         """Weights of words whose letters stand apart."""

@@ -17,7 +17,7 @@ _INSIDE_RUN = re.compile(f"[{WHITE_SPACE}] [{WHITE_SPACE}]")
 _RUN_AND_WORD = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 
 #: Longer units are encoded each time; keeping them would cost more memory than it saves.
-LONGEST_KEPT = 128
+LONGEST_KEPT = 64
 
 
 def cut(text: str) -> list[str]:
@@ -36,19 +36,27 @@ def cut(text: str) -> list[str]:
 
 
 class Kept(dict):
-    """Values by unit, forgotten all at once when ``limit`` is reached, so memory stays bounded."""
+    """Values by unit in bounded memory.
 
-    def __init__(self, compute, limit: int = 1_000_000):
+    When ``limit`` units are kept they become the old generation, the one before is forgotten, and
+    units that are asked for again move to the new one.  So at most twice the limit is held, and what
+    is used often stays.
+    """
+
+    def __init__(self, compute, limit: int):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.old = compute, limit, {}
 
     def keep(self, unit, value) -> None:
         if len(unit) <= LONGEST_KEPT:
             if len(self) >= self.limit:
+                self.old = self.copy()
                 self.clear()
             self[unit] = value
 
     def __missing__(self, unit):
-        value = self.compute(unit)
+        value = self.old.get(unit)
+        if value is None:
+            value = self.compute(unit)
         self.keep(unit, value)
         return value
