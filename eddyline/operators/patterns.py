@@ -41,20 +41,24 @@ def strict_sequence(
     columns: Sequence[str],
     within: str | None = None,
     bucket: str | None = None,
+    slot: str | None = None,
 ) -> DataFrame:
     """Rows whose directly following rows fulfil the further steps.
 
     ``keys`` empty means the whole stream is one sequence.  ``within`` is exclusive: the last
     row comes less than that after the first.  With a bound, neighbours come from overlapping
-    buckets in one shuffle; without one, from any distance by ``following``.
+    buckets in one shuffle; without one, from any distance by ``following``, in slots of a day.
+
+    ``slot`` asks for the second way with slots of that length, bound or not: no row is copied, and
+    a busy key falls into as many pieces as it has slots, however long the bound is.
     """
     order = [ts, *tie]
     fits = [F.coalesce(s.condition, F.lit(False)) for s in steps]
     row = F.struct(*columns, F.col(ts).alias("_ts"), F.array(*fits).alias("_fits"))
     further = len(steps) - 1
-    needed = list(dict.fromkeys([*keys, *order, *columns, "_me"]))
+    needed = list(dict.fromkeys([*keys, *order, "_me"]))
     base = df.withColumn("_me", row).select(*needed)
-    if within is not None:
+    if within is not None and slot is None:
         bound = span(within)
         width = bucket_width(bound, bucket)
         spread = overlapping(base, ts, width, ahead=bound)
@@ -63,7 +67,7 @@ def strict_sequence(
         found = home_rows(spread.withColumn("_next", nexts))
     else:
         found = following(
-            base, keys, ts, order, F.col("_me"), further, span(bucket or "1 day")
+            base, keys, ts, order, "_me", further, span(slot or "1 day")
         ).where(F.size("_next") == further)
     all_steps = [F.col("_me"), *[F.col("_next")[i] for i in range(further)]]
     matches = F.lit(True)
@@ -89,10 +93,11 @@ def loop(
     columns: Sequence[str],
     within: str | None = None,
     bucket: str | None = None,
+    slot: str | None = None,
 ) -> DataFrame:
     """``times`` rows in a row that fulfil one condition."""
     steps = [Step(f"s{i + 1}", condition) for i in range(times)]
-    return strict_sequence(df, keys, ts, tie, steps, columns, within, bucket)
+    return strict_sequence(df, keys, ts, tie, steps, columns, within, bucket, slot)
 
 
 def relaxed_sequence(

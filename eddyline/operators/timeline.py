@@ -105,34 +105,36 @@ def following(
     keys: Sequence[str],
     ts: str,
     order: Sequence[str],
-    row: Column,
+    row: str,
     count: int,
     width: int,
     name: str = "_next",
 ) -> DataFrame:
-    """Add an array of the next ``count`` rows of the same key, however far away they are.
+    """The keys, order and column ``row``, with an array of the next ``count`` of the same key.
 
-    Each slot's first ``count`` rows are all that an earlier slot can need, so only those are
-    put in key order.
+    They may be however far away.  Each slot's first ``count`` rows are all that an earlier slot can
+    need, so only those are put in key order; the rest is cut off before their shuffle.
     """
-    slotted = df.withColumn(BUCKET, bucket(required(micros(ts), "event time"), width)).withColumn("_row", row)
+    slotted = df.select(*dict.fromkeys([*keys, *order, row])).withColumn(
+        BUCKET, bucket(required(micros(ts), "event time"), width)
+    )
     inner = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     local = slotted.withColumns(
         {
             name: F.array_compact(
-                F.array(*[F.lead("_row", i).over(inner) for i in range(1, count + 1)])
+                F.array(*[F.lead(row, i).over(inner) for i in range(1, count + 1)])
             ),
             "_pos": F.row_number().over(inner),
         }
     )
     along = Window.partitionBy(*keys).orderBy(*order)
-    heads = local.where(F.col("_pos") <= count).select(*keys, *order, BUCKET, "_pos", "_row")
+    heads = local.where(F.col("_pos") <= count).select(*keys, *order, BUCKET, "_pos", row)
     carried = (
         heads.withColumns(
             {
                 "_earlier": F.lag(BUCKET).over(along),
                 "_after": F.array_compact(
-                    F.array("_row", *[F.lead("_row", i).over(along) for i in range(1, count)])
+                    F.array(row, *[F.lead(row, i).over(along) for i in range(1, count)])
                 ),
             }
         )
@@ -143,4 +145,4 @@ def following(
     all_next = F.when(F.col("_after").isNull(), F.col(name)).otherwise(
         F.slice(F.concat(name, "_after"), 1, count)
     )
-    return joined.withColumn(name, all_next).drop("_after", "_pos", "_row", BUCKET)
+    return joined.withColumn(name, all_next).drop("_after", "_pos", BUCKET)

@@ -210,9 +210,9 @@ def test_following_over_empty_slots(spark):
     """The next rows may be many slots away, and several slots may hold one row each."""
     events = [(1, t, i, "create") for i, t in enumerate([0, 1, 50, 51, 52, 400, 900])]
     got = timeline.following(
-        frame(spark, events), ["key"], "ts", ["ts", "tie"], F.struct("tie"), 3, 10_000_000
+        frame(spark, events), ["key"], "ts", ["ts", "tie"], "tie", 3, 10_000_000
     )
-    nexts = {r.tie: [n.tie for n in r["_next"]] for r in got.collect()}
+    nexts = {r.tie: r["_next"] for r in got.collect()}
     assert nexts == {i: list(range(i + 1, min(i + 4, 7))) for i in range(7)}
 
 
@@ -233,3 +233,22 @@ def test_null_keys_and_times(spark):
     created = F.col("kind") == "create"
     with pytest.raises(Exception, match="must not be null"):
         orders.order_states(rows, "key", "ts", "tie", created, ~created, "1 hour").collect()
+
+
+def test_slots_cut_a_busy_key_without_copies(spark):
+    """One key only: the pieces grow with the slots asked for, and each row is in one of them."""
+    rng = random.Random(8)
+    events = [(1, t, i, rng.choice(["fail", "fail", "pass"])) for i, t in enumerate(sorted(rng.randrange(4000) for _ in range(500)))]
+    df = frame(spark, events)
+    failed = F.col("kind") == "fail"
+    args = (df, ["key"], "ts", ["tie"], [Step("a", failed), Step("b", failed)], ["tie"], "30 seconds")
+    want = sorted((r.a.tie, r.b.tie) for r in patterns.strict_sequence(*args).collect())
+    assert want
+    for slot in ("2000 seconds", "100 seconds", "7 seconds"):
+        got = patterns.strict_sequence(*args, slot=slot)
+        assert sorted((r.a.tie, r.b.tie) for r in got.collect()) == want
+    for seconds in (2000, 100):
+        slotted = df.withColumn("s", F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / seconds))
+        spread = slotted.repartition(64, "key", "s").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in spread) == len(events)
+        assert len(spread) >= min(25, 4000 // seconds)
