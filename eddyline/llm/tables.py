@@ -2,13 +2,42 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.session import new_folder
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the executors' Python workers this package, once per application.
+
+    Their path is not the driver's.  The archive goes through the shared folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, str(file.relative_to(root.parent)))
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{new_folder(spark, 'code')}/eddyline.zip")
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(where)
+    stream.write(bytearray(archive.getvalue()))
+    stream.close()
+    context.addPyFile(files.makeQualified(where).toString())
+    _SHIPPED.add(context.applicationId)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
