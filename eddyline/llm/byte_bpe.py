@@ -90,17 +90,14 @@ class Codec:
     def _pack(self, unit: str) -> bytes:
         return np.array(self.tokenizer.encode(unit).ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Packed ids of each text; units not seen before go to the library together."""
-        out = []
-        for text in texts:
-            units = cut(text or "")
-            known, old = self.packed, self.packed.old
-            new = list({u for u in units if u not in known and u not in old})
-            for unit, coded in zip(new, self.tokenizer.encode_batch_fast(new), strict=True):
-                self.packed.keep(unit, np.array(coded.ids, "<u4").tobytes())
-            out.append(b"".join(map(self.packed.__getitem__, units)))
-        return out
+    def encode(self, text: str | None) -> bytes:
+        """Packed ids of a text; units not seen before go to the library together."""
+        units = cut(text or "")
+        known, old = self.packed, self.packed.old
+        new = list({u for u in units if u not in known and u not in old})
+        for unit, coded in zip(new, self.tokenizer.encode_batch_fast(new), strict=True):
+            known.keep(unit, np.array(coded.ids, "<u4").tobytes())
+        return b"".join(map(known.__getitem__, units))
 
     def with_offsets(self, text: str | None) -> tuple[list[int], list[int], list[int]]:
         coded = self.tokenizer.encode(text or "")
@@ -119,18 +116,31 @@ def codec(vocabulary: str, pattern: str) -> Codec:
 
 
 def encode(text: Column | str, vocabulary: str, pattern: str) -> Column:
-    """Packed ids of ``text``; ``vocabulary`` is a rank file that every executor can read.
-
-    Marked as not deterministic, which it is, so that Spark does not put it into each expression that
-    uses the ids and encode the text again for every one of them.
-    """
+    """Packed ids of ``text``; ``vocabulary`` is a rank file that every executor can read."""
 
     @F.arrow_udf("binary")
     def encoded(texts: pa.Array) -> pa.Array:
         one = codec(vocabulary, pattern)
-        return pa.array(one.encode(texts.to_pylist()), pa.binary())
+        return pa.array([one.encode(t.as_py()) for t in texts], pa.binary())
+
+    return encoded(text)
+
+
+def round_trip(text: Column | str, vocabulary: str, pattern: str) -> Column:
+    """``struct(ids, decoded)``: packed ids, and the bytes that these ids decode to.
+
+    Both in one call, so that a task needs one Python worker and encodes each text once.  Marked as
+    not deterministic, which it is, so that Spark does not evaluate it for each of its fields.
+    """
+
+    @F.arrow_udf("ids binary, decoded binary")
+    def coded(texts: pa.Array) -> pa.Array:
+        one = codec(vocabulary, pattern)
+        ids = [one.encode(t.as_py()) for t in texts]
+        columns = [pa.array(ids, pa.binary()), pa.array(map(one.decode, ids), pa.binary())]
+        return pa.StructArray.from_arrays(columns, ["ids", "decoded"])
 
-    return encoded.asNondeterministic()(text)
+    return coded.asNondeterministic()(text)
 
 
 def encode_with_offsets(text: Column | str, vocabulary: str, pattern: str) -> Column:

@@ -31,15 +31,14 @@ TOKEN_LIMIT = 1024
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
-    ids = table(spark, sf_dir, "documents").select(
-        "doc_id", byte_bpe.encode("text", RANKS, PATTERN).alias("ids")
+    coded = table(spark, sf_dir, "documents").select(
+        "doc_id", byte_bpe.round_trip("text", RANKS, PATTERN).alias("coded")
     )
-    decoded = ids.select("doc_id", "ids", byte_bpe.decode("ids", RANKS, PATTERN).alias("decoded"))
-    return decoded.select(
+    return coded.select(
         "doc_id",
-        byte_bpe.n_tokens("ids").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        byte_bpe.n_tokens("coded.ids").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 

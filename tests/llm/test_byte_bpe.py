@@ -43,7 +43,7 @@ def counted():
 
 
 def ids_of(text, path=RANKS):
-    return np.frombuffer(byte_bpe.codec(path, PATTERN).encode([text])[0], "<u4").tolist()
+    return np.frombuffer(byte_bpe.codec(path, PATTERN).encode(text), "<u4").tolist()
 
 
 def test_byte_characters_are_256_different_visible_ones():
@@ -86,7 +86,7 @@ def test_forgetting_units_changes_nothing(known):
     one.packed = Kept(one._pack, 3)
     rng = random.Random(3)
     text = " ".join(rng.choice("one two three four five sixty-six".split()) for _ in range(200))
-    assert np.frombuffer(one.encode([text])[0], "<u4").tolist() == known.encode_ordinary(text)
+    assert np.frombuffer(one.encode(text), "<u4").tolist() == known.encode_ordinary(text)
 
 
 def test_long_word_is_merged_whole(known):
