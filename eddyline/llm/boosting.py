@@ -32,11 +32,11 @@ class Boosted:
 def boost(
     x: np.ndarray,
     y: np.ndarray,
-    trees: int = 60,
+    trees: int = 120,
     depth: int = 3,
     rate: float = 0.2,
     bins: int = 48,
-    least: float = 2.0,
+    least: float = 0.5,
     ridge: float = 1.0,
 ) -> Boosted:
     """Newton boosting on binned features; ``least`` is the curvature a leaf must have."""

@@ -62,7 +62,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 # Signs read as letters.
 _DISGUISE = str.maketrans("013457@$!|", "oieastasil")
 _NOT_WORD = re.compile(r"[\W_]+")
-_REPEATED = re.compile(r"(.)\1{1,}")
+_REPEATED = re.compile(r"(.)\1{2,}")
 _CAPITALS = re.compile("[A-ZÀ-ÖØ-Þ]")
 
 

@@ -89,8 +89,9 @@ def frame(spark, rows):
 
 
 def test_lexicon_counts_contexts_not_copies(spark):
-    rows = [(k, 1, f"w{k} zorkling v{k} and copied words here") for k in range(60)]
-    rows += [(100 + k, 0, f"w{k} plain v{k} and copied words here") for k in range(60)]
+    other = ["abcdefgh"[k // 8] + "klmnopqr"[k % 8] for k in range(60)]  # words of letters only
+    rows = [(k, 1, f"{w} zorkling {w} and copied words here") for k, w in enumerate(other)]
+    rows += [(100 + k, 0, f"{w} plain {w} and copied words here") for k, w in enumerate(other)]
     found = toxicity.learn_lexicon(frame(spark, rows))
     assert "zork*" in found and "zorkling" in found
     assert not {"copied", "words", "copi*", "plain", "and"} & found.keys()
