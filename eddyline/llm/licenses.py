@@ -48,7 +48,7 @@ TEMPLATES = [
 ]
 
 #: Every template holds one of these.
-CUE = re.compile(r"licen[cs]e|permission|redistribut|public domain|rights reserved", re.I)
+CUE = re.compile(r"licen[cs]e|permission|redistribut|public\s+domain|rights\s+reserved", re.I)
 
 #: Characters of a block around a cue, and the longest block.
 REACH, LONGEST_BLOCK = 160, 4096
