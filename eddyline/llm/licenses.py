@@ -2,10 +2,11 @@
 
 Candidate blocks are the stretches of a text around words that every license wording has.  Each block
 is compressed alone and with each template as a raw zstandard dictionary; a template that the block
-repeats makes it much smaller.  Templates are ranked by the bytes saved, and the best are confirmed
-word by word: the block must hold the template's words in order but for a small share of differences,
-which are listed.  A confirmed stretch is taken out and what is left of the block is tried again, so a
-block may hold several licenses.
+repeats makes it much smaller.  Templates that save enough are confirmed word by word: the block must hold the
+template's words in order but for a small share of differences, which are listed.  A confirmed stretch
+is taken out and what is left of the block is tried again, so a block may hold several licenses.  A
+block without a confirmed template is tried again in parts around each of its cues, where a short
+declaration is not outweighed by the text beside it.
 
 Null and empty texts and texts without a cue have no findings.  Case, spacing and punctuation do not
 count as differences.  Whole texts are scanned, in blocks of bounded length that overlap by more than
@@ -14,6 +15,7 @@ the longest template.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 from collections.abc import Iterator
@@ -52,8 +54,10 @@ CUE = re.compile(r"licen[cs]e|permission|redistribut|public\s+domain|rights\s+re
 
 #: Characters of a block around a cue, and the longest block.
 REACH, LONGEST_BLOCK = 160, 4096
-#: Templates tried word by word, and the share of a template's words that may differ.
-TRIED, DIFFERENT = 4, 0.12
+#: Share of a template's words that may differ.
+DIFFERENT = 0.12
+#: Words to either side of a cue in the smallest part of a block that is tried alone.
+SHORTEST_PART = 12
 #: Part of a block's compressed size per template byte that a template must save to be tried.
 LEAST_SAVED = 0.15
 
@@ -102,7 +106,7 @@ def ranked(words: list[str]) -> list[tuple[int, Template]]:
     size = len(alone(data))
     saved = [(size - len(t.compress(data)), t) for t in templates]
     worth = [(n, t) for n, t in saved if n >= LEAST_SAVED * min(t.size, size)]
-    return sorted(worth, key=lambda s: -s[0])[:TRIED]
+    return sorted(worth, key=lambda s: -s[0])
 
 
 def confirm(words: list[str], template: Template) -> tuple[int, int, list[str]] | None:
@@ -131,15 +135,38 @@ def confirm(words: list[str], template: Template) -> tuple[int, int, list[str]]
     return (first, last, differences) if changed <= allowed and not numbers else None
 
 
+def _parts(
+    places: list[tuple[int, int]], a: int, b: int, cues: list[int]
+) -> Iterator[tuple[int, int]]:
+    """Stretches of the words ``a`` to ``b`` around each cue, by the lengths that templates have."""
+    ends = [end for _, end in places]
+    longest = max(len(t.words) for t in _templates()[0])
+    for cue in cues:
+        at = bisect.bisect_right(ends, cue)
+        if not a <= at < b:
+            continue
+        reach = SHORTEST_PART
+        while reach < longest * 2:
+            part = max(a, at - reach), min(b, at + reach)
+            if part == (a, b):
+                break
+            yield part
+            reach *= 2
+
+
 def scan(text: str | None) -> list[dict]:
     """``license, start, end, saved, differences`` of each declaration, in order of place."""
     found: dict[tuple[int, int], dict] = {}
+    barren: set[tuple[str, ...]] = set()  # wordings that were tried and hold nothing
     for low, high in blocks(text or ""):
         places = [(m.start() + low, m.end() + low) for m in _WORD.finditer(text[low:high])]
-        waiting = [(0, len(places))]
+        cues = [m.start() + low for m in CUE.finditer(text[low:high])]
+        waiting = [(0, len(places), True)]
         while waiting:
-            a, b = waiting.pop()
+            a, b, whole = waiting.pop()
             words = [text[s:e].lower() for s, e in places[a:b]]
+            if not whole and tuple(words) in barren:
+                continue
             best = None
             for saved, template in ranked(words) if words else ():
                 span = confirm(words, template)
@@ -147,6 +174,9 @@ def scan(text: str | None) -> list[dict]:
                 if span and (best is None or key < best[0]):
                     best = key, saved, template, span
             if best is None:
+                barren.add(tuple(words))
+                if whole:
+                    waiting += [(c, d, False) for c, d in _parts(places, a, b, cues)]
                 continue
             _, saved, template, (first, last, differences) = best
             start, end = places[a + first][0], places[a + last - 1][1]
@@ -154,7 +184,7 @@ def scan(text: str | None) -> list[dict]:
                 "license": template.name, "start": start, "end": end, "saved": saved,
                 "differences": differences,
             }
-            waiting += [(a, a + first), (a + last, b)]
+            waiting += [(a, a + first, whole), (a + last, b, whole)]
     spans = sorted(found, key=lambda s: (s[0], -s[1]))
     out, reached = [], -1
     for span in spans:

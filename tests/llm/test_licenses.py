@@ -42,6 +42,26 @@ def test_several_in_one_text():
     assert [f["license"] for f in scan(long)] == [n for n, _ in several]
 
 
+#: Legal text that echoes long templates and declares nothing.
+REWORDED = (
+    "Permission is given hereby, at no charge, to any person who obtains copies of this software and the "
+    'associated documentation files (the "Software"), to deal in the Software without limits, including '
+    "without limitation rights to use, copy, alter, merge, publish, give out, sublicense, and sell copies of "
+    "the Software, subject to these conditions: the copyright notice above and this permission notice shall "
+    "be included with all copies or large portions of the Software. Redistribution and use in source and "
+    "binary form, changed or not, is permitted provided these conditions are met. You can redistribute this "
+    "program and modify it under the GNU General Public License as the Free Software Foundation published "
+    "it, or any later version. "
+)
+
+
+@pytest.mark.parametrize("name, text", [t for t in TEMPLATES if len(t[1]) < 100])
+def test_short_declarations_beside_reworded_text(name, text):
+    assert scan(REWORDED) == []
+    for page in (REWORDED + text, f"{text} {REWORDED}", f"{REWORDED}{text} {REWORDED}"):
+        assert [(f["license"], f["differences"]) for f in scan(page)] == [(name, [])]
+
+
 def test_query(spark):
     from eddyline.llm.queries import op9_licenses
 
