@@ -47,8 +47,19 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("All-rights-reserved", "All rights reserved. No part of this publication may be reproduced without permission."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
 ]
 
+#: Words that tell one license from another; like numbers, none may be missing, replaced or added.
+IDENTIFYING = frozenset(
+    "apache mit bsd isc gnu general lesser library affero mozilla mpl eclipse cc creative commons attribution "
+    "noncommercial non commercial sharealike share alike noderivatives noderivs derivatives derivs sa nc nd "
+    "some".split()
+)
+
 #: Every template holds one of these.
 CUE = re.compile(r"licen[cs]e|permission|redistribut|public\s+domain|rights\s+reserved", re.I)
 
@@ -112,7 +123,7 @@ def ranked(words: list[str]) -> list[tuple[int, Template]]:
 def confirm(words: list[str], template: Template) -> tuple[int, int, list[str]] | None:
     """The stretch of ``words`` that the template covers and its differences, or none.
 
-    Numbers tell versions apart, so none may differ.
+    Numbers tell versions apart and some words licenses, so none of these may differ.
     """
     wanted = template.words
     core = SequenceMatcher(None, wanted, words, autojunk=False).find_longest_match()
@@ -124,15 +135,16 @@ def confirm(words: list[str], template: Template) -> tuple[int, int, list[str]]
     ops = SequenceMatcher(None, wanted, words[low:high], autojunk=False).get_opcodes()
     kept = [op for op in ops if op[0] == "equal"]
     first, last = low + kept[0][3], low + kept[-1][4]
-    differences = []
+    differences, changed_words = [], set()
     for kind, a, b, c, d in ops:
         # Words of the block before and after the template are no differences.
         extra = words[low:high][c:d] if first - low <= c < last - low else []
         if kind != "equal" and (wanted[a:b] or extra):
             differences.append(f"{' '.join(wanted[a:b])} -> {' '.join(extra)}")
+            changed_words.update(wanted[a:b], extra)
     changed = sum(max(b - a, d - c if first - low <= c < last - low else 0) for k, a, b, c, d in ops if k != "equal")
-    numbers = any(any(map(str.isdigit, d)) for d in differences)
-    return (first, last, differences) if changed <= allowed and not numbers else None
+    other = any(w in IDENTIFYING or any(map(str.isdigit, w)) for w in changed_words)
+    return (first, last, differences) if changed <= allowed and not other else None
 
 
 def _parts(

@@ -62,6 +62,28 @@ def test_short_declarations_beside_reworded_text(name, text):
         assert [(f["license"], f["differences"]) for f in scan(page)] == [(name, [])]
 
 
+CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+
+
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        (CC.format("Attribution-ShareAlike"), "CC-BY-SA-4.0"),
+        (CC.format("Attribution-NoDerivatives"), "CC-BY-ND-4.0"),
+        (CC.format("Attribution-NonCommercial-ShareAlike"), "CC-BY-NC-SA-4.0"),
+        (CC.format("Attribution-NonCommercial-NoDerivatives"), "CC-BY-NC-ND-4.0"),
+        (CC.format("Sampling"), None),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.", None),
+        ("This work is licensed under the GNU Library General Public License, version 2.", None),
+        (TEMPLATES[8][1].replace("GNU", "GNU Affero"), None),
+        (TEMPLATES[12][1].replace("Mozilla", "Eclipse").replace("MPL", "EPL").replace("mozilla", "eclipse"), None),
+        (TEMPLATES[6][1].replace("any purpose", "any non-commercial purpose"), None),
+    ],
+)
+def test_identifying_words_are_no_wording_differences(text, name):
+    assert [f["license"] for f in scan(text)] == ([name] if name else [])
+
+
 def test_query(spark):
     from eddyline.llm.queries import op9_licenses
 
