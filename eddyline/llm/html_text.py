@@ -1,9 +1,9 @@
 """Visible text of HTML pages, laid out as a reader would see it.
 
 A tree is built with the tags that HTML lets authors leave out (ends of paragraphs, list items, table
-cells and rows, options and terms; ends of all that stands inside a closed element), and what stands
-between the cells of a table moves in front of it, as in a browser.  Hidden parts are
-left out: scripts, styles, templates, the head, ``hidden`` and ``display:none``, hidden inputs and
+cells and rows, options and terms; the end of the head; ends of all that stands inside a closed
+element), and what stands between the cells of a table moves in front of it, as in a browser.
+Hidden parts are left out: scripts, styles, templates, the head, ``hidden`` and ``display:none``, hidden inputs and
 media that show no text.  All other text is emitted: blocks stand on lines of their own with the
 spacing between them, list items behind their mark, preformatted text unchanged, and table cells in
 columns as wide as their widest cell.
@@ -52,6 +52,10 @@ CLOSES = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "body": ({"head"}, {"html"}),
 }
+#: What may stand in the head; anything else ends it, as does text.
+IN_HEAD = frozenset(
+    "head base basefont bgsound link meta title style script noscript noframes template".split()
+)
 #: Blocks that end an open paragraph.
 ENDS_PARAGRAPH = BLOCKS - {"body", "html", "li", "dt", "dd", "option", "optgroup", "caption"}
 _TABLE_PARTS = frozenset("tr td th thead tbody tfoot caption colgroup col".split())
@@ -127,6 +131,10 @@ def build(page: str) -> Node:
         else:
             open_nodes[-1].children.append(child)
 
+    def end_head() -> None:
+        if open_tags["head"] > 0 and open_tags["template"] <= 0:
+            close({"head"}, {"html"})
+
     at, end = 0, len(page)
     while at < end:
         token = _TOKEN.match(page, at)
@@ -135,11 +143,14 @@ def build(page: str) -> Node:
         if tag is None:
             text = token[0]
             if text[0] != "<" or text == "<":
+                if text.strip(" \t\r\n\f"):
+                    end_head()
                 place(html.unescape(text))
             continue
         tag = tag.lower()
         if token[1]:
             if tag == "br":
+                end_head()
                 place(Node("br"))
             for k in range(len(open_nodes) - 1, 0, -1) if open_tags[tag] > 0 else ():
                 if open_nodes[k].tag == tag:
@@ -148,6 +159,8 @@ def build(page: str) -> Node:
                 if open_nodes[k].tag in WALLS and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
                     break
             continue
+        if tag not in IN_HEAD:
+            end_head()
         if tag in CLOSES:
             close(*CLOSES[tag])
         if tag in ENDS_PARAGRAPH:

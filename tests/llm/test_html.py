@@ -42,6 +42,22 @@ def test_layout(page, text):
     assert page_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<!doctype html><html><head><title>T</title><h1>Hi</h1><p>text", "Hi\n\ntext"),
+        ("<html><head><meta charset=utf-8>\n<title>T</title>\n plain <b>bold</b>", "plain bold"),
+        ("<head><script>a</script><style>b</style><link rel=x><div>c</div></head>d", "c\nd"),
+        ("<head><title>T</title><br>x", "x"),
+        ("<head><title>T</title></br>x", "x"),
+        ("<head><template><p>no</p>no</template><title>T</title><li>yes", "- yes"),
+        ("<head><noscript><p>no</p></noscript><body>yes", "yes"),
+    ],
+)
+def test_head_without_end_tag(page, text):
+    assert page_text(page) == text
+
+
 def test_depth_and_length():
     assert page_text("<div>" * 100_000 + "x" + "</b>" * 100_000) == "x"
     assert page_text("<table><tr><td>" * 500 + "x") == "x"
