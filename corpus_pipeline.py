@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddyline.llm import byte_bpe, decontaminate, quality, shingle_copies, toxicity
+from eddyline.llm import byte_bpe, decontaminate, quality, simhash, toxicity
 from eddyline.llm.queries import (
     PATTERN,
     QUALITY_THRESHOLD,
@@ -37,18 +37,26 @@ def _same_row(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each component of texts that share 0.8 or more of their 5-word shingles."""
-    found = shingle_copies.near_duplicates(docs).where("first")
+    """The first document of each component of SimHash links, as ``op10_simhash`` makes them.
+
+    Shingles of three words, fingerprints at most two bits apart.  Of rows that repeat the id and text
+    of a first document, the one that comes first as JSON stays.
+    """
+    found = simhash.near_duplicates(docs).where("first")
     firsts = found.groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(
         F.count("*").alias("rows")
     )
     firsts = written(firsts, "first-documents")
     once = _same_row(docs, firsts.where("rows = 1").drop("rows"), "left_semi")
-    # Repeated rows of one id and text: only these are shuffled whole to keep one of them.
-    repeated = _same_row(docs, firsts.where("rows > 1").drop("rows"), "left_semi")
     if firsts.where("rows > 1").isEmpty():
         return once
-    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    # Repeated rows of one id and text: only these are shuffled whole to keep one of them.
+    repeated = _same_row(docs, firsts.where("rows > 1").drop("rows"), "left_semi")
+    row = F.struct(*docs.columns)
+    kept = repeated.groupBy(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key")).agg(
+        F.min_by(row, F.to_json(row)).alias("kept")
+    )
+    return once.unionByName(kept.select("kept.*"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +69,10 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their packed token ids; ``whole`` says that the ids decode to the text."""
+    """Documents with their packed token ids; ``whole`` says that the ids decode to the text.
+
+    Columns named ``ids``, ``n_tokens`` or ``whole`` before give way to these.
+    """
     own = [c for c in docs.columns if c not in ("ids", "n_tokens", "whole")]
     # A name that no column of the documents has.
     name = "_coded" + "_" * max(map(len, docs.columns))

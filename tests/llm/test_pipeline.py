@@ -65,6 +65,21 @@ def test_stages_take_odd_rows(spark):
         assert more.count() == out.count()
 
 
+def test_repeated_rows_leave_a_fixed_one(spark):
+    rows = [(7, "the same text again and again", source, k) for k, source in enumerate("cba")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    for asked in (docs, docs.repartition(3), docs.orderBy("source")):
+        kept = corpus_pipeline.drop_copies(spark, asked, FOLDER).collect()
+        assert [(r.doc_id, r.source) for r in kept] == [(7, "a")]
+
+
+def test_encoding_replaces_columns_of_its_names(spark):
+    docs = odd(spark).selectExpr("*", "lang AS ids", "lang AS whole")
+    out = corpus_pipeline.encode(spark, docs, FOLDER)
+    assert sorted(out.columns) == sorted({*docs.columns, "n_tokens"})
+    assert all(r.whole is True for r in out.collect())
+
+
 def test_one_row_of_each_group_stays(spark):
     kept = corpus_pipeline.drop_copies(spark, odd(spark), FOLDER).collect()
     assert sorted(str((r.doc_id, (r.text or "")[:8])) for r in kept) == sorted(
