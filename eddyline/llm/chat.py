@@ -132,7 +132,7 @@ def _opening(label: int) -> str:
 CLOSING = "<|end|>\n"
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
+def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
     """Rows of a sorted partition that share their first columns; one group is held at a time."""
     group: list[tuple] = []
     for batch in batches:
@@ -145,19 +145,19 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple
         yield group
 
 
-def _batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     while some := list(islice(rows, 2000)):
         columns = zip(*some, strict=True)
         arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def _per_group(df: DataFrame, keys: list[str], order: list[str], work, schema: pa.Schema, ddl: str):
+def per_group(df: DataFrame, keys: list[str], order: list[str], work, schema: pa.Schema, ddl: str):
     """``work(rows of a group)`` for every group, many groups in a task without a call for each."""
     sorted_rows = df.repartition(*keys).sortWithinPartitions(*keys, *order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _batched((row for g in _groups(batches, len(keys)) for row in work(g)), schema)
+        return batched((row for g in groups(batches, len(keys)) for row in work(g)), schema)
 
     return sorted_rows.mapInArrow(run, ddl)
 
@@ -230,17 +230,17 @@ def repair(turns: DataFrame, run_turns: int = RUN_TURNS) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     runs = ["conv_id", "run"]
-    summaries = _per_group(
+    summaries = per_group(
         turns.select(*runs, "turn", "role"), runs, ["turn", "role"], _summary, _SUMMARY,
         "conv_id long, run long, matrix array<double>",
     )
-    solved = _per_group(
+    solved = per_group(
         summaries, ["conv_id"], ["run"], _solved, _SOLVED,
         "conv_id long, run long, entry int, exit int, last boolean",
     )
     ends = solved.select(F.col("conv_id").alias("c"), F.col("run").alias("r"), "entry", "exit", "last")
     placed = turns.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("run") == F.col("r")))
-    return _per_group(
+    return per_group(
         placed.drop("c", "r"), runs, ["turn", "role", "text"], _labelled, _LABELLED,
         "conv_id long, run long, turn long, role string, place int, label string, action string, "
         "inserted int, cost double, piece string",

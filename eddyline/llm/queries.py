@@ -17,6 +17,7 @@ from eddyline.llm import (
     simhash,
     token_counts,
     toxicity,
+    turn_repair,
 )
 from eddyline.llm.oracle import ORACLE
 from eddyline.llm.tables import fold, table, training_rows
@@ -139,6 +140,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("print").alias("fingerprint"), "component_id")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and the repaired text's hash of every conversation, after damage."""
+    conversations = table(spark, sf_dir, "conversations")
+    edits = turn_repair.repair(turn_repair.damaged(conversations))
+    return turn_repair.digests(edits, conversations)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat": op2_chat,
@@ -150,6 +158,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
+    "op11_turn_repair": op11_turn_repair,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

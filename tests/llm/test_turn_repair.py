@@ -1,0 +1,233 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from itertools import product
+
+import pytest
+
+from eddyline.llm import turn_repair
+from eddyline.llm.queries import op11_turn_repair
+
+DDL = "conv_id long, turn long, role string, text string"
+WHITE = " \t\n\v\f\r"
+
+
+def slow_damage(rows):
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        draw = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if draw == 0:
+            continue
+        text = "" if draw == 1 else re.sub("[.!?]", "", text) if draw == 2 else text
+        role = "user" if draw == 4 else role
+        yield from [(conv, turn, role, text)] * (2 if draw == 3 else 1)
+
+
+def order(row):
+    _, turn, role, text = row
+    key = hashlib.md5(text.encode()).hexdigest()
+    return turn is not None, turn or 0, role, text[:64], key
+
+
+def faults_of(rows):
+    seen, out = set(), []
+    for _, _, role, text in rows:
+        bare = text.strip(WHITE)
+        out.append(
+            "blank" if not bare else "duplicate" if (role, text) in seen
+            else "truncated" if bare[-1] not in ".!?" else None
+        )
+        seen.add((role, text))
+    return out
+
+
+LEGAL_START = re.compile("(s?(ua)+)?")
+
+
+def forward(rows, faults):
+    """Cheapest, then ASCII-least edits by a forward program over whole strings and initials so far."""
+    # What has been built matters only by its length being nought, and its last initial.
+    best = {"": (0, "", ())}
+
+    def offer(where, state, value):
+        if state not in where or value < where[state]:
+            where[state] = value
+
+    def may(state, initial):
+        return {"": "su", "s": "u", "u": "a", "a": "u"}[state].find(initial) >= 0 if initial else False
+
+    def with_inserts(states):
+        for _ in range(3):
+            for state, (cost, audit, out) in list(states.items()):
+                for role in ("user", "assistant"):
+                    if may(state, role[0]):
+                        offer(states, role[0], (cost + 2, audit + "I", (*out, f"{role}:")))
+        return states
+
+    best = with_inserts(best)
+    for (_, _, role, text), fault in zip(rows, faults, strict=True):
+        after = {}
+        for state, (cost, audit, out) in best.items():
+            offer(after, state, (cost + 3, audit + "D", out))
+            if fault in ("blank", "duplicate"):
+                continue
+            extra = fault == "truncated"
+            if may(state, role[:1]):
+                offer(after, role[0], (cost + extra, audit + "K", (*out, f"{role}:{text}")))
+            for new in ("user", "assistant"):
+                if may(state, new[0]):
+                    offer(after, new[0], (cost + 2 + extra, audit + "R", (*out, f"{new}:{text}")))
+        best = with_inserts(after)
+    return min(best[s] for s in ("", "a") if s in best)
+
+
+def exhaustive(rows, faults, longest=2):
+    """The same by trying everything: letters with up to two inserts at each place."""
+    found = []
+    inserts = [x for n in range(longest + 1) for x in product(("user", "assistant"), repeat=n)]
+    ways = []
+    for (_, _, role, text), fault in zip(rows, faults, strict=True):
+        own = [("D", 3, None)]
+        if fault not in ("blank", "duplicate"):
+            extra = fault == "truncated"
+            own += [("K", extra, (role, text))] + [("R", 2 + extra, (r, text)) for r in ("user", "assistant")]
+        ways.append(own)
+    for gaps in product(inserts, repeat=len(rows) + 1):
+        for chosen in product(*ways):
+            audit, cost, out = "", 0, []
+            for k, gap in enumerate(gaps):
+                audit, cost = audit + "I" * len(gap), cost + 2 * len(gap)
+                out += [(r, "") for r in gap]
+                if k < len(rows):
+                    letter, price, turn = chosen[k]
+                    audit, cost = audit + letter, cost + price
+                    out += [turn] if turn else []
+            if all(r for r, _ in out) and LEGAL_START.fullmatch("".join(r[0] for r, _ in out)):
+                found.append((cost, audit, tuple(f"{r}:{t}" for r, t in out)))
+    return min(found)
+
+
+def slow(rows):
+    """The digest of one conversation's turns after damage."""
+    rows = sorted(rows, key=order)
+    faults = faults_of(rows)
+    cost, audit, out = forward(rows, faults)
+    initials = [r[2][:1] for r in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    counts = (faults.count(f) for f in ("blank", "duplicate", "truncated"))
+    return gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest()
+
+
+def digest(spark, turns):
+    found = turn_repair.digests(turn_repair.repair(turns), turns)
+    return {r[0]: tuple(r)[1:] for r in found.collect()}
+
+
+ROLES = ["user", "assistant", "system", "tool", "", "User", "u"]
+TEXTS = ["Yes.", "No", "", "  \t", "And so?", "cut of", "Done! ", "x" * 70 + ".", "x" * 70 + "y"]
+
+
+def random_rows(seed, conversations, longest):
+    draw = random.Random(seed)
+    rows = []
+    for conv in range(conversations):
+        for _ in range(draw.randrange(longest + 1)):
+            turn = draw.choice([None, *range(longest)])
+            role = draw.choice(ROLES[:3] * 3 + ROLES)
+            rows.append((conv if conv else None, turn, role, draw.choice(TEXTS)))
+    return rows
+
+
+def by_conversation(rows):
+    out = {}
+    for row in rows:
+        out.setdefault(row[0], []).append(row)
+    return out
+
+
+def test_loops_agree_with_trying_everything():
+    for rows in by_conversation(random_rows(3, 60, 3)).values():
+        rows = sorted(rows, key=order)
+        assert forward(rows, faults_of(rows)) == exhaustive(rows, faults_of(rows))
+
+
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_against_loops(spark, partitions):
+    rows = random_rows(5, 300, 12)
+    shuffled = random.Random(1).sample(rows, len(rows))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        assert digest(spark, spark.createDataFrame(shuffled, DDL)) == {
+            conv: slow(own) for conv, own in by_conversation(rows).items()
+        }
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_one_long_conversation_over_many_partitions(spark):
+    # Without merging of partitions, one conversation lies in all of them.
+    rows = [(9, *row[1:]) for row in random_rows(8, 400, 12)] + random_rows(9, 3, 5)
+    rows += [(9, 4, "user", "The same again.")] * 500
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        turns = spark.createDataFrame(rows, DDL)
+        edits = turn_repair.repair(turns).cache()
+        assert edits.where("conv_id = 9").select("part").distinct().count() > 8
+        found = {r[0]: tuple(r)[1:] for r in turn_repair.digests(edits, turns).collect()}
+        edits.unpersist()
+    finally:
+        for c, value in keep.items():
+            spark.conf.set(c, value)
+    assert found == {conv: slow(own) for conv, own in by_conversation(rows).items()}
+
+
+def test_checkpoints_give_what_all_vectors_give():
+    draw = random.Random(4)
+    for n in (1, 2, 3, 10, 57, 400):
+        tags = bytes(draw.randrange(16) for _ in range(n))
+        vectors = [turn_repair.END]
+        for tag in reversed(tags):
+            vectors.append(turn_repair.before(tag, vectors[-1]))
+        walk = turn_repair.Walk(tags, turn_repair.END, True)
+        assert walk.start_cost() == vectors[-1][0]
+        assert len(walk.marks) <= n**0.5 + 2
+        matrix = turn_repair.matrix_of(tags)
+        assert turn_repair.through(matrix, turn_repair.END) == vectors[-1]
+
+
+def test_damage_and_query(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    want = {conv: slow(list(slow_damage(own))) for conv, own in by_conversation(rows).items()}
+    found = {r[0]: tuple(r)[1:] for r in op11_turn_repair(spark, folder).collect()}
+    assert found == want and any("I" in row[6] for row in want.values())
+
+
+def test_odd_rows(spark):
+    long = "word " * 300_000
+    rows = [
+        (1, 0, None, None), (1, None, "user", "Hi."), (1, None, "user", "Hi."), (None, None, None, None),
+        (2, 3, "user", long), (2, 4, "assistant", long + "."), (2, 4, "assistant", long + "."), (3, 0, "", "x."),
+    ]
+    turns = spark.createDataFrame(rows, DDL).selectExpr("*", "role AS part", "text AS place", "turn AS step")
+    ready = [tuple(" " if c is None and k > 1 else c for k, c in enumerate(row)) for row in rows]
+    assert digest(spark, turns) == {conv: slow(own) for conv, own in by_conversation(ready).items()}
+    damaged = {r[0] for r in turn_repair.damaged(turns).collect()}
+    found = turn_repair.digests(turn_repair.repair(turn_repair.damaged(turns)), turns).collect()
+    assert len(found) == 4 and damaged <= {r[0] for r in found}
+    empty = turns.limit(0)
+    assert digest(spark, empty) == {}
+    # A conversation that the damage takes away whole.
+    gone = next(k for k in range(1000) if zlib.crc32(f"{k}:0".encode()) % 20 == 0)
+    lone = spark.createDataFrame([(gone, 0, "user", "Hi.")], DDL)
+    found = turn_repair.digests(turn_repair.repair(turn_repair.damaged(lone)), lone).collect()
+    assert [tuple(r) for r in found] == [(gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())]
