@@ -15,6 +15,7 @@ from eddyline.llm import (
     neighbours,
     quality,
     simhash,
+    spelling,
     token_counts,
     toxicity,
     turn_repair,
@@ -147,6 +148,11 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.digests(edits, conversations)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its commoner form and the root of that."""
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat": op2_chat,
@@ -159,6 +165,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
     "op11_turn_repair": op11_turn_repair,
+    "op12_spelling": op12_spelling,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
