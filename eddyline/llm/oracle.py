@@ -202,4 +202,30 @@ ORACLE = {
                n_hit IS NOT NULL AS contaminated
         FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op13_vector_copies": """
+        WITH RECURSIVE own AS (
+            SELECT row_number() OVER () AS k, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v
+            FROM embeddings
+        ), sized AS (
+            SELECT *, sqrt(list_reduce(list_transform(v, lambda x: x * x), lambda a, b: a + b)) AS size FROM own
+            WHERE v IS NOT NULL AND label IS NOT NULL
+              AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(v, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.k, b.k AS other FROM sized a JOIN sized b ON a.label = b.label AND len(a.v) = len(b.v) AND a.k <> b.k
+            WHERE list_reduce(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]), lambda x, y: x + y)
+                  / (a.size * b.size) >= 0.98
+        ), reached AS (
+            SELECT k, k AS at FROM own
+            UNION
+            SELECT reached.k, links.other FROM reached JOIN links ON reached.at = links.k
+        ), component AS (
+            SELECT reached.k, min(own.vec_id) AS component_id FROM reached JOIN own ON own.k = reached.at GROUP BY reached.k
+        ), counted AS (
+            SELECT k, count(*) AS n_links FROM links GROUP BY k
+        )
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id,
+               vec_id IS NOT DISTINCT FROM component_id AS kept
+        FROM own JOIN component USING (k) LEFT JOIN counted USING (k)
+    """,
 }

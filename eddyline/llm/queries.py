@@ -19,6 +19,7 @@ from eddyline.llm import (
     token_counts,
     toxicity,
     turn_repair,
+    vector_copies,
 )
 from eddyline.llm.oracle import ORACLE
 from eddyline.llm.tables import fold, table, training_rows
@@ -153,6 +154,16 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
 
 
+#: Least cosine of linked vectors.
+COPIES_COSINE = 0.98
+
+
+def op13_vector_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among those of its label."""
+    vectors = table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
+    return vector_copies.near_duplicates(vectors, COPIES_COSINE)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat": op2_chat,
@@ -166,6 +177,7 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_turn_repair": op11_turn_repair,
     "op12_spelling": op12_spelling,
+    "op13_vector_copies": op13_vector_copies,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
