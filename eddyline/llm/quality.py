@@ -6,8 +6,9 @@ costs two triangular products.  The difference of the log densities, Mahalanobis
 log-determinant included, goes through a logistic curve fitted on the training rows, which turns it
 into the probability of label 1.
 
-Moments are sums, taken by Spark over all training rows; nothing is sampled for them.  The curve has
-two numbers and is fitted on at most ``CURVE_ROWS`` rows that a hash chooses.
+Moments are sums, taken by Spark over all rows that ``fit`` is given; the caller bounds those
+(``tables.training_rows``).  The curve has two numbers and is fitted on at most about ``CURVE_ROWS`` of
+them that a hash chooses.
 
 Statistics are those of the text alone, over the whole text.  Null and empty texts have statistics of
 zero words and a score like any other.  With training rows of one class only, or none, every score is
@@ -26,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddyline.llm.tables import written
+
 #: Most rows that the logistic curve is fitted on.
 CURVE_ROWS = 20_000
 
@@ -174,7 +177,8 @@ def _curve(difference: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 def fit(rows: DataFrame) -> Discriminant:
     """Learns from ``doc_id, label, statistics``; other labels than 0 and 1 are left out."""
-    rows = rows.where("label in (0, 1) and doc_id is not null")
+    # Written, so that the texts are read once, and one Python worker of a task is enough.
+    rows = written(rows.where("label in (0, 1) and doc_id is not null"), "quality-statistics")
     moments = _moments(rows)
     d = len(NAMES)
     if len(moments) < 2:
@@ -197,8 +201,9 @@ def fit(rows: DataFrame) -> Discriminant:
         constants.append(np.log(moments[label][0] / total) - np.log(np.diag(factor)).sum())
     shape = np.array([means[0], means[1]]), np.array(whiten), np.array(constants)
     share = min(1.0, CURVE_ROWS / total)
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    seen = chosen.select("doc_id", "label", "statistics").toPandas().sort_values("doc_id")
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", "statistics"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    seen = chosen.select("doc_id", "label", "statistics").toPandas()
+    seen = seen.sort_values("doc_id", kind="stable")
     if seen["label"].nunique() < 2:
         return Discriminant(*shape, curve=(1.0, 0.0))
     raw = Discriminant(*shape, curve=(1.0, 0.0))

@@ -53,6 +53,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def _chosen(rows: DataFrame, share: float, *by: str) -> DataFrame:
+    return rows.where(F.pmod(F.xxhash64(*by), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def training_labels(labels: DataFrame, label: str, held_out: Column, most: int) -> DataFrame:
     """``doc_id, label``: distinct 0/1 labels outside the held-out fold, at most about ``most``.
 
@@ -65,12 +69,25 @@ def training_labels(labels: DataFrame, label: str, held_out: Column, most: int)
         .distinct()
     )
     share = min(1.0, most / max(usable.count(), 1))
-    return usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return _chosen(usable, share, "doc_id")
+
+
+#: Tasks that work on the training rows.
+TRAINING_PARTS = 32
 
 
 def training_rows(
     docs: DataFrame, labels: DataFrame, label: str, held_out: Column, most: int
 ) -> DataFrame:
-    """``doc_id, label, text`` of the chosen labelled rows; the documents are not shuffled."""
+    """``doc_id, label, text`` of the chosen labelled rows, each once, at most about ``most``.
+
+    A doc_id with several texts gives a row for each; a hash of both chooses among the rows where that
+    makes them more than ``most``.  The rows are a written table, so that learning reads the documents
+    once, and those are not shuffled.
+    """
     chosen = training_labels(labels, label, held_out, most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.select("doc_id", "label", "text").dropDuplicates()
+    rows = written(rows.repartition(TRAINING_PARTS, "doc_id", "text"), "training-rows")
+    share = min(1.0, most / max(rows.count(), 1))
+    return rows if share == 1 else _chosen(rows, share, "doc_id", "text")

@@ -13,8 +13,8 @@ person, and the rates of capitals, marks and mixed tokens.  Trees are trained on
 predicting trees did not see.
 
 Whole texts are scored.  Null and empty texts have the features of zero words and a score like any
-other.  With training rows of one class only, or none, every score is that class's share (zero for
-none).  Rows with a null label or id are not learnt from.
+other.  With fewer than three training rows of a class, which the curve needs one of in each of three
+folds, every score is the share of label 1 (zero without rows).  Rows with a null label or id are not learnt from.
 """
 
 from __future__ import annotations
@@ -139,8 +139,10 @@ class Reader:
         persons = [k for k, s in enumerate(seen) if s[3]]
         close = 0
         if hits and persons:
-            there = np.array(persons)
-            close = sum(bool((np.abs(there - k) <= CLOSE).any()) for k in hits)
+            # Both are in order: a hit is close if a person stands between its two ends.
+            there, at = np.array(persons), np.array(hits)
+            first = np.searchsorted(there, at - CLOSE)
+            close = int((first < np.searchsorted(there, at + CLOSE, "right")).sum())
         some = n + 20
         data = text.encode()
         capitals = len(_CAPITALS.findall(text))
@@ -192,17 +194,18 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     seen = pairs.where(word.isNotNull()).select(
         "label", F.col("pair.front").alias("front"), F.explode(F.array_compact(terms)).alias("term")
     )
-    contexts = F.count_distinct("front")
-    toxic = seen.where("label = 1").groupBy("term").agg(contexts.alias("toxic"))
-    toxic = toxic.where(F.col("toxic") >= LEAST_CONTEXTS)
-    other = seen.where("label = 0").join(toxic.select("term"), "term", "left_semi")
-    other = other.groupBy("term").agg(contexts.alias("other"))
+    # Each pair of a term and the word in front counts once, and is made one before terms meet: a
+    # frequent term then comes from each task as one row.
+    once = seen.groupBy("term", "front").agg(F.bit_or(F.col("label") + 1).alias("labels"))
+    counts = once.groupBy("term").agg(
+        *(F.count_if(F.col("labels").bitwiseAND(k + 1) > 0).alias(c) for k, c in ((0, "other"), (1, "toxic")))
+    )
     total = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     weight = F.log(F.col("toxic") / F.lit(float(total.get(1, 1)))) - F.log(
-        (F.coalesce("other", F.lit(0)) + 0.5) / F.lit(float(total.get(0, 1)))
+        (F.col("other") + 0.5) / F.lit(float(total.get(0, 1)))
     )
     kept = (
-        toxic.join(other, "term", "left").select("term", "toxic", weight.alias("weight"))
+        counts.where(F.col("toxic") >= LEAST_CONTEXTS).select("term", "toxic", weight.alias("weight"))
         .where(F.col("weight") >= LEAST_WEIGHT)
         .orderBy(F.desc("toxic"), "term").limit(MOST_TERMS)
     )
@@ -222,7 +225,7 @@ def features(text: Column | str, lexicon: dict[str, float]) -> Column:
     return computed(text)
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _reader(lexicon: tuple[tuple[str, float], ...]) -> Reader:
     """One reader per worker and lexicon, however many tasks and batches there are."""
     return Reader(dict(lexicon))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+import time
 import zlib
 
 import numpy as np
@@ -148,3 +150,71 @@ def test_isotonic_rises_and_means_are_kept():
     assert (np.diff(curve(at)) >= 0).all()
     assert np.abs(curve(at) - 1 / (1 + np.exp(-2 * at))).mean() < 0.05
     assert curve(np.array([-9.0]))[0] < 0.5 < curve(np.array([9.0]))[0]
+
+
+def test_repeated_ids_do_not_break_the_bound(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    docs = spark.range(5000).selectExpr("1L AS doc_id", "concat('text ', id) AS text", "id AS label")
+    more = docs.unionByName(docs).unionByName(spark.sql("SELECT 2L AS doc_id, 'text 1' AS text, 0L AS label"))
+    assert 50 < training_rows(more, labels, "toxic", F.lit(False), 100).count() < 160
+    whole = training_rows(more, labels, "toxic", F.lit(False), 10_000).collect()
+    assert len(whole) == len(set(whole)) == 5001
+
+
+def test_few_rows_of_a_class_give_its_share(spark):
+    rows = [(k, int(k < 2), f"you idiot number {k}") for k in range(40)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, label int, text string"))
+    assert model.score(np.zeros((2, len(toxicity.NAMES)))).tolist() == [model.fallback] * 2
+    assert model.fallback in (0.0, 1 / 20, 2 / 20) or 0 < model.fallback < 0.2
+
+
+def slow_close(reader, text):
+    tokens = text.split()
+    seen = [reader._token(t) for t in tokens]
+    hits = [k for k, s in enumerate(seen) if s[0]]
+    persons = [k for k, s in enumerate(seen) if s[3]]
+    return sum(any(abs(k - p) <= toxicity.CLOSE for p in persons) for k in hits) / (len(hits) + 1)
+
+
+def test_second_persons_near_hits_against_all_pairs():
+    reader = toxicity.Reader(dict.fromkeys(toxicity.INSULTS.split(), 4.0))
+    at, draw = toxicity.NAMES.index("close to you"), np.random.default_rng(1)
+    words = ["you", "idiot", "a", "plain", "word", "more", "of", "it", "your", "stupid"]
+    for n in (0, 1, 5, 30, 400):
+        for _ in range(20):
+            text = " ".join(draw.choice(words, n, p=[0.05, 0.05, *[0.1] * 5, 0.2, 0.1, 0.1]))
+            assert reader.features(text)[at] == slow_close(reader, text)
+    start = time.perf_counter()
+    reader.features("you idiot " * 200_000)
+    assert time.perf_counter() - start < 10
+
+
+def slow_terms(rows):
+    """Words in front of each term, by label, counted once each."""
+    fronts = {}
+    for _, label, text in rows:
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        for front, word in zip(["", *words], words, strict=False):
+            for term in [word, *(word[:n] + "*" for n in toxicity.BEGINNINGS if len(word) > n)]:
+                fronts.setdefault(term, (set(), set()))[label].add(front)
+    return {term: tuple(map(len, own)) for term, own in fronts.items()}
+
+
+def test_lexicon_against_loops(spark):
+    draw = np.random.default_rng(2)
+    calm, rude = [f"calm{chr(97 + k % 6)}{chr(97 + k)}" for k in range(26)], ["zork", "blarghs", "zorker"]
+    rows = []
+    for k in range(300):
+        words = list(draw.choice(calm, 12))
+        if k % 3 == 0:
+            words[draw.integers(1, 12)] = str(draw.choice(rude))
+        rows.append((k, int(k % 3 == 0), " ".join(words).title()))
+    n = [sum(r[1] == label for r in rows) for label in (0, 1)]
+    want = dict.fromkeys(toxicity.INSULTS.split(), toxicity.INSULT_WEIGHT)
+    for term, (other, toxic) in slow_terms(rows).items():
+        weight = np.log(toxic / n[1]) - np.log((other + 0.5) / n[0]) if toxic else -1
+        if toxic >= toxicity.LEAST_CONTEXTS and weight >= toxicity.LEAST_WEIGHT:
+            want[term] = min(weight, 8.0)
+    got = toxicity.learn_lexicon(spark.createDataFrame(rows, "doc_id long, label int, text string"))
+    assert got.keys() == want.keys() and "zork" in got and "blar*" in got
+    assert all(abs(got[t] - want[t]) < 1e-9 for t in want)
