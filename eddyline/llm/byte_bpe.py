@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import functools
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,10 @@ from pyspark.sql import functions as F
 from eddyline.llm.units import Kept, cut
 
 
+#: Rows whose results are held at a time.
+_AT_ONCE = 512
+
+
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte.
 
@@ -130,15 +135,18 @@ def round_trip(text: Column | str, vocabulary: str, pattern: str) -> Column:
     """``struct(ids, decoded)``: packed ids, and the bytes that these ids decode to.
 
     Both in one call, so that a task needs one Python worker and encodes each text once.  Marked as
-    not deterministic, which it is, so that Spark does not evaluate it for each of its fields.
+    not deterministic, which it is, so that Spark does not evaluate it for each of its fields.  Results
+    leave the worker some rows at a time, so that it never holds those of a whole batch.
     """
 
     @F.arrow_udf("ids binary, decoded binary")
-    def coded(texts: pa.Array) -> pa.Array:
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = codec(vocabulary, pattern)
-        ids = [one.encode(t.as_py()) for t in texts]
-        columns = [pa.array(ids, pa.binary()), pa.array(map(one.decode, ids), pa.binary())]
-        return pa.StructArray.from_arrays(columns, ["ids", "decoded"])
+        for texts in batches:
+            for start in range(0, len(texts), _AT_ONCE):
+                ids = [one.encode(t.as_py()) for t in texts.slice(start, _AT_ONCE)]
+                columns = [pa.array(ids, pa.binary()), pa.array(map(one.decode, ids), pa.binary())]
+                yield pa.StructArray.from_arrays(columns, ["ids", "decoded"])
 
     return coded.asNondeterministic()(text)
 

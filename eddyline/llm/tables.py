@@ -72,6 +72,25 @@ def training_labels(labels: DataFrame, label: str, held_out: Column, most: int)
     return _chosen(usable, share, "doc_id")
 
 
+def _chosen(rows: DataFrame, share: float, *by: str) -> DataFrame:
+    return rows.where(F.pmod(F.xxhash64(*by), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def training_labels(labels: DataFrame, label: str, held_out: Column, most: int) -> DataFrame:
+    """``doc_id, label``: distinct 0/1 labels outside the held-out fold, at most about ``most``.
+
+    A hash of the id chooses them, so the same rows are chosen each time.  The result is bounded and
+    may be broadcast.
+    """
+    usable = (
+        labels.select("doc_id", F.col(label).cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out)
+        .distinct()
+    )
+    share = min(1.0, most / max(usable.count(), 1))
+    return _chosen(usable, share, "doc_id")
+
+
 #: Tasks that work on the training rows.
 TRAINING_PARTS = 32
 
@@ -83,11 +102,16 @@ def training_rows(
 
     A doc_id with several texts gives a row for each; a hash of both chooses among the rows where that
     makes them more than ``most``.  The rows are a written table, so that learning reads the documents
-    once, and those are not shuffled.
+    once; nothing is shuffled unless rows repeat.
     """
     chosen = training_labels(labels, label, held_out, most)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = rows.select("doc_id", "label", "text").dropDuplicates()
-    rows = written(rows.repartition(TRAINING_PARTS, "doc_id", "text"), "training-rows")
-    share = min(1.0, most / max(rows.count(), 1))
-    return rows if share == 1 else _chosen(rows, share, "doc_id", "text")
+    rows = written(rows.select("doc_id", "label", "text"), "training-rows")
+    keys = rows.select("doc_id", "label", F.xxhash64("text").alias("key"))
+    n = keys.count()
+    once = keys.distinct().count()
+    if once < n:
+        rows = rows.dropDuplicates()
+    if once > most:
+        rows = _chosen(rows, most / once, "doc_id", "text")
+    return rows if once == n else written(rows, "training-rows")

@@ -76,7 +76,7 @@ class Reader:
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
         self.persons = frozenset(SECOND_PERSONS.split())
-        self.tokens = Kept(self._token, 150_000)
+        self.tokens = Kept(self._token, 60_000)
 
     def weight(self, word: str) -> float:
         get = self.lexicon.get
