@@ -40,6 +40,15 @@ def required(column: Column | str, name: str | None = None) -> Column:
     return F.coalesce(column, F.raise_error(F.lit(f"{name} must not be null")))
 
 
+def timed(df: DataFrame, ts: str) -> DataFrame:
+    """The frame, with an error where the event time ``ts`` is null; a stream's watermark on it stays.
+
+    Windows and time joins would drop such a row without a word.
+    """
+    checked = df.withColumn(ts, required(ts, f"event time {ts}").cast(column_type(df, ts)))
+    return checked.withMetadata(ts, df.schema[ts].metadata)
+
+
 def from_micros(us: Column, like: T.DataType) -> Column:
     """Microseconds back to the timestamp type of the column they came from."""
     return F.timestamp_micros(us).cast(like)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddyline.functions.hashing import bitmap_offset
-from eddyline.functions.times import bucket, micros, required, span
+from eddyline.functions.times import bucket, micros, span, timed
 from eddyline.operators.timeline import running
 from eddyline.operators.windows import tumbling
 
@@ -31,6 +31,23 @@ def sketch_per_window(
     return tumbling(df, ts, size, aggs=[F.approx_count_distinct(column, rsd).alias(name)])
 
 
+def sketch_pieces(
+    df: DataFrame, ts: str, size: str, column: str, bits: int = 14, name: str = "sketch"
+) -> DataFrame:
+    """A sketch per tumbling window, to be stored: ``2 ** bits`` registers, however many values."""
+    return tumbling(df, ts, size, aggs=[F.hll_sketch_agg(column, bits).alias(name)])
+
+
+def united(
+    pieces: DataFrame, by: Sequence[Column | str], sketch: str = "sketch", name: str = "uv"
+) -> DataFrame:
+    """About how many distinct values the pieces of each group have together.
+
+    Pieces of several runs, days or sources; the values themselves are not looked at again.
+    """
+    return pieces.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(name))
+
+
 def bitmap_state(df: DataFrame, ts: str, size: str, value: Column) -> DataFrame:
     """Mergeable bitmap pieces per window: (window_end, piece, bits).
 
@@ -39,7 +56,8 @@ def bitmap_state(df: DataFrame, ts: str, size: str, value: Column) -> DataFrame:
     visitor then costs its few bytes in the shuffle, and only the second, much smaller, stage
     handles bitmaps.  Pieces of several runs merge with ``merge_bitmaps``.
     """
-    seen = df.select(F.window(ts, size).alias("w"), bitmap_offset(value).alias("_at")).distinct()
+    rows = timed(df, ts)
+    seen = rows.select(F.window(ts, size).alias("w"), bitmap_offset(value).alias("_at")).distinct()
     return seen.groupBy(
         F.col("w.end").alias("window_end"), F.bitmap_bucket_number("_at").alias("piece")
     ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits"))
@@ -74,13 +92,13 @@ def running_distinct(
     many rows is not gathered anywhere.  First rows are then merged into the event order as +1
     steps and summed up slot by slot within the window.
     """
-    rows = df.select(
+    rows = timed(df, ts).select(
         *keep,
         F.col(ts).alias("_ts"),
         F.col(tie).alias("_tie"),
         F.window(ts, size)["end"].alias("window_end"),
         value.alias("_value"),
-    ).withColumn("_ts", required("_ts", "event time"))
+    )
     steps = (
         rows.groupBy("window_end", "_value")
         .agg(F.min(F.struct("_ts", "_tie")).alias("_first"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddyline.functions.times import bucket, interval, micros, span
+from eddyline.functions.times import bucket, interval, micros, span, timed
 from eddyline.operators.patterns import bucket_width
 from eddyline.operators.timeline import BUCKET, HOME, join_summary, overlapping
 
@@ -28,8 +28,9 @@ def interval_join(
     Column names other than ``keys`` must differ.  Time buckets as long as the interval join the
     equality keys, and a right row goes to the (at most two) buckets its partners can be in.  A
     hot key is thereby cut into buckets, and only rows near each other in time are ever compared.
-    Works on two streams when both times carry a watermark.
+    Works on two streams when both times carry a watermark.  A null time is an error.
     """
+    left, right = timed(left, left_ts), timed(right, right_ts)
     low, high = span(before), span(after)
     width = max(low + high, 1)
     lefts = left.withColumn(BUCKET, bucket(micros(left_ts), width))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddyline.functions.times import timed
+
 
 def salt(columns: Sequence[str], buckets: int = 8) -> Column:
     """A salt from 1 to ``buckets`` that is the same when a task is run again.
@@ -31,7 +33,7 @@ def salted_counts(
     first stage's event time.
     """
     parts = (
-        df.withColumn("_salt", salted_by)
+        timed(df, ts).withColumn("_salt", salted_by)
         .groupBy(F.window(ts, size).alias("w1"), *keys, "_salt")
         .agg(F.count(F.lit(1)).alias("_n"))
     )

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddyline.functions.times import bucket, column_type, from_micros, micros, span
+from eddyline.functions.times import bucket, column_type, from_micros, micros, required, span, timed
 
 
 def tumbling(
@@ -16,36 +17,75 @@ def tumbling(
     """Aggregate per tumbling window (and keys); adds ``window_end``.
 
     Aggregates are combined map-side, so neither a hot key nor the key-less form sends raw rows
-    to one task.  Works on streams with a watermark on ``ts``.
+    to one task.  Works on streams with a watermark on ``ts``.  A null event time is an error, here and
+    in the other windows.
     """
     aggs = aggs or [F.count(F.lit(1)).alias("cnt")]
-    out = df.groupBy(F.window(ts, size).alias("w"), *keys).agg(*aggs)
+    out = timed(df, ts).groupBy(F.window(ts, size).alias("w"), *keys).agg(*aggs)
     return out.withColumn("window_end", F.col("w.end")).drop("w")
 
 
-#: How an aggregate of rows becomes one of panes: what is kept per pane, and how panes add up.
-_MERGED = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
-_KEPT = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+@dataclass(frozen=True)
+class Mergeable:
+    """An aggregate in parts: of rows, of parts, of two parts (either may be null), and what it tells.
 
-Aggs = dict[str, tuple[str, Column]]
+    The first two are one aggregate function each, as the parts are also merged along a window.
+    """
+
+    create: Callable[[Column], Column]
+    merge: Callable[[Column], Column]
+    join: Callable[[Column, Column], Column]
+    result: Callable[[Column], Column] = lambda part: part
+
+
+def _added(a: Column, b: Column) -> Column:
+    return F.coalesce(a + b, a, b)
+
+
+#: The aggregates by name; ``sliding`` and its like also take a ``Mergeable`` of one's own.
+KINDS = {
+    "count": Mergeable(F.count, F.sum, _added),
+    "sum": Mergeable(F.sum, F.sum, _added),
+    "min": Mergeable(F.min, F.min, F.least),
+    "max": Mergeable(F.max, F.max, F.greatest),
+}
+
+
+def distinct_sketch(bits: int = 12) -> Mergeable:
+    """About how many distinct values, by a HyperLogLog sketch of ``2 ** bits`` registers per part.
 
+    The standard error is about ``1.04 / sqrt(2 ** bits)``.  A window without a value has 0.
+    """
+    return Mergeable(
+        lambda value: F.hll_sketch_agg(value, bits),
+        lambda part: F.hll_union_agg(part),
+        lambda a, b: F.coalesce(F.hll_union(a, b), a, b),
+        lambda part: F.hll_sketch_estimate(part),
+    )
+
+
+Aggs = dict[str, tuple[str | Mergeable, Column]]
+Parts = dict[str, tuple[Mergeable, Column]]
 
-def _kept(aggs: Aggs) -> tuple[dict[str, tuple[str, Column]], dict[str, Column]]:
-    """Partial aggregates by name, and the results as columns over the merged partials.
+
+def _kept(aggs: Aggs) -> tuple[Parts, dict[str, Column]]:
+    """Parts by name, and the results as columns over the merged parts.
 
     An average is the merged sum by the merged count.
     """
-    partial, result = {}, {}
+    parts: Parts = {}
+    result = {}
     for name, (kind, value) in aggs.items():
         if kind == "avg":
-            partial[f"_sum_{name}"], partial[f"_n_{name}"] = ("sum", value), ("count", value)
+            parts[f"_sum_{name}"], parts[f"_n_{name}"] = (KINDS["sum"], value), (KINDS["count"], value)
             result[name] = F.try_divide(f"_sum_{name}", f"_n_{name}")
-        elif kind in _KEPT:
-            partial[name] = (kind, value)
-            result[name] = F.col(name)
+        elif isinstance(kind, Mergeable) or kind in KINDS:
+            how = kind if isinstance(kind, Mergeable) else KINDS[kind]
+            parts[name] = (how, value)
+            result[name] = how.result(F.col(name))
         else:
-            raise ValueError(f"{kind} is none of count, sum, min, max, avg")
-    return partial, result
+            raise ValueError(f"{kind} is none of {', '.join(KINDS)}, avg, and no Mergeable")
+    return parts, result
 
 
 def sliding(
@@ -53,33 +93,62 @@ def sliding(
 ) -> DataFrame:
     """Aggregates per sliding window and keys, on a table; adds ``window_end``.
 
-    ``aggs``: name -> (count, sum, min, max or avg, column).  The size must be a multiple of the
-    slide.  Rows are aggregated per slide-long pane first.  A pane then goes to its own stretch of
-    one window's length and to the next, and each stretch spreads its panes over the windows that
-    end in it and adds them up, inside the task: the shuffle after the panes moves two rows per pane
-    and not one per window, however short the slide is.
+    ``aggs``: name -> (count, sum, min, max, avg or a ``Mergeable``, column).  The size must be a multiple
+    of the slide.  Rows are aggregated per slide-long pane first.  Time is cut into stretches of one
+    window's length; a window then is a tail of one stretch's panes and a head of the next one's, so a
+    pane goes to those two.  In a stretch the heads are one running aggregate and the tails another,
+    which change only where a pane comes in or falls out; the windows in between are filled in last.
+    So neither the shuffle nor the aggregation grows with the number of windows that a row is in: each
+    window costs its own result row only.  Nothing is subtracted, so that sums of fractions stay as exact
+    as they are, and minima and maxima work alike.
     """
     width, step = span(size), span(slide)
     if df.isStreaming or width % step:
         raise ValueError("panes need a table and a size that is a multiple of the slide")
-    partial, result = _kept(aggs)
+    parts, result = _kept(aggs)
     kind = column_type(df, ts)
     of = width // step
-    panes = df.groupBy(*keys, bucket(micros(ts), step).alias("_pane")).agg(
-        *[_KEPT[how](value).alias(name) for name, (how, value) in partial.items()]
+    panes = df.groupBy(*keys, bucket(required(micros(ts), f"event time {ts}"), step).alias("_pane")).agg(
+        *[how.create(value).alias(name) for name, (how, value) in parts.items()]
+    )
+    # The window numbered w ends with pane w; its panes are w - of + 1 to w.  A change at window w is a
+    # pane that comes in, or one that window w no longer has; a stretch begins with a change of nothing.
+    own, names = bucket(F.col("_pane"), of), list(parts)
+    nothing = F.lit(None).cast(panes.select(F.struct(*names)).schema[0].dataType)
+
+    def change(part: Column, at: Column, comes: Column, goes: Column) -> Column:
+        return F.struct(part.alias("_part"), at.alias("_at"), comes.alias("_in"), goes.alias("_out"))
+
+    pane = F.struct(*names)
+    changes = F.array(
+        change(own, F.col("_pane"), pane, nothing),
+        change(own + 1, (own + 1) * of, nothing, nothing),
+        change(own + 1, F.col("_pane") + of, nothing, pane),
     )
-    panes = panes.where("_pane IS NOT NULL")
-    # The window numbered w ends with pane w; its panes are w - of + 1 to w.
-    own = bucket(F.col("_pane"), of)
-    there = panes.withColumn("_part", F.explode(F.array(own, own + 1))).repartition(*keys, "_part")
-    first = F.greatest(F.col("_pane"), F.col("_part") * of)
-    last = F.least(F.col("_pane") + (of - 1), F.col("_part") * of + (of - 1))
-    spread = there.where(first <= last).withColumn("_window", F.explode(F.sequence(first, last)))
-    merged = spread.groupBy(*keys, "_part", "_window").agg(
-        *[_MERGED[how](F.col(name)).alias(name) for name, (how, _) in partial.items()]
+    # A pane that is the first of its stretch is in no window of the next.
+    changes = F.when(F.pmod("_pane", F.lit(of)) == 0, F.slice(changes, 1, 1)).otherwise(changes)
+    there = panes.select(*keys, F.explode(changes).alias("_c")).select(*keys, "_c.*")
+    at = there.repartition(*keys, "_part").groupBy(*keys, "_part", "_at").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("_in", "_out")]
     )
+    line = Window.partitionBy(*keys, "_part")
+    upto = line.orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = line.orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, -1)
+    end_of_stretch = (F.col("_part") + 1) * of
+    until = F.coalesce(F.lead("_at").over(line.orderBy("_at")), end_of_stretch)
+    merged = at.withColumn("_any_in", F.count("_in").over(upto)).withColumn("_until", until)
+    merged = merged.withColumns({f"_head_{n}": parts[n][0].merge(F.col(f"_in.{n}")).over(upto) for n in names})
+    merged = merged.withColumn("_any_out", F.count("_out").over(behind))
+    merged = merged.withColumns({f"_tail_{n}": parts[n][0].merge(F.col(f"_out.{n}")).over(behind) for n in names})
+    filled = merged.where("_any_in + _any_out > 0").withColumn(
+        "_window", F.explode(F.sequence(F.col("_at"), F.col("_until") - 1))
+    )
+    # What an aggregate makes of no part at all is not asked for.
+    head = lambda n: F.when(F.col("_any_in") > 0, F.col(f"_head_{n}"))
+    tail = lambda n: F.when(F.col("_any_out") > 0, F.col(f"_tail_{n}"))
+    whole = filled.select(*keys, "_window", *[parts[n][0].join(head(n), tail(n)).alias(n) for n in names])
     end = from_micros((F.col("_window") + 1) * step, kind)
-    return merged.select(
+    return whole.select(
         *keys, end.alias("window_end"), *[c.alias(name) for name, c in result.items()]
     )
 
@@ -91,9 +160,9 @@ def sliding_rows(
 
     Also for sizes that are no multiple of the slide.  Aggregates are combined map-side.
     """
-    partial, result = _kept(aggs)
-    rows = df.groupBy(F.window(ts, size, slide).alias("w"), *keys).agg(
-        *[_KEPT[how](value).alias(name) for name, (how, value) in partial.items()]
+    parts, result = _kept(aggs)
+    rows = timed(df, ts).groupBy(F.window(ts, size, slide).alias("w"), *keys).agg(
+        *[how.create(value).alias(name) for name, (how, value) in parts.items()]
     )
     return rows.select(
         *keys, F.col("w.end").alias("window_end"), *[c.alias(name) for name, c in result.items()]
@@ -107,12 +176,12 @@ def sliding_chained(
 
     State holds panes, and windows of panes, instead of every row in every window.
     """
-    partial, result = _kept(aggs)
-    panes = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(
-        *[_KEPT[how](value).alias(name) for name, (how, value) in partial.items()]
+    parts, result = _kept(aggs)
+    panes = timed(df, ts).groupBy(F.window(ts, slide).alias("pane"), *keys).agg(
+        *[how.create(value).alias(name) for name, (how, value) in parts.items()]
     )
     merged = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"), *keys).agg(
-        *[_MERGED[how](F.col(name)).alias(name) for name, (how, _) in partial.items()]
+        *[how.merge(F.col(name)).alias(name) for name, (how, _) in parts.items()]
     )
     return merged.select(
         *keys, F.col("w.end").alias("window_end"), *[c.alias(name) for name, c in result.items()]

@@ -105,6 +105,32 @@ def uv_hourly_hll(spark: SparkSession, folder: str) -> DataFrame:
     return about.join(exact, "window_end").select("window_end", close.alias("close"))
 
 
+def uv_sliding_hll(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether sketches united over panes are within 5 % of the exact count; 1 h / 5 min."""
+    events = _events(spark, folder)
+    sketch = {"about": (windows.distinct_sketch(14), F.col("user_id"))}
+    about = windows.sliding(events, "ts", "1 hour", "5 minutes", [], sketch)
+    exact = events.groupBy(F.window("ts", "1 hour", "5 minutes")["end"].alias("window_end")).agg(
+        F.count_distinct("user_id").alias("exact")
+    )
+    close = F.abs(F.col("about") - F.col("exact")) <= 0.05 * F.col("exact")
+    return about.join(exact, "window_end").select("window_end", "exact", close.alias("close"))
+
+
+def uv_daily_hll(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether hourly sketches, stored and united by day, are within 5 % of the exact count."""
+    events = _events(spark, folder)
+    path = new_folder(spark, "uv-sketches")
+    distinct.sketch_pieces(events, "ts", "1 hour", "user_id").write.parquet(path)
+    day = lambda at: F.date_format(at, "yyyy-MM-dd").alias("day")
+    # A window ends at the next day's first instant at most.
+    start = F.col("window_end") - F.expr("INTERVAL 1 HOUR")
+    about = distinct.united(spark.read.parquet(path), [day(start)], name="about")
+    exact = events.groupBy(day("ts")).agg(F.count_distinct("user_id").alias("exact"))
+    close = F.abs(F.col("about") - F.col("exact")) <= 0.05 * F.col("exact")
+    return about.join(exact, "day").select("day", "exact", close.alias("close"))
+
+
 def uv_running(spark: SparkSession, folder: str) -> DataFrame:
     return distinct.running_distinct(
         _events(spark, folder), "ts", "event_id", "1 hour",
@@ -466,7 +492,7 @@ BATCH: dict[str, Query] = {
     for f in (
         hot_items_topn, hot_items_sql, hot_items_report,
         pv_hourly, pv_hourly_salted,
-        uv_hourly_exact, uv_hourly_records, uv_hourly_bitmap, uv_hourly_hll, uv_running,
+        uv_hourly_exact, uv_hourly_records, uv_hourly_bitmap, uv_hourly_hll, uv_sliding_hll, uv_daily_hll, uv_running,
         hot_urls_topn, hot_urls_topn_5s, hot_urls_report, hot_urls_late, late_rows,
         late_corrections, access_log_counts, behavior_csv_counts, pay_receipt_csv,
         channel_behavior_counts, channel_stats, province_peak_5s, market_source_counts, ad_clicks_by_province, click_blacklist,

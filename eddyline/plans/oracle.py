@@ -193,6 +193,11 @@ FROM ({_HOT_ITEMS}) GROUP BY window_end""",
        count(DISTINCT (user_id, k, event_type, ts)) AS uv FROM ev GROUP BY 1""",
     "uv_hourly_bitmap": f"SELECT {_HOUR_END} AS window_end, count(DISTINCT {_OFFSET}) AS uv FROM events GROUP BY 1",
     "uv_hourly_hll": f"SELECT DISTINCT {_HOUR_END} AS window_end, true AS close FROM events",
+    "uv_sliding_hll": """SELECT window_end, count(DISTINCT user_id) AS exact, true AS close FROM (
+        SELECT user_id, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 1 MINUTE * (5 * (i + 1)) AS window_end
+        FROM events, (SELECT unnest(range(12)) AS i)) GROUP BY window_end""",
+    "uv_daily_hll": """SELECT strftime(ts, '%Y-%m-%d') AS day, count(DISTINCT user_id) AS exact, true AS close
+FROM events GROUP BY 1""",
     "uv_running": f"""WITH placed AS (SELECT event_id, ts, {_HOUR_END} AS window_end, {_OFFSET} AS h FROM events),
 flagged AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY window_end, h ORDER BY ts, event_id) = 1
                            THEN 1 ELSE 0 END AS first_seen FROM placed)
@@ -262,20 +267,13 @@ WHERE p.event_type = 'click' AND r.event_type = 'purchase'""",
 }
 
 
-def _watermark(condition: str = "true") -> str:
-    """Where the watermark stands at the end of the input: a tick behind the last row."""
-    return f"""(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 MILLISECOND
-               FROM events WHERE {condition})"""
-
-
-_VIEWED = _watermark("event_type = 'view'")
-_ORDERED = _watermark("event_type IN ('click', 'purchase')")
-
+#: Where the watermark stands at the end of the input: a tick behind the last row of all.
+_WATERMARK = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 MILLISECOND FROM events)"
 
 
 def _seen(name: str, columns: str) -> str:
     return f"""SELECT {columns} FROM ({ORACLE[name]}) f JOIN events e ON e.event_id = f.last_id
-WHERE e.ts <= {_watermark()}"""
+WHERE e.ts <= {_WATERMARK}"""
 
 
 _TAKEN = """(event_id % 50 <> 0 OR ts >= (SELECT max(ts) FROM gets) - INTERVAL 1 DAY)"""
@@ -285,8 +283,8 @@ ORACLE |= {
     "login_fail_strict_seq_global_stream": _seen("login_fail_strict_seq_global", "first_id, last_id"),
     "fail_runs_stream": _seen("fail_runs", "f.user_id, first_id, last_id"),
     "hot_items_stream": _HOT_ITEMS,
-    "hot_items_closed_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_VIEWED}",
-    "hot_items_sql_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_VIEWED}",
+    "hot_items_closed_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_WATERMARK}",
+    "hot_items_sql_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_WATERMARK}",
     "hot_items_changes_stream": f"SELECT *, CAST(1 AS BIGINT) AS net FROM ({_HOT_ITEMS})",
     "access_log_stream": f"""SELECT * FROM ({ORACLE['access_log_counts']}) WHERE window_end <=
   (SELECT date_trunc('second', max(ts)) - INTERVAL 1 MINUTE FROM events)""",
@@ -294,17 +292,52 @@ ORACLE |= {
   (SELECT date_trunc('second', max(ts)) - INTERVAL 2 SECOND FROM events)""",
     "hot_urls_late_stream": f"""{_REQUESTS}, near AS (SELECT * FROM gets WHERE {_TAKEN})
 {_top(_sliding('near', 'url', 10, 1), 'url')}""",
+    # Part after part arrives; behind each the watermark moves on and windows that it has passed fire.
+    "hot_urls_firings_stream": f"""{_REQUESTS}, arriving AS (
+  SELECT *, floor(epoch(ts)) + CASE WHEN event_id % 50 = 0 AND ts < (SELECT max(ts) FROM gets) - INTERVAL 1 DAY
+                                    THEN 12 * 86400 ELSE event_id * 7919 % 1500 END AS arrival FROM gets
+), parted AS (
+  SELECT *, CAST(floor((arrival - (SELECT min(arrival) FROM arriving))
+                 / greatest(1, ceil((SELECT max(arrival) - min(arrival) + 1 FROM arriving) / 6))) AS BIGINT) AS part
+  FROM arriving
+), marks AS (
+  SELECT j AS part, (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 5 MINUTE FROM parted p WHERE p.part < j) AS before,
+         (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 5 MINUTE FROM parted p WHERE p.part <= j) AS after
+  FROM (SELECT unnest(range(6)) AS j)
+), spread AS (
+  SELECT url, part, before, time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE * (i + 1) AS window_end
+  FROM parted JOIN marks USING (part), (SELECT unnest(range(10)) AS i)
+), counted AS (
+  SELECT url, window_end, part, count(*) AS n FROM spread
+  WHERE before IS NULL OR window_end + INTERVAL 30 MINUTE > before GROUP BY ALL
+), stated AS (
+  SELECT w.url, w.window_end, m.part, m.before, m.after, c.n,
+         sum(c.n) OVER (PARTITION BY w.url, w.window_end ORDER BY m.part) AS total
+  FROM (SELECT DISTINCT url, window_end FROM counted) w CROSS JOIN marks m
+  LEFT JOIN counted c ON c.url = w.url AND c.window_end = w.window_end AND c.part = m.part
+), firing AS (
+  SELECT url, window_end, part, 0 AS phase, total FROM stated WHERE n > 0 AND window_end <= before
+  UNION ALL
+  SELECT url, window_end, part, 1 AS phase, total FROM stated
+  WHERE total > 0 AND window_end <= after AND (before IS NULL OR window_end > before)
+)
+SELECT url, window_end, CAST(row_number() OVER (PARTITION BY url, window_end ORDER BY part, phase) AS INTEGER) AS firing,
+       CAST(total AS BIGINT) AS cnt, 'window' AS tag, CAST(NULL AS TIMESTAMP) AS late_ts, CAST(NULL AS BIGINT) AS event_id
+FROM firing
+UNION ALL
+SELECT url, NULL, NULL, NULL, 'late', ts, event_id FROM parted JOIN marks USING (part)
+WHERE time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 40 MINUTE <= before""",
     "late_rows_stream": f"{_REQUESTS} SELECT event_id, ts, url FROM gets WHERE NOT ({_TAKEN})",
     "uv_bitmap_stream": ORACLE["uv_hourly_bitmap"],
-    "pv_hourly_stream": f"SELECT * FROM ({_PV}) WHERE window_end <= {_VIEWED}",
-    "uv_hourly_stream": f"SELECT * FROM ({ORACLE['uv_hourly_exact']}) WHERE window_end <= {_watermark()}",
+    "pv_hourly_stream": f"SELECT * FROM ({_PV}) WHERE window_end <= {_WATERMARK}",
+    "uv_hourly_stream": f"SELECT * FROM ({ORACLE['uv_hourly_exact']}) WHERE window_end <= {_WATERMARK}",
     "pay_receipt_interval_stream": ORACLE["pay_receipt_interval"],
     "login_fail_window_stream": f"""SELECT * FROM ({_FAIL_WINDOW})
-WHERE first_ts + INTERVAL 6 HOUR < {_watermark()}""",
-    "order_timeout_state_stream": f"SELECT * FROM ({_ORDER_STATE}) WHERE ts <= {_ORDERED}",
+WHERE first_ts + INTERVAL 6 HOUR < {_WATERMARK}""",
+    "order_timeout_state_stream": f"SELECT * FROM ({_ORDER_STATE}) WHERE ts <= {_WATERMARK}",
     "order_timeout_pattern_stream": f"""SELECT o.* FROM ({_ORDER_PATTERN}) o
 JOIN events c ON c.event_id = o.create_id LEFT JOIN events p ON p.event_id = o.pay_id
-WHERE CASE WHEN pay_id IS NULL THEN c.ts + INTERVAL 12 HOUR ELSE p.ts END <= {_ORDERED}""",
+WHERE CASE WHEN pay_id IS NULL THEN c.ts + INTERVAL 12 HOUR ELSE p.ts END <= {_WATERMARK}""",
     "pay_receipt_reconcile_stream": f"""WITH pairs AS ({_RECONCILE_ALL}),
 nexts AS (SELECT user_id, event_id, event_type, ts,
                  lead(event_type) OVER w AS next_type, lead(ts) OVER w AS next_ts
@@ -315,11 +348,11 @@ SELECT p.user_id, CASE WHEN tag = 'matched' AND receipt_ts < pay_ts THEN receipt
        CASE WHEN tag = 'matched' AND receipt_ts >= pay_ts THEN receipt_id
             ELSE coalesce(CASE WHEN tag <> 'receipt_no_pay' THEN pay_id END, receipt_id) END AS last_id, tag
 FROM pairs p LEFT JOIN nexts n ON n.event_id = coalesce(p.pay_id, p.receipt_id)
-WHERE CASE WHEN tag = 'matched' THEN greatest(pay_ts, receipt_ts) <= {_ORDERED}
+WHERE CASE WHEN tag = 'matched' THEN greatest(pay_ts, receipt_ts) <= {_WATERMARK}
            -- a lone row is reported when its wait is over or when one of its own side takes over
-           ELSE n.ts + INTERVAL 5 HOUR < {_ORDERED}
-             OR (n.next_type = n.event_type AND n.next_ts <= {_ORDERED}) END""",
+           ELSE n.ts + INTERVAL 5 HOUR < {_WATERMARK}
+             OR (n.next_type = n.event_type AND n.next_ts <= {_WATERMARK}) END""",
     "click_filter_stream": f"""{_CLICKS} SELECT user_id, ad_id, ts, event_id,
        CASE WHEN n <= 2 THEN 'pass' ELSE 'warning' END AS tag
-FROM numbered WHERE n <= 3 AND ts <= {_watermark()}""",
+FROM numbered WHERE n <= 3 AND ts <= {_WATERMARK}""",
 }

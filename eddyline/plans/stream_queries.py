@@ -18,7 +18,8 @@ from eddyline.plans.event_queries import TOP, Query, behavior_lines, in_files, l
 from eddyline.session import new_folder
 from eddyline.sources import files
 from eddyline.sources.files import event_stream, event_table
-from eddyline.streaming import processors, queries, runs, sinks
+from eddyline.streaming import firings, processors, queries, runs, sinks
+from eddyline.streaming.filters import keep
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,7 +28,7 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _of_type(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    return _events(spark, folder).where(F.col("event_type") == kind)
+    return keep(_events(spark, folder), "ts", F.col("event_type") == kind)
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ def access_log_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = event_table(spark, folder)
     mixed = events.orderBy(F.unix_seconds(F.col("ts").cast("timestamp")) + F.col("event_id") * 7919 % 60)
     path = in_files(log_lines(mixed), "access-log")
-    requests = files.access_log(spark, path, streaming=True).where("method = 'GET'")
+    requests = keep(files.access_log(spark, path, streaming=True), "ts", "method = 'GET'")
     counts = windows.tumbling(requests, "ts", "1 hour", ["url"])
     return _plain_times(runs.collected(counts, "access-log-counts"))
 
@@ -176,6 +177,21 @@ def late_rows_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(router.rows("late").select("event_id", "ts", "url"))
 
 
+def hot_urls_firings_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Every firing of every window, at its end and on corrections, and the late rows; 10 min / 1 min."""
+    path = new_folder(spark, "url-firings")
+
+    def run(stream: DataFrame) -> None:
+        found = firings.window_firings(
+            stream, "ts", "event_id", "10 minutes", "1 minute", ["url"], **_LATE
+        )
+        runs.to_table(found, f"{path}/rows", f"{path}/checkpoint", "url-firings")
+
+    _as_they_arrive(spark, folder, "late-requests", run)
+    rows = spark.read.parquet(f"{path}/rows").withColumnRenamed("tie", "event_id")
+    return _plain_times(rows)
+
+
 def uv_bitmap_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Unique visitors from bitmap pieces that every micro-batch brings up to date."""
     path = new_folder(spark, "uv-bitmap")
@@ -198,7 +214,7 @@ def uv_hourly_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pay_receipt_interval_stream(spark: SparkSession, folder: str) -> DataFrame:
-    side = lambda kind, name: _events(spark, folder).where(F.col("event_type") == kind).select(
+    side = lambda kind, name: _of_type(spark, folder, kind).select(
         "user_id", F.col("ts").alias(f"{name}_ts"), F.col("event_id").alias(f"{name}_id")
     )
     pairs = joins.interval_join(
@@ -251,7 +267,7 @@ def fail_runs_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder).where(F.col("event_type").isin("click", "purchase"))
+    return keep(_events(spark, folder), "ts", F.col("event_type").isin("click", "purchase"))
 
 
 def _paying():
@@ -305,7 +321,7 @@ STREAM: dict[str, Query] = {
     f.__name__: f
     for f in (
         hot_items_stream, hot_items_closed_stream, hot_items_sql_stream, hot_items_changes_stream,
-        access_log_stream, behavior_csv_stream, hot_urls_late_stream, late_rows_stream,
+        access_log_stream, behavior_csv_stream, hot_urls_late_stream, late_rows_stream, hot_urls_firings_stream,
         pv_hourly_stream,
         uv_hourly_stream, uv_bitmap_stream,
         pay_receipt_interval_stream, login_fail_window_stream, login_fail_strict_seq_stream,

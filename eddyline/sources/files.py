@@ -73,7 +73,7 @@ def access_log_columns(line: Column) -> list[Column]:
     return [
         part[0].alias("ip"),
         part[1].alias("userId"),
-        F.to_timestamp(part[3], ACCESS_LOG_TIME).alias("ts"),
+        required(F.to_timestamp(part[3], ACCESS_LOG_TIME), "the time of an access-log line").alias("ts"),
         part[5].alias("method"),
         part[6].alias("url"),
     ]
@@ -86,7 +86,7 @@ def access_log(
     delay: str = "1 minute",
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Web-server access log: ip, userId, ts, method, url."""
+    """Web-server access log: ip, userId, ts, method, url; a line without a time fails the read."""
     lines = _reader(spark, streaming, options).text(path)
     return _watermark(lines.select(*access_log_columns(F.col("value"))), streaming, delay)
 
@@ -103,4 +103,4 @@ def event_stream(
     raw = (
         spark.readStream.schema(schemas.EVENTS).option("pathGlobFilter", glob).parquet(folder)
     )
-    return raw.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    return raw.withColumn("ts", required("ts").cast("timestamp")).withWatermark("ts", delay)

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.functions.hashing import bitmap_offset
-from eddyline.functions.times import span
+from eddyline.functions.times import span, timed
 from eddyline.operators.windows import sliding_counts, sliding_rows
+from eddyline.streaming.filters import met_sql
 
 
 def distinct_per_window(
@@ -23,7 +24,7 @@ def distinct_per_window(
 
     The state keeps each (window, value) once, spread over all tasks by both.
     """
-    seen = stream.select(F.window(ts, size).alias("w"), column).dropDuplicates(["w", column])
+    seen = timed(stream, ts).select(F.window(ts, size).alias("w"), column).dropDuplicates(["w", column])
     counts = seen.groupBy("w").agg(F.count(F.lit(1)).alias(name))
     return counts.select(F.col("w.end").alias("window_end"), name)
 
@@ -34,7 +35,7 @@ def bitmap_pieces(stream: DataFrame, ts: str, size: str, value: Column) -> DataF
     Kept with ``sinks.WindowValues`` by piece, this gives a unique-visitor count that is brought
     up to date with every micro-batch.
     """
-    at = stream.select(ts, bitmap_offset(value).alias("_at"))
+    at = timed(stream, ts).select(ts, bitmap_offset(value).alias("_at"))
     pieces = at.groupBy(F.window(ts, size).alias("w"), F.bitmap_bucket_number("_at").alias("piece"))
     bits = pieces.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits"))
     return bits.select("piece", F.col("w.end").alias("window_end"), "bits")
@@ -45,11 +46,13 @@ def sql_window_counts(
 ) -> DataFrame:
     """Counts per sliding window as SQL text over a streaming view with a watermark on ``ts``.
 
-    Ranking is left to the sink: rank functions are not available on streams.
+    Rows that do not meet the condition still move the watermark: it is tied to the event time, so that
+    it is applied behind the watermark.  Ranking is left to the sink: rank functions are not available
+    on streams.
     """
     return spark.sql(f"""
         SELECT {item}, w.end AS window_end, count({item}) AS cnt
-        FROM (SELECT {item}, window({ts}, '1 hour', '5 minutes') AS w FROM {view} WHERE {condition})
+        FROM (SELECT {item}, window({ts}, '1 hour', '5 minutes') AS w FROM {view} WHERE {met_sql(ts, condition)})
         GROUP BY {item}, w
     """)
 

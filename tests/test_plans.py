@@ -78,3 +78,14 @@ def test_one_shuffle_after_the_panes(spark, name):
     assert physical.count("Exchange hashpartitioning") == 2
     # The panes move by key and stretch; the windows are made behind that.
     assert re.search(r"Exchange hashpartitioning\([^)]*_part[^)]*\), REPARTITION_BY_COL", physical)
+
+
+@pytest.mark.parametrize("name", ["province_peak_5s", "hot_urls_topn_5s"])
+def test_windows_are_filled_in_last(spark, name):
+    """A pane goes to three changes at most; one row per window comes behind the running aggregates."""
+    text = plan(spark, name)
+    physical = text[text.index("== Physical Plan ==") :]
+    spreads = [line for line in physical.splitlines() if "Generate explode(" in line]
+    assert len(spreads) == 2 and "sequence(" in spreads[0] and "_in" in spreads[1]
+    first, second = (physical.index(line) for line in spreads)
+    assert "Window [" in physical[first:second] and "sequence(" not in physical[second:]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from eddyline.functions.times import span
 from eddyline.operators import distinct, joins, salting, windows
 from eddyline.sources import market
-from eddyline.streaming import processors, queries, runs, sinks
+from eddyline.streaming import filters, firings, processors, queries, runs, sinks
 
 DDL = "key long, ts timestamp_ntz, tie long, kind string"
 FLUSH = (-1, 10_000_000, -1, "flush")
@@ -422,3 +422,79 @@ def test_what_a_batch_reads_does_not_grow(spark, tmp_path):
     assert {(r.key, r.window_end): r.cnt for r in table.latest().collect()} == kept
     before = {(r.key, r.window_end): r.cnt for r in table.latest(6, 7).collect()}
     assert before == {(k, newest): 60 + k for k in range(3)}
+
+
+def slow_firings(batches, size, slide, bound, lateness):
+    """Counts by window; a batch sees the watermark of those before it, then the timers of its own."""
+    counts, fired, out, top = Counter(), Counter(), [], None
+    for rows in batches:
+        passed = float("-inf") if top is None else top - bound
+        changed = set()
+        for key, t, tie, _ in rows:
+            ends = [t // slide * slide + slide * (k + 1) for k in range(size // slide)]
+            open_ends = [e for e in ends if e + lateness > passed]
+            if not open_ends:
+                out.append((key, None, None, None, "late", tie))
+            for e in open_ends:
+                counts[key, e] += 1
+                changed.add((key, e))
+        for w in sorted(changed):
+            if w[1] <= passed:
+                fired[w] += 1
+                out.append((*w, fired[w], counts[w], "window", None))
+        top = max([t for _, t, _, _ in rows] + ([] if top is None else [top]))
+        for w in sorted(counts):
+            if w[1] <= top - bound and not fired[w]:
+                fired[w] = 1
+                out.append((*w, 1, counts[w], "window", None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("stretch", [None, "1 minute", "95 seconds"])
+def test_windows_fire_at_their_end_and_on_corrections(spark, fed, tmp_path, stretch):
+    rng = random.Random(8)
+    rows = [(rng.choice([0, 0, 1]), rng.randrange(900), k, "x") for k in range(160)]
+    # Mostly in order, some behind by much, so that there are corrections and late rows.
+    arrived = sorted(rows, key=lambda r: r[1] + (rng.randrange(300) if rng.random() < 0.3 else 0))
+    batches = [arrived[k : k + 32] for k in range(0, 160, 32)]
+    folder = tmp_path / "parts"
+    found = None
+    for part in batches:
+        # One run for each batch: behind its rows, the watermark moves on and timers fire.
+        stream_rows(spark, [(k, at(t), tie, kind) for k, t, tie, kind in part], DDL).write.mode("append").parquet(
+            str(folder)
+        )
+        stream = spark.readStream.schema(DDL.replace("timestamp_ntz", "timestamp")).parquet(str(folder))
+        found = firings.window_firings(
+            stream, "ts", "tie", "1 minute", "10 seconds", ["key"], "5 seconds", "30 seconds", stretch
+        )
+        found = runs.to_table(found, str(tmp_path / "out"), str(tmp_path / "check"), "firings")
+    got = [
+        (r.key, None if r.window_end is None else int(secs(r.window_end)), r.firing, r.cnt, r.tag, r.tie)
+        for r in found.collect()
+    ]
+    want = slow_firings(batches, 60, 10, 5, 30)
+    assert (sorted(set(got) - set(want), key=str), sorted(set(want) - set(got), key=str)) == ([], [])
+    assert sorted(got, key=str) == want
+    assert max(r[2] or 0 for r in want) > 1 and any(r[4] == "late" for r in want)
+
+
+def test_filtered_rows_still_move_the_watermark(spark, fed, tmp_path):
+    rows = [(0, 10, 0, "a"), (0, 70, 1, "a"), (0, 500, 2, "b")]
+    stream = fed([rows], flush=False)
+    for k, asked in enumerate([filters.keep(stream, "ts", "kind = 'a'"), stream.where("kind = 'a'")]):
+        counts = windows.tumbling(asked, "ts", "1 minute")
+        table = runs.to_table(counts, str(tmp_path / f"out{k}"), str(tmp_path / f"check{k}"))
+        ends = sorted(secs(r.window_end) for r in table.collect())
+        # Spark moves the plain filter below the watermark; then the second window stays open.
+        assert ends == ([60, 120] if k == 0 else [60])
+    table = spark.createDataFrame([(at(1), "a"), (at(2), "b")], "ts timestamp_ntz, kind string")
+    assert filters.keep(table, "ts", "kind = 'a'").count() == 1
+
+
+def test_a_null_event_time_of_a_stream_is_an_error(spark, tmp_path):
+    stream_rows(spark, [(1, None, 1, "x")], DDL).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(DDL.replace("timestamp_ntz", "timestamp")).parquet(str(tmp_path / "in"))
+    counts = windows.tumbling(stream.withWatermark("ts", "1 second"), "ts", "1 minute")
+    with pytest.raises(Exception, match="must not be null"):
+        runs.to_table(counts, str(tmp_path / "out"), str(tmp_path / "check"))

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 from conftest import at, secs, stream_rows
 from pyspark.sql import functions as F
 
-from eddyline.operators import distinct, salting, tags, topn, windows
+from eddyline.operators import distinct, joins, salting, tags, topn, windows
 
 
 def dense(spark, seed=0, count=3000):
@@ -109,6 +109,79 @@ def test_aggregates_over_panes(spark):
         assert got[k] == (len(real), sum(real) if real else None, min(real, default=None), max(real, default=None), mean)
 
 
+def test_sums_of_fractions_lose_nothing(spark):
+    # Very large and very small values: a sum that is carried on by subtraction would lose the small ones.
+    rows = [(None, at(0), 1e17), (None, at(30), 0.25), (None, at(700), 0.5), ("a", at(3), 1e-9), ("a", at(599), -1e9)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, v double")
+    args = (df, "ts", "10 minutes", "10 seconds", ["key"], {"s": ("sum", F.col("v"))})
+    got = {(r.key, r.window_end): r.s for r in windows.sliding(*args).collect()}
+    assert got == {(r.key, r.window_end): r.s for r in windows.sliding_rows(*args).collect()}
+    assert got[None, at(620)] == 0.25 and got[None, at(720)] == 0.5
+
+
+def test_windows_as_long_as_their_slide(spark):
+    rows, df = dense(spark, 5, 200)
+    args = ("ts", "1 minute", "1 minute", ["key"])
+    got = sorted(tuple(r) for r in windows.sliding_counts(df, *args).collect())
+    assert got == sorted(tuple(r) for r in windows.sliding_counts(df, *args, how=windows.sliding_rows).collect())
+
+
+def test_own_aggregate_in_parts(spark):
+    """The longest text, of equal ones the last: the part is its length and itself."""
+    own = windows.Mergeable(
+        lambda v: F.max(F.when(v.isNotNull(), F.struct(F.length(v).alias("n"), v.alias("v")))),
+        F.max, F.greatest, lambda part: part["v"],
+    )
+    rng = random.Random(6)
+    rows = [(rng.choice("ab"), at(rng.randrange(600)), rng.choice([None, "x", "yy", "zz", "zzzz"])) for _ in range(60)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, v string")
+    args = (df, "ts", "2 minutes", "20 seconds", ["key"], {"told": (own, F.col("v"))})
+    got = {(r.key, secs(r.window_end)): r.told for r in windows.sliding(*args).collect()}
+    assert got == {(r.key, secs(r.window_end)): r.told for r in windows.sliding_rows(*args).collect()}
+    want = defaultdict(list)
+    for key, ts, v in rows:
+        start = int(secs(ts)) // 20 * 20
+        for end in range(start + 20, start + 140, 20):
+            want[key, end].append(v or "")
+    assert got == {k: max(vs, key=lambda v: (len(v), v)) or None for k, vs in want.items()}
+
+
+def test_sketches_over_windows_and_stored(spark):
+    rows = [(at(7 * k), k * k % 4001) for k in range(4000)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, user long")
+    sketch = {"uv": (windows.distinct_sketch(14), F.col("user"))}
+    got = {secs(r.window_end): r.uv for r in windows.sliding(df, "ts", "1 hour", "5 minutes", [], sketch).collect()}
+    want = defaultdict(set)
+    for ts, user in rows:
+        for k in range(12):
+            want[secs(ts) // 300 * 300 + 300 * (k + 1)].add(user)
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - len(v)) <= 0.03 * len(v) + 1 for k, v in want.items())
+    pieces = distinct.sketch_pieces(df, "ts", "10 minutes", "user")
+    (whole,) = distinct.united(pieces, []).collect()
+    exact = len({u for _, u in rows})
+    assert abs(whole.uv - exact) <= 0.03 * exact
+
+
+@pytest.mark.parametrize("where", range(7))
+def test_a_null_event_time_is_an_error(spark, where):
+    df = spark.createDataFrame([(at(1), 1), (None, 2)], "ts timestamp_ntz, k int")
+    counts = {"n": ("count", F.lit(1))}
+    asked = [
+        lambda: windows.tumbling(df, "ts", "1 minute"),
+        lambda: windows.sliding(df, "ts", "1 minute", "10 seconds", [], counts),
+        lambda: windows.sliding_rows(df, "ts", "1 minute", "10 seconds", ["k"], counts),
+        lambda: salting.salted_counts(df, "ts", "1 minute", salting.salt(["k"])),
+        lambda: joins.interval_join(
+            df.withColumnRenamed("ts", "a"), df.withColumnRenamed("ts", "b"), ["k"], "a", "b", "1 hour", "1 hour"
+        ),
+        lambda: distinct.bitmap_state(df, "ts", "1 minute", F.col("k")),
+        lambda: distinct.running_distinct(df, "ts", "k", "1 minute", F.col("k"), ["k"]),
+    ]
+    with pytest.raises(Exception, match="must not be null"):
+        asked[where]().collect()
+
+
 def test_panes_want_a_multiple(spark):
     df = spark.createDataFrame([(at(1),)], "ts timestamp_ntz")
     with pytest.raises(ValueError):
