@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.times import column_type, from_micros, micros, span
 from eddyline.operators.patterns import bucket_width
-from eddyline.operators.timeline import BUCKET, HOME, overlapping
+from eddyline.operators.timeline import BUCKET, HOME, neighbours, overlapping
 
 TAGS = ("paid", "create_without_pay", "pay_without_create")
 
@@ -26,6 +26,7 @@ def order_states(
     paid: Column,
     within: str,
     bucket: str | None = None,
+    slot: str | None = None,
 ) -> DataFrame:
     """Every payment and every create that ran out of time, tagged: (key, ts, tie, tag).
 
@@ -33,6 +34,9 @@ def order_states(
     payment uses it up.  So only the event just before and just after decides, and it matters
     only within the time bound: one shuffle on (order, time bucket).  At equal times a create
     comes before a payment.  A timeout carries its create's time plus ``within``.
+
+    ``slot`` asks for slots of that length in place of buckets: no row is copied, and a busy key falls
+    into as many pieces as it has slots, however long the bound is.
     """
     bound = span(within)
     kind = column_type(df, ts)
@@ -41,19 +45,19 @@ def order_states(
         .withColumn("_paid", F.coalesce(paid, F.lit(False)))
         .select(key, ts, tie, "_paid")
     )
-    spread = overlapping(events, ts, bucket_width(bound, bucket), behind=bound, ahead=bound)
-    line = Window.partitionBy(key, BUCKET).orderBy(ts, "_paid", tie)
-    near = spread.withColumns(
-        {
-            "_before": F.lag(F.struct(ts, "_paid")).over(line),
-            "_after": micros(F.lead(ts).over(line)),
-        }
-    ).where(HOME)
+    line = [ts, "_paid", tie]
+    if slot is None:
+        spread = overlapping(events, ts, bucket_width(bound, bucket), behind=bound, ahead=bound)
+        order = Window.partitionBy(key, BUCKET).orderBy(*line)
+        me = F.struct(*line)
+        near = spread.withColumns({"_prev": F.lag(me).over(order), "_next": F.lead(me).over(order)}).where(HOME)
+    else:
+        near = neighbours(events, [key], ts, line, span(slot))
     armed = F.coalesce(
-        ~F.col("_before")["_paid"] & (micros(ts) - micros(F.col("_before")[ts]) <= bound),
+        ~F.col("_prev")["_paid"] & (micros(ts) - micros(F.col("_prev")[ts]) <= bound),
         F.lit(False),
     )
-    followed = F.coalesce(F.col("_after") - micros(ts) <= bound, F.lit(False))
+    followed = F.coalesce(micros(F.col("_next")[ts]) - micros(ts) <= bound, F.lit(False))
     tagged = near.withColumn(
         "tag",
         F.when(F.col("_paid") & armed, TAGS[0])

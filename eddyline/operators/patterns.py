@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.functions.times import micros, span
-from eddyline.operators.timeline import BUCKET, HOME, following, home_rows, overlapping
+from eddyline.operators.timeline import (
+    BUCKET, HOME, following, home_rows, in_slots, join_summary, overlapping,
+)
 
 
 @dataclass(frozen=True)
@@ -109,6 +111,7 @@ def relaxed_sequence(
     columns: Sequence[str],
     within: str,
     bucket: str | None = None,
+    slot: str | None = None,
 ) -> DataFrame:
     """For every first-step row, the first later row of each further step, others may intervene.
 
@@ -116,9 +119,12 @@ def relaxed_sequence(
     after the start, else ``timeout``, with the steps not reached in time left null.  Followers
     are found from the last step backwards with a running frame, so the work is linear in the
     rows of a bucket, and rows of no step are dropped before the shuffle.
+
+    ``slot`` asks for slots of that length in place of buckets: no row is copied, and a busy key falls
+    into as many pieces as it has slots.  Each slot then tells the earlier ones, for every step, the rows
+    that a sequence waiting for that step would take in it; these few are put in key order and chained.
     """
     bound = span(within)
-    width = bucket_width(bound, bucket)
     fits = [f"_fit{i}" for i in range(len(steps))]
     base = (
         df.where(reduce(or_, [s.condition for s in steps]))
@@ -126,7 +132,10 @@ def relaxed_sequence(
         .withColumn("_me", F.struct(*columns, F.col(ts).alias("_ts")))
         .select(*dict.fromkeys([*keys, ts, *tie, *fits, "_me"]))
     )
-    found = overlapping(base, ts, width, ahead=bound)
+    if slot is None:
+        found = overlapping(base, ts, bucket_width(bound, bucket), ahead=bound)
+    else:
+        found = in_slots(base, keys, ts, span(slot)).withColumn(HOME, F.lit(True))
     later = (
         Window.partitionBy(*keys, BUCKET)
         .orderBy(*[F.desc(c) for c in [ts, *tie]])
@@ -138,7 +147,10 @@ def relaxed_sequence(
         rest = F.last(f"_chain{i + 1}", ignorenulls=True).over(later)
         chain = F.concat(F.array("_me"), F.coalesce(rest, F.expr("array()").cast(_type(found, last))))
         found = found.withColumn(f"_chain{i}", F.when(F.col(fits[i]), chain))
-    starts = found.where(F.col(HOME) & F.col(fits[0])).withColumn(
+    starts = found.where(F.col(HOME) & F.col(fits[0]))
+    if slot is not None:
+        starts = _carried_on(starts, found, keys, [ts, *tie], last)
+    starts = starts.withColumn(
         "_chain",
         F.filter("_chain0", lambda r: micros(r["_ts"]) - micros(F.col(ts)) < bound),
     )
@@ -152,5 +164,38 @@ def relaxed_sequence(
     )
 
 
+def _carried_on(
+    starts: DataFrame, found: DataFrame, keys: Sequence[str], order: Sequence[str], last: int
+) -> DataFrame:
+    """Chains from step 0 that end early in their slot, with what later slots add to them.
+
+    A slot's answer to a sequence that waits for step i: the chain of its first row that fits.  Where that
+    ends early, it goes on with the answer of the slots behind it to the step it then waits for.
+    """
+    nothing = F.expr("array()").cast(_type(found, last))
+    place = F.struct(*order)
+
+    def whole(i: int) -> Column:
+        chain, rest = F.col(f"_chain{i}"), nothing
+        for j in range(i + 1, last + 1):
+            answer = F.coalesce(f"_after{j}", nothing)
+            rest = F.when(F.size(chain) == j - i, answer).otherwise(rest)
+        return F.when(chain.isNotNull(), F.concat(chain, rest))
+
+    slots = found.groupBy(*keys, BUCKET).agg(
+        *[
+            F.min_by(f"_chain{i}", F.when(F.col(f"_chain{i}").isNotNull(), place)).alias(f"_chain{i}")
+            for i in range(1, last + 1)
+        ]
+    )
+    behind = Window.partitionBy(*keys).orderBy(F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+    for i in range(last, 0, -1):
+        answer = F.last(f"_whole{i}", ignorenulls=True).over(behind)
+        slots = slots.withColumn(f"_whole{i}", whole(i)).withColumn(f"_after{i}", answer)
+    carried = slots.select(*keys, BUCKET, *[f"_after{i}" for i in range(1, last + 1)])
+    joined = join_summary(starts, carried, [*keys, BUCKET], "left")
+    return joined.withColumn("_chain0", whole(0))
+
+
 def _type(df: DataFrame, last: int):
     return df.schema[f"_chain{last}"].dataType

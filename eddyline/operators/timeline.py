@@ -6,9 +6,9 @@ an option.  Two tools split a key by time and stay exact:
 * ``overlapping``: for anything that only looks a bounded time ahead or behind.  Rows close to a
   bucket's edge are copied into the neighbour bucket; results are kept from home rows only.
   One shuffle, no second pass.
-* ``running`` and ``following``: for running values and unbounded neighbours.  Each (key, slot)
-  is worked on by itself, and one small summary row per (key, slot) carries over what earlier or
-  later slots contribute.
+* ``running``, ``following`` and ``neighbours``: for running values and unbounded neighbours.  Each
+  (key, slot) is worked on by itself, and one small summary row per (key, slot) carries over what
+  earlier or later slots contribute.  No row is copied.
 
 A null key is a key of its own.  A null event time is an error: the row has no place in any order.
 """
@@ -100,6 +100,33 @@ def running(
     )
 
 
+def in_slots(df: DataFrame, keys: Sequence[str], ts: str, width: int) -> DataFrame:
+    """Add ``_bucket`` without copies, dealt once by (key, slot) for all that follows."""
+    return df.withColumn(BUCKET, bucket(required(micros(ts), "event time"), width)).repartition(*keys, BUCKET)
+
+
+def neighbours(
+    df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], width: int
+) -> DataFrame:
+    """The frame with the rows just before and after each of the same key: structs ``_prev``, ``_next``.
+
+    They hold the columns ``order``, and are null at a key's ends.  The neighbour may be however far away:
+    of each slot, only its first and last place are put in key order.  Keeps ``_bucket``.
+    """
+    me = F.struct(*order)
+    slotted = in_slots(df, keys, ts, width)
+    inner = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    local = slotted.withColumns({"_prev": F.lag(me).over(inner), "_next": F.lead(me).over(inner)})
+    ends = slotted.groupBy(*keys, BUCKET).agg(F.min(me).alias("_head"), F.max(me).alias("_tail"))
+    along = Window.partitionBy(*keys).orderBy(BUCKET)
+    carried = ends.select(
+        *keys, BUCKET, F.lag("_tail").over(along).alias("_before"), F.lead("_head").over(along).alias("_after")
+    )
+    return join_summary(local, carried, [*keys, BUCKET], "left").withColumns(
+        {"_prev": F.coalesce("_prev", "_before"), "_next": F.coalesce("_next", "_after")}
+    ).drop("_before", "_after")
+
+
 def following(
     df: DataFrame,
     keys: Sequence[str],

@@ -170,11 +170,12 @@ def sliding_rows(
 
 
 def sliding_chained(
-    df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str], aggs: Aggs
+    df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str], aggs: Aggs, time: str | None = None
 ) -> DataFrame:
     """The same result on a stream in append mode: a window over panes, chained on their own time.
 
-    State holds panes, and windows of panes, instead of every row in every window.
+    State holds panes, and windows of panes, instead of every row in every window.  ``time`` names a
+    further column, the event time of the result, for operators chained behind it.
     """
     parts, result = _kept(aggs)
     panes = timed(df, ts).groupBy(F.window(ts, slide).alias("pane"), *keys).agg(
@@ -183,8 +184,9 @@ def sliding_chained(
     merged = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"), *keys).agg(
         *[how.merge(F.col(name)).alias(name) for name, (how, _) in parts.items()]
     )
+    told = [] if time is None else [F.window_time("w").alias(time)]
     return merged.select(
-        *keys, F.col("w.end").alias("window_end"), *[c.alias(name) for name, c in result.items()]
+        *keys, F.col("w.end").alias("window_end"), *[c.alias(name) for name, c in result.items()], *told
     )
 
 

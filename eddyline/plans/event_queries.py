@@ -384,7 +384,7 @@ def _failure_sequence(
     found = patterns.strict_sequence(
         _events(spark, folder), keys, "ts", ["event_id"],
         [Step("start", _failed()), Step("next", _failed())],
-        ["event_id", "user_id", "ts"], within,
+        ["event_id", "user_id", "ts"], within, slot="1 day" if keys else "1 hour",
     )
     return found.select(
         F.col("start.user_id").alias("user_id"),
@@ -428,7 +428,7 @@ def order_timeout_pattern(spark: SparkSession, folder: str) -> DataFrame:
     found = patterns.relaxed_sequence(
         _events(spark, folder), ["user_id"], "ts", ["event_id"],
         [Step("create", _created()), Step("pay", _paid())],
-        ["event_id", "user_id"], "12 hours",
+        ["event_id", "user_id"], "12 hours", slot="1 day",
     )
     return found.select(
         F.col("create.user_id").alias("user_id"),
@@ -440,7 +440,7 @@ def order_timeout_pattern(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_timeout_state(spark: SparkSession, folder: str) -> DataFrame:
     return orders.order_states(
-        _events(spark, folder), "user_id", "ts", "event_id", _created(), _paid(), "12 hours"
+        _events(spark, folder), "user_id", "ts", "event_id", _created(), _paid(), "12 hours", slot="1 day"
     )
 
 
@@ -462,11 +462,25 @@ def pay_receipt_interval(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def outer_tags(both: DataFrame) -> DataFrame:
+    tag = F.when(F.col("receipt_ts").isNull(), "pay_no_receipt").when(F.col("pay_ts").isNull(), "receipt_no_pay")
+    return both.withColumn("tag", tag.otherwise("matched"))
+
+
+def pay_receipt_outer(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair in reach, and the pays and receipts that have no partner."""
+    both = joins.outer_interval_join(
+        _side(spark, folder, "click", "pay"), _side(spark, folder, "purchase", "receipt"),
+        ["user_id"], "pay_ts", "receipt_ts", "3 hours", "5 hours",
+    )
+    return outer_tags(both)
+
+
 def pay_receipt_reconcile_all(spark: SparkSession, folder: str) -> DataFrame:
     """Every click and every purchase, keyed by user: keys repeat on both sides."""
     return joins.reconcile(
         _side(spark, folder, "click", "pay"), _side(spark, folder, "purchase", "receipt"),
-        ["user_id"], "pay_ts", "receipt_ts", "5 hours", "pay_id", "receipt_id",
+        ["user_id"], "pay_ts", "receipt_ts", "5 hours", "pay_id", "receipt_id", slot="1 day",
     )
 
 
@@ -499,6 +513,6 @@ BATCH: dict[str, Query] = {
         login_fail_window, login_fail_pairs, login_fail_alerts,
         login_fail_strict_seq, login_fail_strict_seq_global, fail_runs,
         order_timeout_pattern, order_timeout_state,
-        pay_receipt_interval, pay_receipt_reconcile, pay_receipt_reconcile_all,
+        pay_receipt_interval, pay_receipt_outer, pay_receipt_reconcile, pay_receipt_reconcile_all,
     )
 }

@@ -177,6 +177,13 @@ _MARKET = f"""WITH made AS (
          {_pick("['CLICK', 'DOWNLOAD', 'INSTALL', 'UNINSTALL']", 0)} AS behavior FROM events)
 {_sliding('made', 'channel, behavior', 60, 5)}"""
 
+_OUTER = """SELECT coalesce(p.user_id, r.user_id) AS user_id, p.ts AS pay_ts, p.event_id AS pay_id,
+       r.ts AS receipt_ts, r.event_id AS receipt_id,
+       CASE WHEN r.ts IS NULL THEN 'pay_no_receipt' WHEN p.ts IS NULL THEN 'receipt_no_pay' ELSE 'matched' END AS tag
+FROM (SELECT * FROM events WHERE event_type = 'click') p
+FULL OUTER JOIN (SELECT * FROM events WHERE event_type = 'purchase') r ON p.user_id = r.user_id
+ AND r.ts BETWEEN p.ts - INTERVAL 3 HOUR AND p.ts + INTERVAL 5 HOUR"""
+
 ORACLE: dict[str, str] = {
     "hot_items_topn": _HOT_ITEMS,
     "hot_items_sql": _HOT_ITEMS,
@@ -262,6 +269,7 @@ FROM numbered WHERE n = 3""",
 FROM events p JOIN events r ON p.user_id = r.user_id
  AND r.ts BETWEEN p.ts - INTERVAL 3 HOUR AND p.ts + INTERVAL 5 HOUR
 WHERE p.event_type = 'click' AND r.event_type = 'purchase'""",
+    "pay_receipt_outer": _OUTER,
     "pay_receipt_reconcile": _RECONCILE,
     "pay_receipt_reconcile_all": _RECONCILE_ALL,
 }
@@ -284,6 +292,7 @@ ORACLE |= {
     "fail_runs_stream": _seen("fail_runs", "f.user_id, first_id, last_id"),
     "hot_items_stream": _HOT_ITEMS,
     "hot_items_closed_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_WATERMARK}",
+    "hot_items_leaders_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_WATERMARK}",
     "hot_items_sql_stream": f"SELECT * FROM ({_HOT_ITEMS}) WHERE window_end <= {_WATERMARK}",
     "hot_items_changes_stream": f"SELECT *, CAST(1 AS BIGINT) AS net FROM ({_HOT_ITEMS})",
     "access_log_stream": f"""SELECT * FROM ({ORACLE['access_log_counts']}) WHERE window_end <=
@@ -332,6 +341,9 @@ WHERE time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 40 MINUTE <= before""",
     "pv_hourly_stream": f"SELECT * FROM ({_PV}) WHERE window_end <= {_WATERMARK}",
     "uv_hourly_stream": f"SELECT * FROM ({ORACLE['uv_hourly_exact']}) WHERE window_end <= {_WATERMARK}",
     "pay_receipt_interval_stream": ORACLE["pay_receipt_interval"],
+    "pay_receipt_outer_stream": f"""SELECT * FROM ({_OUTER}) WHERE CASE tag WHEN 'matched' THEN true
+  WHEN 'pay_no_receipt' THEN pay_ts + INTERVAL 5 HOUR <= {_WATERMARK}
+  ELSE receipt_ts + INTERVAL 3 HOUR <= {_WATERMARK} END""",
     "login_fail_window_stream": f"""SELECT * FROM ({_FAIL_WINDOW})
 WHERE first_ts + INTERVAL 6 HOUR < {_WATERMARK}""",
     "order_timeout_state_stream": f"SELECT * FROM ({_ORDER_STATE}) WHERE ts <= {_WATERMARK}",

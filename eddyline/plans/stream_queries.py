@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from eddyline.functions.times import span
 from eddyline.operators import distinct, joins, salting, windows
-from eddyline.plans.event_queries import TOP, Query, behavior_lines, in_files, log_lines
+from eddyline.plans.event_queries import TOP, Query, behavior_lines, in_files, log_lines, outer_tags
 from eddyline.session import new_folder
 from eddyline.sources import files
 from eddyline.sources.files import event_stream, event_table
-from eddyline.streaming import firings, processors, queries, runs, sinks
+from eddyline.streaming import firings, leaders, processors, queries, runs, sinks
 from eddyline.streaming.filters import keep
 
 
@@ -66,6 +66,15 @@ def hot_items_closed_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(rows.drop("batch_id"))
 
 
+def hot_items_leaders_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lists from two chained stages of bounded state, without a handler of micro-batches."""
+    items = _of_type(spark, folder, "view").select(
+        "ts", F.get_json_object("props", "$.k").cast("long").alias("item_id")
+    )
+    found = leaders.closed_top_n(items, "ts", "1 hour", "5 minutes", "item_id", TOP)
+    return _plain_times(runs.collected(found, "hot-item-leaders"))
+
+
 def hot_items_sql_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The windowed counts as SQL over a streaming view, ranked as windows close."""
     path = new_folder(spark, "hot-items-sql")
@@ -224,6 +233,17 @@ def pay_receipt_interval_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(runs.collected(pairs, "pay-receipt"))
 
 
+def pay_receipt_outer_stream(spark: SparkSession, folder: str) -> DataFrame:
+    side = lambda kind, name: _of_type(spark, folder, kind).select(
+        "user_id", F.col("ts").alias(f"{name}_ts"), F.col("event_id").alias(f"{name}_id")
+    )
+    both = joins.outer_interval_join(
+        side("click", "pay"), side("purchase", "receipt"),
+        ["user_id"], "pay_ts", "receipt_ts", "3 hours", "5 hours",
+    )
+    return _plain_times(runs.collected(outer_tags(both), "pay-receipt-outer"))
+
+
 def _detected(
     stream: DataFrame, keys, kind, detector, name: str, side=None, bound: str | None = None
 ) -> DataFrame:
@@ -320,11 +340,12 @@ def click_filter_stream(spark: SparkSession, folder: str) -> DataFrame:
 STREAM: dict[str, Query] = {
     f.__name__: f
     for f in (
-        hot_items_stream, hot_items_closed_stream, hot_items_sql_stream, hot_items_changes_stream,
+        hot_items_stream, hot_items_closed_stream, hot_items_leaders_stream, hot_items_sql_stream,
+        hot_items_changes_stream,
         access_log_stream, behavior_csv_stream, hot_urls_late_stream, late_rows_stream, hot_urls_firings_stream,
         pv_hourly_stream,
         uv_hourly_stream, uv_bitmap_stream,
-        pay_receipt_interval_stream, login_fail_window_stream, login_fail_strict_seq_stream,
+        pay_receipt_interval_stream, pay_receipt_outer_stream, login_fail_window_stream, login_fail_strict_seq_stream,
         login_fail_strict_seq_global_stream, fail_runs_stream, order_timeout_state_stream,
         order_timeout_pattern_stream, pay_receipt_reconcile_stream, click_filter_stream,
     )

@@ -7,7 +7,10 @@ from pyspark.sql import types as T
 
 def fields(text: str) -> T.StructType:
     """A schema from ``"name type, ..."``; needs no session, unlike Spark's own DDL reader."""
-    kinds = {"long": T.LongType(), "int": T.IntegerType(), "string": T.StringType()}
+    kinds = {
+        "long": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
+        "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+    }
     pairs = [part.split() for part in text.split(",")]
     return T.StructType([T.StructField(name, kinds[kind]) for name, kind in pairs])
 

@@ -142,6 +142,17 @@ def interval_pairs(lefts, rights, before, after, low_in=True, high_in=True):
     return sorted(out)
 
 
+def outer_pairs(lefts, rights, before, after, how):
+    """The pairs, and rows of the left side, or of both, without any; null keys have no partner."""
+    pairs = [
+        (k, i, j) for k, t, i in lefts for o, u, j in rights if k is not None and k == o and t - before <= u <= t + after
+    ]
+    out = pairs + [(k, i, None) for k, _, i in lefts if i not in {p[1] for p in pairs}]
+    if how == "full":
+        out += [(k, None, j) for k, _, j in rights if j not in {p[2] for p in pairs}]
+    return sorted(out, key=str)
+
+
 def click_filter(events, limit):
     """events: (key, t, tie); local days start at 16:00 of the day before."""
     seen = defaultdict(int)

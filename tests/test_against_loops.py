@@ -101,30 +101,33 @@ def test_loop(spark, times):
     assert sorted(tuple(c.tie for c in r) for r in got.collect()) == [w[1:] for w in sorted(want, key=lambda w: w[1:])]
 
 
-@pytest.mark.parametrize("names", [["create", "pay"], ["create", "other", "pay"]])
-def test_relaxed_sequence(spark, names):
+@pytest.mark.parametrize("slot", [None, "10 seconds", "1 second", "1 hour"])
+@pytest.mark.parametrize("names", [["create", "pay"], ["create", "other", "pay"], ["pay", "pay", "create", "other"]])
+def test_relaxed_sequence(spark, names, slot):
     events = random_events(21)
     steps = [Step(f"s{i}", is_kind(n)) for i, n in enumerate(names)]
     got = patterns.relaxed_sequence(
         frame(spark, events), ["key"], "ts", ["tie"], steps, ["key", "tie"], "15 seconds",
-        bucket="10 seconds",
+        bucket="10 seconds", slot=slot,
     )
     ties = [f"s{i}" for i in range(len(names))]
     rows = [(r.s0.key, *[r[s] and r[s].tie for s in ties], r.tag) for r in got.collect()]
     assert sorted(rows, key=str) == brute.relaxed_sequence(events, [STEPS[n] for n in names], 15)
 
 
+@pytest.mark.parametrize("slot", [None, "4 seconds", "1 hour"])
 @pytest.mark.parametrize("seed", range(3))
-def test_order_states(spark, seed):
+def test_order_states(spark, seed, slot):
     events = random_events(seed)
     got = orders.order_states(
-        frame(spark, events), "key", "ts", "tie", is_kind("create"), is_kind("pay"), "15 seconds"
+        frame(spark, events), "key", "ts", "tie", is_kind("create"), is_kind("pay"), "15 seconds",
+        slot=slot,
     )
     assert sorted((r.key, secs(r.ts), r.tie, r.tag) for r in got.collect()) == brute.order_states(events, 15)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_reconcile(spark, seed):
+@pytest.mark.parametrize("seed, slot", [(0, None), (1, None), (2, "7 seconds"), (3, "1 second"), (0, "1 hour")])
+def test_reconcile(spark, seed, slot):
     """Repeated keys make chains of rows, each near the next, that run over many buckets."""
     events = [e for e in random_events(seed, count=400, span=900) if e[3] != "other"]
     events += [(9, 2 * t, 1000 + t, KINDS[t % 2]) for t in range(200)]
@@ -134,7 +137,7 @@ def test_reconcile(spark, seed):
     )
     got = joins.reconcile(
         side("create", "left"), side("pay", "right"), ["key"], "left_ts", "right_ts",
-        "5 seconds", "left_id", "right_id", ("matched", "left_only", "right_only"),
+        "5 seconds", "left_id", "right_id", ("matched", "left_only", "right_only"), slot=slot,
     ).cache()
     fed = [(k, t, i, KINDS.index(kind)) for k, t, i, kind in events]
     rows = [(r.key, r.left_id, r.right_id, r.tag) for r in got.collect()]
@@ -159,6 +162,23 @@ def test_interval_join(spark, ends):
     assert sorted((r.key, r.l_id, r.r_id) for r in got.collect()) == want
 
 
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_outer_interval_join(spark, how):
+    """Repeated keys, bounds met exactly, keys and partners over bucket edges, null keys."""
+    events = [(None if k == 4 else k, t, i, kind) for k, t, i, kind in random_events(6)]
+    df = frame(spark, events)
+    pick = lambda kind, name: df.where(is_kind(kind)).select(
+        "key", F.col("ts").alias(f"{name}_ts"), F.col("tie").alias(f"{name}_id")
+    )
+    got = joins.outer_interval_join(
+        pick("create", "l"), pick("pay", "r"), ["key"], "l_ts", "r_ts", "1 second", "2 seconds", how
+    )
+    rows = [(r.key, r.l_id, r.r_id) for r in got.collect()]
+    part = lambda kind: [e[:3] for e in events if e[3] == kind]
+    assert sorted(rows, key=str) == brute.outer_pairs(part("create"), part("pay"), 1, 2, how)
+    assert any(r[1] is None for r in rows) == (how == "full") and any(r[2] is None for r in rows)
+
+
 @pytest.mark.parametrize("limit", [3, 40])
 def test_click_filter(spark, limit):
     """Both ways of numbering: cut map-side, and counted hour by hour beyond Spark's cut."""
@@ -223,11 +243,10 @@ def test_null_keys_and_times(spark):
     # A pay 2 s before its receipt, over the edge of a bucket of 40 s, both without a key.
     edge = 40 * 1000
     left, right = side([(None, at(edge - 1), 1)], "pay"), side([(None, at(edge + 1), 2)], "receipt")
-    for bucket in ("40 seconds", "10 seconds", "1 second"):
+    for cut in ({"bucket_size": "40 seconds"}, {"bucket_size": "1 second"}, {"slot": "40 seconds"}, {"slot": "1 second"}):
         got = joins.reconcile(
-            left, right, ["key"], "pay_ts", "receipt_ts", "5 seconds", "pay_id", "receipt_id",
-            bucket_size=bucket,
-        )
+            left, right, ["key"], "pay_ts", "receipt_ts", "5 seconds", "pay_id", "receipt_id", **cut
+        )
         assert [(r.pay_id, r.receipt_id, r.tag) for r in got.collect()] == [(1, 2, "matched")]
     rows = spark.createDataFrame([(1, None, 1, "create")], "key long, ts timestamp_ntz, tie long, kind string")
     created = F.col("kind") == "create"
@@ -252,3 +271,16 @@ def test_slots_cut_a_busy_key_without_copies(spark):
         spread = slotted.repartition(64, "key", "s").groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in spread) == len(events)
         assert len(spread) >= min(25, 4000 // seconds)
+
+
+def test_slots_of_ordered_work_hold_each_row_once(spark):
+    """No form in slots copies a row, and what is put in key order is a row per slot."""
+    events = [(1, t, t, KINDS[t % 2]) for t in range(600)]
+    df = frame(spark, events)
+    for seconds in (300, 20, 2):
+        found = timeline.neighbours(df, ["key"], "ts", ["ts", "tie"], seconds * 1_000_000)
+        rows = found.select("tie", "_prev.tie", "_next.tie", timeline.BUCKET).collect()
+        assert sorted((r[0], r[1], r[2]) for r in rows) == [
+            (t, t - 1 if t else None, t + 1 if t < 599 else None) for t in range(600)
+        ]
+        assert len({r[3] for r in rows}) == 600 // seconds

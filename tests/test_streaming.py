@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from eddyline.functions.times import span
 from eddyline.operators import distinct, joins, salting, windows
 from eddyline.sources import market
-from eddyline.streaming import filters, firings, processors, queries, runs, sinks
+from eddyline.streaming import filters, firings, leaders, processors, queries, runs, sinks
 
 DDL = "key long, ts timestamp_ntz, tie long, kind string"
 FLUSH = (-1, 10_000_000, -1, "flush")
@@ -199,6 +199,61 @@ def test_interval_join_of_two_streams(spark, fed):
     assert sorted((r.key, r.l_id, r.r_id) for r in got) == brute.interval_pairs(part("create"), part("pay"), 3, 5)
 
 
+def test_outer_interval_join_of_two_streams(spark, fed):
+    """A lone row comes out once, when no partner can follow, though partners come batches later."""
+    events, batches = shuffled_batches(12)
+    stream = fed(batches)
+    pick = lambda kind, name: stream.where((F.col("kind") == kind) | (F.col("kind") == "flush")).select(
+        "key", F.col("ts").alias(f"{name}_ts"), F.col("tie").alias(f"{name}_id")
+    )
+    both = joins.outer_interval_join(
+        pick("create", "l"), pick("pay", "r"), ["key"], "l_ts", "r_ts", "1 second", "2 seconds"
+    )
+    got = runs.collected(both, "outer").where("key >= 0").collect()
+    part = lambda kind: [e[:3] for e in events if e[3] == kind]
+    want = brute.outer_pairs(part("create"), part("pay"), 1, 2, "full")
+    assert sorted(((r.key, r.l_id, r.r_id) for r in got), key=str) == want
+
+
+def test_leaders_of_closing_windows(spark, fed):
+    """Ties, a null key, disorder over batches, and fewer keys than places."""
+    rng = random.Random(11)
+    events = sorted((rng.randrange(300), rng.choice([None, *range(12)]), i) for i in range(400))
+    events += [(330, 5, 400), (340, 3, 401)]
+    events = [(k, t, i, "v") for t, k, i in events]
+    arrived = sorted(events, key=lambda e: e[1] + rng.uniform(0, 5))
+    batches = [arrived[i : i + 101] for i in range(0, len(arrived), 101)]
+    stream = fed(batches, "5 seconds")
+    counts = Counter((t // 30 * 30 + 30 * (j + 1), k) for k, t, _, _ in events for j in range(2))
+    want = []
+    for end in sorted({end for end, _ in counts}):
+        ranked = sorted((-n, k is not None, k or 0) for (e, k), n in counts.items() if e == end)
+        want += [(end, rk, k if known else None, -n) for rk, (n, known, k) in enumerate(ranked[:4], 1)]
+    for shares in (1, 3):
+        found = leaders.closed_top_n(stream, "ts", "1 minute", "30 seconds", "key", 4, shares)
+        rows = runs.collected(found, "leaders").where("key >= 0 OR key IS NULL").collect()
+        assert sorted((secs(r.window_end), r.rk, r.key, r.cnt) for r in rows) == want
+    named = stream.withColumn("key", F.concat(F.lit("k"), F.col("key").cast("string")))
+    rows = runs.collected(leaders.closed_top_n(named, "ts", "1 minute", "30 seconds", "key", 1), "named")
+    assert {r.key for r in rows.collect() if r.key} <= {f"k{k}" for k in range(-1, 12)}
+
+
+def test_state_of_leaders_is_bounded():
+    """However many keys a window has, its list is n entries, and it is read and written once a batch."""
+    import pandas as pd
+
+    state = FakeState()
+    stage = leaders.Leaders(3, "bigint", ranked=True)
+    stage.handle = stage.kept = state
+    for batch in range(5):
+        rows = pd.DataFrame({"none": False, "key": range(1000), "cnt": [(k * 7 + batch) % 1000 for k in range(1000)]})
+        assert list(stage.handleInputRows((60_000_000, 0), iter([rows[:500], rows[500:]]), None)) == []
+        assert [len(column) for column in state.value] == [3, 3, 3]
+    assert state.timers == {60_000}
+    (out,) = stage.handleExpiredTimer((60_000_000,), None, None)
+    assert out["cnt"].tolist() == [999, 999, 999] and out["rk"].tolist() == [1, 2, 3] and not state.exists()
+
+
 def test_top_n_is_corrected_and_changes_add_up(spark, fed, tmp_path):
     # The second batch lifts key 2 over key 1 in the first minute; the third opens a new window.
     batches = [
