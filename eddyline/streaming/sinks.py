@@ -11,9 +11,11 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eddyline.functions.times import bucket, micros, span
 from eddyline.operators.topn import top_n_changes, top_n_per_window
+from eddyline.schemas import fields
 
 
 class Folder:
@@ -34,18 +36,28 @@ class Folder:
         found = [s.getPath().getName() for s in self.files.listStatus(self._at(below)) if s.isDirectory()]
         return sorted(n for n in found if n[0] not in "._")
 
+    def holds(self, name: str) -> bool:
+        return self.files.exists(self._at(name))
+
     def remove(self, name: str) -> None:
         self.files.delete(self._at(name), True)
 
 
+#: So many runs of one length are merged into one of the next.
+FAN = 8
+
+
 class WindowValues:
     """One value per (window_end, key), of which each batch brings the changed ones.
 
-    Values are kept by the day of their window, and a batch writes the days it touches anew: what it
-    reads and what there is to read is the present state of those days, however many batches there
-    have been.  Of each day the version of the last batch and the one before it stay, so a batch that
-    is run again after a failure starts from the same state.  ``keep`` (such as ``"30 days"``) drops
-    days that are so much older than the newest.
+    A log of sorted-out runs: a batch writes its own rows, and the value of a later batch counts.  Every
+    ``FAN``-th batch merges the last runs into one, as long as the largest power of ``FAN`` that divides
+    their number; so a value is written about log(batches) times, however large the table is, and a
+    reader meets at most ``FAN`` runs of each length.  In a run rows lie by the day of their window, and a
+    batch reads the days it touches.  Runs that a merged one covers stay for one more batch, so that one
+    that is run again after a failure starts from the same state; a run counts once it is complete.
+    ``keep`` (such as ``"30 days"``) drops days that are so much older than the newest.  Of an empty
+    table the columns are not known yet: ``latest`` then gives a frame without any.
     """
 
     def __init__(
@@ -53,76 +65,95 @@ class WindowValues:
     ):
         self.spark, self.path, self.key, self.value = spark, path, key, value
         self.keep = None if keep is None else span(keep) // span("1 day")
-        self.days = Folder(spark, f"{path}/days")
+        self.runs = Folder(spark, f"{path}/runs")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.put(batch, batch_id)
 
-    def _versions(self, day: str) -> list[int]:
-        return sorted(int(n.removeprefix("batch_id=")) for n in self.days.names(day))
-
-    def _paths(self, upto: int | None, days: list[str] | None = None) -> list[str]:
-        """The newest version, as of a batch, of each day."""
-        found = []
-        for day in self.days.names() if days is None else days:
-            known = [v for v in self._versions(day) if upto is None or v <= upto]
-            if known:
-                found.append(f"{self.path}/days/{day}/batch_id={known[-1]}")
-        return found
+    @staticmethod
+    def _name(first: int, last: int) -> str:
+        return f"run={first}-{last}"
+
+    def _complete(self) -> list[tuple[int, int]]:
+        """First and last batch of every complete run, the newest and among them the longest first."""
+        names = [n for n in self.runs.names() if self.runs.holds(f"{n}/_SUCCESS")]
+        found = [tuple(map(int, n.removeprefix("run=").split("-"))) for n in names]
+        return sorted(found, key=lambda run: (-run[1], run[0]))
+
+    def _cover(self, upto: int | None = None, since: int = 0, but: tuple[int, int] | None = None) -> list[tuple[int, int]]:
+        """The fewest runs that hold what the batches from one to another brought."""
+        out: list[tuple[int, int]] = []
+        for run in self._complete():
+            known = (upto is None or run[1] <= upto) and run[0] >= since and run != but
+            if known and (not out or run[1] < out[-1][0]):
+                out.append(run)
+        return out
+
+    def _read(self, cover: list[tuple[int, int]], days: list[str] | None = None) -> DataFrame:
+        """The rows of some runs with ``_last``, the last batch of theirs."""
+        about = f"{self.path}/columns"
+        schema = self.spark.read.parquet(about).schema
+        paths = [f"{self.path}/runs/{self._name(*run)}" for run in cover]
+        if not paths:
+            return self.spark.createDataFrame([], schema).withColumn("_last", F.lit(0))
+        placed = T.StructType([*schema.fields, *fields("run string, day string").fields])
+        rows = self.spark.read.schema(placed).option("basePath", f"{self.path}/runs").parquet(*paths)
+        if days is not None:
+            rows = rows.where(F.col("day").isin([d.removeprefix("day=") for d in days]))
+        return rows.select(*schema.names, F.split("run", "-")[1].cast("int").alias("_last"))
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy("window_end", self.key).agg(F.max_by(self.value, "_last").alias(self.value))
+
+    def _write(self, rows: DataFrame, first: int, last: int) -> None:
+        day = F.date_format("window_end", "yyyy-MM-dd").alias("day")
+        path = f"{self.path}/runs/{self._name(first, last)}"
+        # Few files a day, but a crowded day in several.
+        rows.select("*", day).hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(path)
+
+    def _tidy(self, batch_id: int) -> None:
+        """Removes runs of earlier batches that a longer one covers, and days beyond ``keep``."""
+        settled = [run for run in self._complete() if run[1] < batch_id]
+        needed = self._cover(batch_id - 1)
+        for run in settled:
+            if run not in needed:
+                self.runs.remove(self._name(*run))
+        if self.keep is None:
+            return
+        names = {run: self.runs.names(self._name(*run)) for run in needed}
+        dates = {n: dt.date.fromisoformat(n.removeprefix("day=")) for found in names.values() for n in found}
+        for run, found in names.items():
+            for name in found:
+                if (max(dates.values()) - dates[name]).days > self.keep:
+                    self.runs.remove(f"{self._name(*run)}/{name}")
 
     def put(self, batch: DataFrame, batch_id: int) -> list[str]:
         """Write a batch; returns the days it touched."""
+        self._tidy(batch_id)
         new = batch.select("window_end", self.key, self.value)
-        path = f"{self.path}/batches/batch_id={batch_id}"
-        new.write.mode("overwrite").parquet(path)
-        rows = self.spark.read.schema(new.schema).parquet(path)
-        day = F.date_format("window_end", "yyyy-MM-dd").alias("day")
-        days = [f"day={r.day}" for r in rows.select(day).distinct().collect()]
-        for name in Folder(self.spark, f"{self.path}/batches").names():
-            if int(name.removeprefix("batch_id=")) < batch_id - 1:
-                Folder(self.spark, f"{self.path}/batches").remove(name)
-        if not days:
-            return days
-        both = rows.withColumn("_new", F.lit(1))
-        known = self._paths(batch_id - 1, days)
-        if known:
-            old = self.spark.read.schema(new.schema).parquet(*known)
-            both = both.unionByName(old.withColumn("_new", F.lit(0)))
-        merged = both.groupBy("window_end", self.key).agg(
-            F.max_by(self.value, "_new").alias(self.value)
-        )
-        (
-            merged.select("*", day, F.lit(batch_id).alias("batch_id"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch_id")
-            .parquet(f"{self.path}/days")
-        )
-        for name in days:
-            for version in self._versions(name)[:-2]:
-                self.days.remove(f"{name}/batch_id={version}")
-        if self.keep is not None:
-            newest = dt.date.fromisoformat(self.days.names()[-1].removeprefix("day="))
-            for name in self.days.names():
-                if (newest - dt.date.fromisoformat(name.removeprefix("day="))).days > self.keep:
-                    self.days.remove(name)
-        return days
+        if not Folder(self.spark, f"{self.path}/columns").holds("_SUCCESS"):
+            new.limit(0).write.mode("overwrite").parquet(f"{self.path}/columns")
+        self._write(new, batch_id, batch_id)
+        length = 1
+        while (batch_id + 1) % (length * FAN) == 0:
+            length *= FAN
+        if length > 1:
+            first = batch_id + 1 - length
+            merged = self._newest(self._read(self._cover(batch_id, first, but=(first, batch_id))))
+            self._write(merged, first, batch_id)
+        return self.runs.names(self._name(batch_id, batch_id))
 
     def latest(
         self, upto: int | None = None, touched_by: int | None = None, days: list[str] | None = None
     ) -> DataFrame:
         """The values as of a batch; of some days only, and of the windows that a batch touched."""
-        batches = f"{self.path}/batches"
-        first = Folder(self.spark, batches).names()[-1]
-        schema = self.spark.read.parquet(f"{batches}/{first}").schema
-        known = self._paths(upto, days)
-        if not known:
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(*known)
+        if not Folder(self.spark, f"{self.path}/columns").holds("_SUCCESS"):
+            return self.spark.createDataFrame([], T.StructType([]))
+        rows = self._read(self._cover(upto), days)
         if touched_by is not None:
-            touched = self.spark.read.schema(schema).parquet(f"{batches}/batch_id={touched_by}")
-            rows = rows.join(touched.select("window_end").distinct(), "window_end", "left_semi")
-        return rows
+            touched = self._read([(touched_by, touched_by)]).select("window_end").distinct()
+            rows = rows.join(touched, "window_end", "left_semi")
+        return self._newest(rows)
 
 
 class TopNTable:

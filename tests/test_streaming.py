@@ -218,7 +218,7 @@ def test_outer_interval_join_of_two_streams(spark, fed):
 def test_leaders_of_closing_windows(spark, fed):
     """Ties, a null key, disorder over batches, and fewer keys than places."""
     rng = random.Random(11)
-    events = sorted((rng.randrange(300), rng.choice([None, *range(12)]), i) for i in range(400))
+    events = [(t, rng.choice([None, *range(12)]), i) for i, t in enumerate(sorted(rng.randrange(300) for _ in range(400)))]
     events += [(330, 5, 400), (340, 3, 401)]
     events = [(k, t, i, "v") for t, k, i in events]
     arrived = sorted(events, key=lambda e: e[1] + rng.uniform(0, 5))
@@ -460,23 +460,34 @@ def test_a_timer_reads_due_rows_only():
     assert [(r.first_tie, r.last_tie, r.tag) for r in found] == [(k, k + 1, "paid") for k in range(0, 4000, 2)]
 
 
-def test_what_a_batch_reads_does_not_grow(spark, tmp_path):
-    table = sinks.WindowValues(spark, str(tmp_path / "t"), "key", keep="2 days")
-    want = {}
-    for batch_id in range(8):
-        rows = [(k, at(3600 + 86400 * (batch_id // 2)), batch_id * 10 + k) for k in range(3 + batch_id % 2)]
+def test_a_batch_writes_its_own_rows_and_reads_few_runs(spark, tmp_path):
+    """Old values are written anew when runs are merged only, some log(batches) times."""
+    table = sinks.WindowValues(spark, str(tmp_path / "t"), "key", keep="40 days")
+    rng, want, wrote = random.Random(3), {}, Counter()
+    write = table._write
+    table._write = lambda rows, first, last: (wrote.update([last - first + 1]), write(rows, first, last))
+    for batch_id in range(20):
+        day = 86400 * (batch_id // 5 if batch_id < 18 else 50)
+        rows = [(k, at(3600 + day), batch_id * 10 + k) for k in rng.sample(range(6), batch_id % 4)]
+        before = dict(want)
         want |= {(r[0], r[1]): r[2] for r in rows}
         batch = spark.createDataFrame(rows, "key int, window_end timestamp_ntz, cnt int")
-        for _ in range(2):  # as when it is run again after a failure
-            table.put(batch, batch_id)
-        versions = {day: table._versions(day) for day in table.days.names()}
-        assert all(len(v) <= 2 for v in versions.values()) and len(versions) <= 3
-        assert len(sinks.Folder(spark, str(tmp_path / "t/batches")).names()) <= 2
+        for _ in range(2 if batch_id in (7, 11, 15) else 1):  # as when it is run again after a failure
+            days = table.put(batch, batch_id)
+        assert days == sorted({f"day={r[1]:%Y-%m-%d}" for r in rows})
+        if batch_id in (6, 7, 8, 15, 16):
+            # The state before and after the batch, of the windows that it touched.
+            for upto, state in ((batch_id - 1, before), (batch_id, want)):
+                got = {(r.key, r.window_end): r.cnt for r in table.latest(upto, batch_id, days).collect()}
+                assert got == {k: v for k, v in state.items() if k[1] in {r[1] for r in rows}}
+    assert wrote == {1: 23, sinks.FAN: 4}
+    # A run of each full length, and the short ones behind it.
+    assert table._cover() == [(19, 19), (18, 18), (17, 17), (16, 16), (8, 15), (0, 7)]
     newest = max(end for _, end in want)
-    kept = {k: v for k, v in want.items() if (newest - k[1]).days <= 2}
-    assert {(r.key, r.window_end): r.cnt for r in table.latest().collect()} == kept
-    before = {(r.key, r.window_end): r.cnt for r in table.latest(6, 7).collect()}
-    assert before == {(k, newest): 60 + k for k in range(3)}
+    kept = {k: v for k, v in want.items() if (newest - k[1]).days <= 40}
+    again = sinks.WindowValues(spark, str(tmp_path / "t"), "key")
+    assert {(r.key, r.window_end): r.cnt for r in again.latest().collect()} == kept
+    assert sinks.WindowValues(spark, str(tmp_path / "none"), "key").latest().isEmpty()
 
 
 def slow_firings(batches, size, slide, bound, lateness):
