@@ -9,6 +9,7 @@ import time
 from collections import Counter, defaultdict
 
 import brute
+import pandas as pd
 import pytest
 from conftest import at, secs, stream_rows
 from pyspark.sql import Row
@@ -239,19 +240,21 @@ def test_leaders_of_closing_windows(spark, fed):
 
 
 def test_state_of_leaders_is_bounded():
-    """However many keys a window has, its list is n entries, and it is read and written once a batch."""
-    import pandas as pd
-
+    """However many keys a window has, its list is n entries; a stretch has one timer."""
     state = FakeState()
     stage = leaders.Leaders(3, "bigint", ranked=True)
     stage.handle = stage.kept = state
-    for batch in range(5):
-        rows = pd.DataFrame({"none": False, "key": range(1000), "cnt": [(k * 7 + batch) % 1000 for k in range(1000)]})
-        assert list(stage.handleInputRows((60_000_000, 0), iter([rows[:500], rows[500:]]), None)) == []
-        assert [len(column) for column in state.value] == [3, 3, 3]
+    ends = {60_000_000: 0, 120_000_000: 1}
+    for end, more in reversed(ends.items()):
+        rows = pd.DataFrame({"end_us": end, "none": False, "key": range(1000), "cnt": [(k * 7) % 1000 + more for k in range(1000)]})
+        assert list(stage.handleInputRows((0, 0), iter([rows[:500], rows[500:]]), None)) == []
+    assert [len(column) for column in state.value[:-1]] == [6] * 4
     assert state.timers == {60_000}
-    (out,) = stage.handleExpiredTimer((60_000_000,), None, None)
-    assert out["cnt"].tolist() == [999, 999, 999] and out["rk"].tolist() == [1, 2, 3] and not state.exists()
+    for end, more in ends.items():
+        state.timers.clear()
+        (out,) = stage.handleExpiredTimer((0,), Watermark(end // 1000), None)
+        assert out["cnt"].tolist() == [999 + more, 998 + more, 997 + more] and out["rk"].tolist() == [1, 2, 3]
+    assert not state.exists() and not state.timers
 
 
 def test_top_n_is_corrected_and_changes_add_up(spark, fed, tmp_path):
