@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import re
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -23,7 +26,7 @@ SMALL = "/root/testdata/sf0.001"
         ("<ol start=9><li>a<li>b</ol>", "9. a\n10. b"),
         ("<table><tr><th>n<th>count<tr><td>long one<td>1</table>", "n        | count\nlong one | 1"),
         ("<table><td>a<td>b<tr><td colspan=2>wide<td>c</table>", "a | b\nwide  | c"),
-        ("<table><tr><td>x<table><tr><td>in<td>ner</table>y</table>", "x in | ner y"),
+        ("<table><tr><td>x<table><tr><td>in<td>ner</table>y</table>", "x\nin | ner\ny"),
         ("<pre>  a\n   b</pre>after", "  a\n   b\n\nafter"),
         ("<head><title>t</title></head><body>x<script>var a='</p>'</script>y", "xy"),
         ("<p hidden>no</p><p style='display: none'>no<b>no</b></p>yes", "yes"),
@@ -58,6 +61,132 @@ def test_head_without_end_tag(page, text):
     assert page_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # A cell of an earlier row keeps its column, to the end of its group at most.
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ("<table><tr><td>a<td rowspan=2 colspan=2>wide<td>b<tr><td>c<td>d</table>", "a | wide | b\nc |  |  | d"),
+        ("<table><thead><tr><th rowspan=9>a<th>b<tbody><tr><td>c<td>d</table>", "a | b\nc | d"),
+        ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a | b\n  | c\n  | d"),
+        # Blocks and lists in a cell are lines of it.
+        ("<table><tr><td>k<td><ul><li>one<li>two</ul><tr><td>long<td>x</table>", "k    | - one\n     | - two\nlong | x"),
+        # Wide characters take two columns.
+        ("<table><tr><td>\u4e2d\u6587<td>a<tr><td>b<td>c</table>", "\u4e2d\u6587 | a\nb    | c"),
+        # Visibility can be given back, display cannot.
+        ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div>x", "yes\nx"),
+        ("<div style='display:none'>no<b style='visibility:visible'>no</b></div>x", "x"),
+        ("<table><tr style='visibility:hidden'><td>no<td style='visibility:visible'>yes<tr><td>a<td>b</table>", "  | yes\na | b"),
+        ("<ol start=-1><li>a<li value=7>b<li>c</ol>", "-1. a\n7. b\n8. c"),
+        ("<details>no<summary>s</summary>no</details><details open><summary>t</summary>yes</details>", "s\nt\nyes"),
+        ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+        ("a<b x='>'>c</b><i y=\"'\">d</i>", "acd"),
+        ("<p>a <b title='never closed>c</p>", "a <b title='never closed>c"),
+    ],
+)
+def test_spans_visibility_and_numbers(page, text):
+    assert page_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "piece, end",
+    [
+        ("<a ", ""), ("<a ", "'>"), ("<a '", ""), ("<a \"x\" ", "'>"), ("<a \"<b>\" '", ">"), ("<a", ""), ("<", ""),
+        ("<!", ""), ("</a ", ""), ("<p><button><b>", ""), ("<ul><li>x", ""), ("<b><section>", ""), ("<table><td>x", ""),
+        ("<x><table><td><b></x>", ""), ("<td rowspan=65000 colspan=9>", ""), ("&lt", ""),
+    ],
+)
+def test_hostile_pages_take_time_by_their_length(piece, end):
+    """1 MB of what is never closed, under a wall where closing tags look for their beginning."""
+    page = "<p><table><td>" + piece * (1_000_000 // len(piece)) + end
+    start = time.process_time()
+    page_text(page)
+    assert time.process_time() - start < 20
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="<>/\"' ab=\n", max_size=40))
+def test_tags_end_where_a_pattern_says(page):
+    """The pattern tries anew at every place; a name ends at a blank, a slash or the end of the tag."""
+    tags = html_text.Tags(page)
+    for at in [k for k, c in enumerate(page) if c == "<"]:
+        want = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>").match(page, at)
+        got = tags.read(at)
+        assert (got and (got[0], got[1], got[2] + 1)) == (want and (want[2], want.start(3), want.end()))
+
+
+def slow(tree, depth=0):
+    """Lines of a tree of (tag, children), laid out by plain recursion; no spacing around blocks."""
+    lines, line = [], ""
+    for child in tree:
+        if isinstance(child, str):
+            line += child
+            continue
+        tag, children = child
+        if tag == "b":
+            inner = slow(children)
+            assert len(inner) <= 1
+            line += "".join(inner)
+            continue
+        lines, line = lines + ([line] if line else []), ""
+        if tag == "div":
+            lines += slow(children)
+        elif tag == "ul":
+            for item in children:
+                inner = slow(item)
+                lines += [("- " if k == 0 else "  ") + text for k, text in enumerate(inner)]
+        else:
+            cells = [[slow(cell) for cell in row] for row in children]
+            widths = [max(len(t) for row in cells for t in [*row[k], ""]) for k in range(len(cells[0]))]
+            for row in cells:
+                for k in range(max(1, *map(len, row))):
+                    texts = [(c[k] if k < len(c) else "").ljust(w) for c, w in zip(row, widths, strict=True)]
+                    if "".join(texts).strip():
+                        lines.append(" | ".join(texts).rstrip())
+    return lines + ([line] if line else [])
+
+
+def markup(tree):
+    out = []
+    for child in tree:
+        if isinstance(child, str):
+            out.append(child)
+        elif child[0] == "ul":
+            out.append("<ul>" + "".join(f"<li>{markup(item)}" for item in child[1]) + "</ul>")
+        elif child[0] == "table":
+            rows = ("<tr>" + "".join(f"<td>{markup(c)}" for c in row) for row in child[1])
+            out.append("<table>" + "".join(rows) + "</table>")
+        else:
+            out.append(f"<{child[0]}>{markup(child[1])}</{child[0]}>")
+    return "".join(out)
+
+
+WORDS = st.lists(st.sampled_from(["x", "word", "longer"]), min_size=1, max_size=2)
+TREES = st.recursive(
+    WORDS,
+    lambda inner: st.lists(
+        st.one_of(
+            st.sampled_from(["x", "word"]),
+            st.tuples(st.just("b"), WORDS),
+            st.tuples(st.just("div"), inner),
+            st.tuples(st.just("ul"), st.lists(inner, min_size=1, max_size=3)),
+            st.tuples(st.just("table"), st.integers(1, 3).flatmap(
+                lambda n: st.lists(st.lists(inner, min_size=n, max_size=n), min_size=1, max_size=3)
+            )),
+        ),
+        min_size=1, max_size=3,
+    ),
+    max_leaves=12,
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(TREES)
+def test_layout_against_recursion(tree):
+    lines = [line for line in page_text(markup(tree)).split("\n") if line]
+    assert lines == slow(tree)
+
+
 def test_depth_and_length():
     assert page_text("<div>" * 100_000 + "x" + "</b>" * 100_000) == "x"
     assert page_text("<table><tr><td>" * 500 + "x") == "x"
