@@ -6,7 +6,8 @@ repeats makes it much smaller.  Templates that save enough are confirmed word by
 template's words in order but for a small share of differences, which are listed.  A confirmed stretch
 is taken out and what is left of the block is tried again, so a block may hold several licenses.  A
 block without a confirmed template is tried again in parts around each of its cues, where a short
-declaration is not outweighed by the text beside it.
+declaration is not outweighed by the text beside it.  Licenses that begin alike are told apart by what
+follows, and a stretch that a negation leads to declares nothing.
 
 Null and empty texts and texts without a cue have no findings.  Case, spacing and punctuation do not
 count as differences.  Whole texts are scanned, in blocks of bounded length that overlap by more than
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -31,7 +33,7 @@ TEMPLATES = [
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
     ("MIT", "Released under the MIT License."),
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.'),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -51,15 +53,35 @@ TEMPLATES = [
     ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
     ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("CC0-1.0", "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law, including all related and neighboring rights, to the extent allowed by law."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
 ]
 
 #: Words that tell one license from another; like numbers, none may be missing, replaced or added.
 IDENTIFYING = frozenset(
     "apache mit bsd isc gnu general lesser library affero mozilla mpl eclipse cc creative commons attribution "
     "noncommercial non commercial sharealike share alike noderivatives noderivs derivatives derivs sa nc nd "
-    "some".split()
+    "some boost zlib not never no nor neither cannot isn aren wasn weren doesn".split()
 )
 
+#: Clauses that tell a license from a shorter one that begins alike, the longest license first.
+CLAUSES = {
+    "BSD-2-Clause": [
+        ("BSD-4-Clause", "All advertising materials mentioning features or use of this software must display the following acknowledgement"),
+        ("BSD-3-Clause", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ],
+}
+#: Words behind a declaration in which a clause of it is looked for.
+CLAUSE_REACH = 400
+#: Words that take a declaration back when they lead to it, and how near they stand.
+NEGATIONS = frozenset("not never no nor neither cannot isn aren wasn weren doesn longer".split())
+NEGATION_REACH = 2
+
 #: Every template holds one of these.
 CUE = re.compile(r"licen[cs]e|permission|redistribut|public\s+domain|rights\s+reserved", re.I)
 
@@ -147,6 +169,29 @@ def confirm(words: list[str], template: Template) -> tuple[int, int, list[str]]
     return (first, last, differences) if changed <= allowed and not other else None
 
 
+def _negated(text: str, start: int) -> bool:
+    """Whether the words just before, in the same sentence, take the declaration back."""
+    before = re.split(r"[.;:!?]\s|\n\s*\n", text[max(0, start - 64) : start])[-1]
+    # "isn't" falls into two words, of which the second is one letter.
+    words = [w.lower() for w in _WORD.findall(before) if len(w) > 1]
+    return not NEGATIONS.isdisjoint(words[-NEGATION_REACH:])
+
+
+def _told_apart(text: str, finding: dict) -> dict:
+    """The finding as that of the longer license, if a clause of it follows; it then ends behind the clause."""
+    for name, clause in CLAUSES.get(finding["license"], ()):
+        if finding["end"] - finding["start"] < len(clause):
+            continue  # a license that is called by name has no clauses
+        wanted = [w.lower() for w in _WORD.findall(clause)]
+        words, at = [], 0
+        for word in itertools.islice(_WORD.finditer(text, finding["end"]), CLAUSE_REACH):
+            words.append(word[0].lower())
+            at = word.end()
+            if words[-len(wanted) :] == wanted:
+                return {**finding, "license": name, "end": at}
+    return finding
+
+
 def _parts(
     places: list[tuple[int, int]], a: int, b: int, cues: list[int]
 ) -> Iterator[tuple[int, int]]:
@@ -192,10 +237,13 @@ def scan(text: str | None) -> list[dict]:
                 continue
             _, saved, template, (first, last, differences) = best
             start, end = places[a + first][0], places[a + last - 1][1]
-            found[start, end] = {
+            finding = {
                 "license": template.name, "start": start, "end": end, "saved": saved,
                 "differences": differences,
             }
+            if not _negated(text, start):
+                finding = _told_apart(text, finding)
+                found[start, finding["end"]] = finding
             waiting += [(a, a + first, whole), (a + last, b, whole)]
     spans = sorted(found, key=lambda s: (s[0], -s[1]))
     out, reached = [], -1

@@ -84,6 +84,75 @@ def test_identifying_words_are_no_wording_differences(text, name):
     assert [f["license"] for f in scan(text)] == ([name] if name else [])
 
 
+BSD = TEMPLATES[4][1] + (
+    " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list "
+    "of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
+THIRD = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission."
+)
+AS_IS = ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS WARRANTIES ARE DISCLAIMED.'
+
+
+def test_licenses_that_begin_alike():
+    assert [f["license"] for f in scan(BSD + AS_IS)] == ["BSD-2-Clause"]
+    (found,) = scan(BSD + THIRD + AS_IS)
+    assert found["license"] == "BSD-3-Clause" and (BSD + THIRD + AS_IS)[: found["end"]].endswith("written permission")
+    advertising = " 3. All advertising materials mentioning features or use of this software must display the following acknowledgement: x."
+    assert [f["license"] for f in scan(BSD + advertising + THIRD + AS_IS)] == ["BSD-4-Clause"]
+    # Each text of two has its own.
+    assert [f["license"] for f in scan(BSD + THIRD + "\n" * 5 + BSD + AS_IS)] == ["BSD-3-Clause", "BSD-2-Clause"]
+
+
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        ("This work is not licensed under the GNU General Public License, version 3.", None),
+        ("It is not licensed under CC BY 4.0.", None),
+        ("It is no longer released under the MIT License.", None),
+        ("It isn't distributed under the Boost Software License, Version 1.0.", None),
+        ("This is no draft. Licensed under CC BY 4.0.", "CC-BY-4.0"),
+        ("You may not copy it. It is released under the MIT License.", "MIT"),
+        ("Not mine\n\nReleased under the MIT License.", "MIT"),
+    ],
+)
+def test_a_negated_declaration_is_none(text, name):
+    assert [f["license"] for f in scan(text)] == ([name] if name else [])
+
+
+def exact(text):
+    """License and end of every template that stands in a text word for word, by plain search."""
+    words = [(m[0].lower(), m.end()) for m in licenses._WORD.finditer(text or "")]
+    plain = [w for w, _ in words]
+    out = set()
+    for name, template in TEMPLATES:
+        wanted = [w.lower() for w in licenses._WORD.findall(template)]
+        for k in range(len(plain) - len(wanted) + 1):
+            if plain[k : k + len(wanted)] == wanted and not NOT & set(plain[max(0, k - 2) : k]):
+                out.add((name, words[k + len(wanted) - 1][1]))
+    return out
+
+
+NOT = {"not", "never", "no", "longer"}
+
+
+def test_every_exact_wording_is_found(spark):
+    """Documents, and each template between two of them, against plain search."""
+    docs = [r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()]
+    planted = [f"{docs[k][:3000]}\n{t} {docs[k + 1][:3000]}" for k, (_, t) in enumerate(TEMPLATES)]
+    seen = 0
+    for text in docs + planted:
+        want = exact(text)
+        got = {(f["license"], f["end"]) for f in scan(text) if not f["differences"]}
+        # A short declaration inside a longer one is that one.
+        assert got <= want and all(any(end <= e for _, e in got) for _, end in want)
+        seen += len(got)
+    assert seen > len(TEMPLATES)
+
+
 def test_query(spark):
     from eddyline.llm.queries import op9_licenses
 
