@@ -125,13 +125,18 @@ def test_a_negated_declaration_is_none(text, name):
 
 def exact(text):
     """License and end of every template that stands in a text word for word, by plain search."""
-    words = [(m[0].lower(), m.end()) for m in licenses._WORD.finditer(text or "")]
-    plain = [w for w, _ in words]
+    words = [(m[0].lower(), m.end(), m.start()) for m in licenses._WORD.finditer(text or "")]
+    plain = [w for w, _, _ in words]
+
+    def negated(k):
+        """One of the two words before, without an end of a sentence in between."""
+        near = [end for word, end, _ in words[max(0, k - 2) : k] if word in NOT]
+        return any(not set(".;:!?") & set(text[end : words[k][2]]) for end in near)
     out = set()
     for name, template in TEMPLATES:
         wanted = [w.lower() for w in licenses._WORD.findall(template)]
         for k in range(len(plain) - len(wanted) + 1):
-            if plain[k : k + len(wanted)] == wanted and not NOT & set(plain[max(0, k - 2) : k]):
+            if plain[k : k + len(wanted)] == wanted and not negated(k):
                 out.add((name, words[k + len(wanted) - 1][1]))
     return out
 
