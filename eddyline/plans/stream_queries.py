@@ -18,7 +18,7 @@ from eddyline.plans.event_queries import TOP, Query, behavior_lines, in_files, l
 from eddyline.session import new_folder
 from eddyline.sources import files
 from eddyline.sources.files import event_stream, event_table
-from eddyline.streaming import firings, leaders, processors, queries, runs, sinks
+from eddyline.streaming import firings, leaders, limits, processors, queries, runs, sinks
 from eddyline.streaming.filters import keep
 
 
@@ -329,12 +329,9 @@ def click_filter_stream(spark: SparkSession, folder: str) -> DataFrame:
     clicks = _events(spark, folder).withColumn(
         "ad_id", F.get_json_object("props", "$.k").cast("long") % 2
     )
-    found = _detected(
-        clicks, ["user_id", "ad_id"], F.lit(0), processors.ClickLimit(2), "click-filter"
-    )
-    return found.select(
-        "user_id", "ad_id", F.col("first_ts").alias("ts"), F.col("first_tie").alias("event_id"), "tag"
-    )
+    found = limits.click_limit(clicks, ["user_id", "ad_id"], "ts", "event_id", 2)
+    rows = runs.collected(found, "click-filter").where(F.col("tag") != limits.LATE)
+    return _plain_times(rows)
 
 
 STREAM: dict[str, Query] = {

@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eddyline.functions.times import bucket, micros, span, timed
 from eddyline.schemas import fields
+from eddyline.streaming import keys as state_keys
 from eddyline.streaming.runs import use_state_store
 
 WINDOW, LATE = "window", "late"
@@ -163,7 +164,7 @@ def window_firings(
     use_state_store(stream.sparkSession)
     of = width // step
     rows = timed(stream, ts).withWatermark(ts, bound).select(
-        *keys, micros(ts).alias("us"), F.col(tie).cast("long").alias("tie")
+        *state_keys.filled(stream, keys), micros(ts).alias("us"), F.col(tie).cast("long").alias("tie")
     )
     length = max(of, STRETCH_PANES if stretch is None else -(-span(stretch) // step))
     pane = bucket(F.col("us"), step)
@@ -171,14 +172,15 @@ def window_firings(
     # The last panes of a stretch are in windows of the next one too.
     parts = F.when(F.pmod(pane, F.lit(length)) + of <= length, F.array(own)).otherwise(F.array(own, own + 1))
     rows = rows.withColumn(_PART, F.explode(parts)).withColumn("home", F.col(_PART) == own)
-    schema = T.StructType([rows.schema[k] for k in keys] + FIRED.fields)
-    found = rows.groupBy(*keys, _PART).transformWithStateInPandas(
+    names = state_keys.names(keys)
+    schema = T.StructType([rows.schema[name] for name in names] + FIRED.fields)
+    found = rows.groupBy(*names, _PART).transformWithStateInPandas(
         statefulProcessor=Firings(schema.names, step, of, length, span(lateness)),
         outputStructType=schema,
         outputMode="append",
         timeMode="eventTime",
     )
     return found.select(
-        *keys, F.timestamp_micros("window_us").alias("window_end"), "firing", "cnt", "tag",
+        *state_keys.restored(keys), F.timestamp_micros("window_us").alias("window_end"), "firing", "cnt", "tag",
         F.timestamp_micros("us").alias("late_ts"), "tie",
     )

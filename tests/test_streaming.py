@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from eddyline.functions.times import span
 from eddyline.operators import distinct, joins, salting, windows
 from eddyline.sources import market
-from eddyline.streaming import filters, firings, leaders, processors, queries, runs, sinks
+from eddyline.streaming import filters, firings, leaders, limits, processors, queries, runs, sinks
 
 DDL = "key long, ts timestamp_ntz, tie long, kind string"
 FLUSH = (-1, 10_000_000, -1, "flush")
@@ -151,16 +151,41 @@ def test_failure_window(spark, fed):
     assert got == brute.failure_windows([(k, t, kind == "create") for k, t, _, kind in events], 3)
 
 
-def test_click_limit(spark, fed):
+@pytest.mark.parametrize("shares", [1, 4])
+def test_click_limit(spark, fed, shares):
     rng = random.Random(5)
     clicks = sorted((rng.randrange(2 * 86400), rng.choice([1, 1, 2])) for _ in range(200))
     events = [(k, t, i, "click") for i, (t, k) in enumerate(clicks)]
-    rows = detected(
-        fed([events[:90], events[90:]]), F.lit(0), processors.ClickLimit(20), spark
-    )
+    events += [(None, 2 * 86400 + i // 2, 200 + i, "click") for i in range(30)]
+    # Up to ten minutes out of order within what the watermark allows, and one row behind it.
+    arrived = sorted(events, key=lambda e: e[1] + rng.uniform(0, 600))
+    batches = [arrived[:90], arrived[90:150], [*arrived[150:], (7, 10, 999, "click")]]
+    found = limits.click_limit(fed(batches, "10 minutes"), ["key"], "ts", "tie", 20, shares)
+    rows = [(r.key, r.tie, r.tag) for r in runs.collected(found, "limited").collect() if r.key != -1]
     base = 1709251200
-    want = brute.click_filter([(k, base + t, i) for k, t, i, _ in events], 20)
-    assert sorted((r.key, r.first_tie, r.tag) for r in rows) == want
+    want = brute.click_filter([(-5 if k is None else k, base + t, i) for k, t, i, _ in events], 20)
+    want = [(None if k == -5 else k, i, tag) for k, i, tag in want] + [(7, 999, limits.LATE)]
+    assert sorted(rows, key=str) == sorted(want, key=str)
+
+
+def test_state_of_a_click_limit_is_bounded():
+    """A bot's clicks: a share holds and hands on limit + 1 rows of a day, and forgets the day behind it."""
+    state = FakeState()
+    stage = limits.FirstRows(["key0", "day", "at", "us", "tie", "late"], 1, 4)
+    stage.handle = stage.kept = state
+    handed, second = [], 1_000_000
+    for batch in range(6):
+        rows = pd.DataFrame({"us": [batch * 100 * second + (k % 50 + 1) * second for k in range(500)], "tie": range(500)})
+        key = (1, 0, 0)
+        assert list(stage.handleInputRows(key, iter([rows[:200], rows[200:]]), Watermark(batch * 100 * 1000))) == []
+        assert len(state.value[0]) == max(0, 4 - len(handed))
+        state.timers.clear()
+        handed += [r for out in stage.handleExpiredTimer(key, Watermark((batch + 1) * 100 * 1000), None) for r in out["tie"]]
+    assert handed == [0, 50, 100, 150]
+    (late,) = stage.handleInputRows((1, 0, 0), iter([rows[:3]]), Watermark(10**9))
+    assert late["late"].all() and len(late) == 3
+    list(stage.handleExpiredTimer((1, 0, 0), Watermark(limits._day_end(0)), None))
+    assert not state.exists()
 
 
 def test_windows_agree_with_batch(spark, fed):
@@ -389,6 +414,19 @@ def test_late_rows_of_a_detector_are_tagged(spark, fed, bound):
     assert [(r.first_tie, r.last_tie) for r in rows if r.tag == processors.LATE] == [(2, 2)]
 
 
+def test_null_keys_of_a_detector(spark, fed):
+    """A null key is a key of its own; the keys come in turn, so that mixed-up state would show."""
+    keys = [None, 1, 2, 3]
+    events = [(keys[i % 4], i // 8, i, ["create", "pay"][i // 4 % 2]) for i in range(64)]
+    stream = fed([events[:30], events[30:]]).where("kind <> 'flush' OR key = -1")
+    found = processors.detect(
+        stream, ["key"], "ts", "tie", kind_number("create", "pay"), processors.OrderState(us(15)), bound=us(15)
+    )
+    rows = runs.collected(found, "null-keys").where("key >= 0 OR key IS NULL").collect()
+    want = sorted(((keys[i % 4], i - 4, i, "paid") for i in range(64) if i // 4 % 2), key=str)
+    assert sorted(((r.key, r.first_tie, r.last_tie, r.tag) for r in rows), key=str) == want
+
+
 class FakeState:
     """Value, map and timer state of one key, with the rows read counted."""
 
@@ -507,12 +545,12 @@ def slow_firings(batches, size, slide, bound, lateness):
             for e in open_ends:
                 counts[key, e] += 1
                 changed.add((key, e))
-        for w in sorted(changed):
+        for w in sorted(changed, key=str):
             if w[1] <= passed:
                 fired[w] += 1
                 out.append((*w, fired[w], counts[w], "window", None))
         top = max([t for _, t, _, _ in rows] + ([] if top is None else [top]))
-        for w in sorted(counts):
+        for w in sorted(counts, key=str):
             if w[1] <= top - bound and not fired[w]:
                 fired[w] = 1
                 out.append((*w, 1, counts[w], "window", None))
@@ -522,7 +560,7 @@ def slow_firings(batches, size, slide, bound, lateness):
 @pytest.mark.parametrize("stretch", [None, "1 minute", "95 seconds"])
 def test_windows_fire_at_their_end_and_on_corrections(spark, fed, tmp_path, stretch):
     rng = random.Random(8)
-    rows = [(rng.choice([0, 0, 1]), rng.randrange(900), k, "x") for k in range(160)]
+    rows = [(rng.choice([0, 0, 1, None]), rng.randrange(900), k, "x") for k in range(160)]
     # Mostly in order, some behind by much, so that there are corrections and late rows.
     arrived = sorted(rows, key=lambda r: r[1] + (rng.randrange(300) if rng.random() < 0.3 else 0))
     batches = [arrived[k : k + 32] for k in range(0, 160, 32)]
