@@ -379,12 +379,12 @@ def login_fail_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _failure_sequence(
-    spark: SparkSession, folder: str, keys: list[str], within: str
+    spark: SparkSession, folder: str, keys: list[str], within: str, slot: str | None = None
 ) -> DataFrame:
     found = patterns.strict_sequence(
         _events(spark, folder), keys, "ts", ["event_id"],
         [Step("start", _failed()), Step("next", _failed())],
-        ["event_id", "user_id", "ts"], within, slot="1 day" if keys else "1 hour",
+        ["event_id", "user_id", "ts"], within, slot=slot,
     )
     return found.select(
         F.col("start.user_id").alias("user_id"),
@@ -397,8 +397,13 @@ def login_fail_strict_seq(spark: SparkSession, folder: str) -> DataFrame:
     return _failure_sequence(spark, folder, ["user_id"], "6 hours")
 
 
+def login_fail_strict_seq_slots(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for busy keys: pieces as long as a slot, without copies of rows."""
+    return _failure_sequence(spark, folder, ["user_id"], "6 hours", "1 day")
+
+
 def login_fail_strict_seq_global(spark: SparkSession, folder: str) -> DataFrame:
-    return _failure_sequence(spark, folder, [], "10 minutes")
+    return _failure_sequence(spark, folder, [], "10 minutes", "1 hour")
 
 
 def fail_runs(spark: SparkSession, folder: str) -> DataFrame:
@@ -424,11 +429,11 @@ def _paid():
     return F.col("event_type") == "purchase"
 
 
-def order_timeout_pattern(spark: SparkSession, folder: str) -> DataFrame:
+def _timeout_pattern(spark: SparkSession, folder: str, slot: str | None) -> DataFrame:
     found = patterns.relaxed_sequence(
         _events(spark, folder), ["user_id"], "ts", ["event_id"],
         [Step("create", _created()), Step("pay", _paid())],
-        ["event_id", "user_id"], "12 hours", slot="1 day",
+        ["event_id", "user_id"], "12 hours", slot=slot,
     )
     return found.select(
         F.col("create.user_id").alias("user_id"),
@@ -438,12 +443,30 @@ def order_timeout_pattern(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_timeout_state(spark: SparkSession, folder: str) -> DataFrame:
+def order_timeout_pattern(spark: SparkSession, folder: str) -> DataFrame:
+    return _timeout_pattern(spark, folder, None)
+
+
+def order_timeout_pattern_slots(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for busy keys: pieces as long as a slot, without copies of rows."""
+    return _timeout_pattern(spark, folder, "1 day")
+
+
+def _timeout_state(spark: SparkSession, folder: str, slot: str | None) -> DataFrame:
     return orders.order_states(
-        _events(spark, folder), "user_id", "ts", "event_id", _created(), _paid(), "12 hours", slot="1 day"
+        _events(spark, folder), "user_id", "ts", "event_id", _created(), _paid(), "12 hours", slot=slot
     )
 
 
+def order_timeout_state(spark: SparkSession, folder: str) -> DataFrame:
+    return _timeout_state(spark, folder, None)
+
+
+def order_timeout_state_slots(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for busy keys."""
+    return _timeout_state(spark, folder, "1 day")
+
+
 # --- payments and receipts: clicks and purchases of a user
 
 
@@ -511,8 +534,8 @@ BATCH: dict[str, Query] = {
         late_corrections, access_log_counts, behavior_csv_counts, pay_receipt_csv,
         channel_behavior_counts, channel_stats, province_peak_5s, market_source_counts, ad_clicks_by_province, click_blacklist,
         login_fail_window, login_fail_pairs, login_fail_alerts,
-        login_fail_strict_seq, login_fail_strict_seq_global, fail_runs,
-        order_timeout_pattern, order_timeout_state,
+        login_fail_strict_seq, login_fail_strict_seq_slots, login_fail_strict_seq_global, fail_runs,
+        order_timeout_pattern, order_timeout_pattern_slots, order_timeout_state, order_timeout_state_slots,
         pay_receipt_interval, pay_receipt_outer, pay_receipt_reconcile, pay_receipt_reconcile_all,
     )
 }

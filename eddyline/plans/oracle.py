@@ -260,10 +260,15 @@ FROM numbered WHERE n = 3""",
     "login_fail_strict_seq": _failure_sequence(
         "PARTITION BY user_id", "AND next_ts - ts < INTERVAL 6 HOUR"
     ),
+    "login_fail_strict_seq_slots": _failure_sequence(
+        "PARTITION BY user_id", "AND next_ts - ts < INTERVAL 6 HOUR"
+    ),
     "login_fail_strict_seq_global": _failure_sequence("", "AND next_ts - ts < INTERVAL 10 MINUTE"),
     "fail_runs": _failure_sequence("PARTITION BY user_id", ""),
     "order_timeout_pattern": _ORDER_PATTERN,
+    "order_timeout_pattern_slots": _ORDER_PATTERN,
     "order_timeout_state": _ORDER_STATE,
+    "order_timeout_state_slots": _ORDER_STATE,
     "pay_receipt_interval": """SELECT p.user_id, p.ts AS pay_ts, p.event_id AS pay_id,
        r.ts AS receipt_ts, r.event_id AS receipt_id
 FROM events p JOIN events r ON p.user_id = r.user_id

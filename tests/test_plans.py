@@ -60,6 +60,15 @@ def test_scans_read_only_needed_columns(spark, name, columns):
     assert {part.split(":")[0] for part in schema.split(",")} == columns
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["login_fail_strict_seq_slots", "order_timeout_pattern_slots", "order_timeout_state_slots", "pay_receipt_reconcile_all"],
+)
+def test_slots_copy_no_rows(spark, name):
+    text = plan(spark, name)
+    assert "Generate" not in text[text.index("== Physical Plan ==") :]
+
+
 @pytest.mark.parametrize(
     "name",
     ["login_fail_pairs", "login_fail_strict_seq", "order_timeout_pattern", "order_timeout_state"],
