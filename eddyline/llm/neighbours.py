@@ -1,7 +1,7 @@
 """Nearest neighbours by a block matrix join of int8 tiles.
 
 Queries and candidates are packed into blocks.  Every query block meets every candidate block in one
-tile, by an equality join on the tile's two block numbers.  In a tile the int8 products give every
+tile, by a sort-merge join on the tile's two block numbers.  In a tile the int8 products give every
 cosine up to a proven error: with u = s q + e for a unit vector, |u v - s t q r| is at most
 |s q| |f| + |e| |v|.  Only pairs whose upper bound reaches the k-th best lower bound survive; their
 cosines are computed from the original vectors in double precision and merged in a heap per query.
@@ -162,7 +162,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
         more = [F.col("block").alias("query_block")] if name == "q" else []
         return df.select("size", F.col("place").alias(mine), there, *kept, *more)
 
-    tiles = side(own, "q", "tile_row", "tile_column", columns).join(
+    # Spark would measure the queries before they are copied once per column, and broadcast the copies.
+    tiles = side(own, "q", "tile_row", "tile_column", columns).hint("merge").join(
         side(all_blocks, "c", "tile_column", "tile_row", rows), ["size", "tile_row", "tile_column"]
     )
 

@@ -61,3 +61,11 @@ def test_floats_and_no_rows(spark):
     assert (row.query_id, row["rank"], row.vec_id) == (0, 1, 1)
     assert row.score == pytest.approx(0.5**0.5)
     assert neighbours.nearest(frame.limit(0), F.lit(True), 5).count() == 0
+
+
+def test_copies_of_queries_are_not_broadcast(spark):
+    """Queries are copied once per block of candidates: with the input, that outgrows the driver."""
+    rows = [(k, [1.0, float(k)]) for k in range(100)]
+    frame = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    plan = neighbours.nearest(frame, F.col("vec_id") % 50 == 0, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
