@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddyline.functions.times import bucket, column_type, from_micros, micros, required, span
@@ -17,6 +17,8 @@ SEEN = "_seen_max"
 CLOSED = "_closed"
 #: Length of the slots of arrival time that are ordered on their own; busy streams need shorter ones.
 SLOT = "10 minutes"
+#: So many windows are counted together where panes are summed up to windows, or as many as a pane has.
+STRETCH_WINDOWS = 128
 
 
 def with_progress(
@@ -143,3 +145,56 @@ def late_corrections(
     return counts.where("first_cnt <> final_cnt").select(
         *keys, from_micros(F.col("_at") * step, kind).alias("window_end"), "first_cnt", "final_cnt"
     )
+
+
+def stretch_windows(size: str, slide: str) -> int:
+    """How many windows a stretch has."""
+    return max(span(size) // span(slide), STRETCH_WINDOWS)
+
+
+def stretches(window_end: str, size: str, slide: str) -> Column:
+    """Numbers of the stretches of windows that a pane is in, one or two; it goes by its last window's end."""
+    of, length = span(size) // span(slide), stretch_windows(size, slide)
+    last = bucket(micros(window_end), span(slide))
+    return F.array_distinct(F.array(bucket(last - (of - 1), length), bucket(last, length)))
+
+
+def windows_of_panes(
+    panes: DataFrame, keys: Sequence[str], size: str, slide: str, name: str = "cnt", only: DataFrame | None = None
+) -> DataFrame:
+    """Count of every sliding window from the counts that its panes had reached while it was open.
+
+    ``panes``: keys, ``window_end`` (of the pane's last window), ``CLOSED`` (how many of the pane's windows,
+    first ones first, were closed by then) and ``name``, the rows of the pane up to then; of rows with the
+    same ``CLOSED`` the largest count holds.  What a pane has grown by comes into its first open window and falls
+    out behind its last one, so a pane makes two rows and each window one, however many windows a row is in.
+    ``only``: a frame of ``_part``, the numbers of the ``stretches`` whose windows are wanted.
+    """
+    step = span(slide)
+    of, length = span(size) // step, stretch_windows(size, slide)
+    kind = column_type(panes, "window_end")
+    rows = panes.withColumn("_part", F.explode(stretches("window_end", size, slide)))
+    if only is not None:
+        rows = rows.join(only, "_part", "left_semi")
+    newest = (
+        rows.select(*keys, "_part", bucket(micros("window_end"), step).alias("_last"), CLOSED, name)
+        .repartition(*keys, "_part")
+        .groupBy(*keys, "_part", "_last", CLOSED)
+        .agg(F.max(name).alias("_n"))
+    )
+    before = F.lag("_n", 1, 0).over(Window.partitionBy(*keys, "_part", "_last").orderBy(CLOSED))
+    # Within the stretch: the first window that takes the growth, and the first one behind.
+    first = F.greatest(F.col("_last") - (of - 1) + F.col(CLOSED), F.col("_part") * length)
+    behind = F.least(F.col("_last") + 1, (F.col("_part") + 1) * length)
+    grown = newest.select(
+        *keys, "_part", (F.col("_n") - before).alias("_d"), first.alias("_first"), behind.alias("_behind")
+    ).where("_first < _behind")
+    change = lambda at, by: F.struct(at.alias("_at"), by.alias("_d"))
+    changes = F.array(change(F.col("_first"), F.col("_d")), change(F.col("_behind"), -F.col("_d")))
+    at = grown.select(*keys, "_part", F.explode(changes).alias("_c")).select(*keys, "_part", "_c.*")
+    line = Window.partitionBy(*keys, "_part").orderBy("_at")
+    counted = at.groupBy(*keys, "_part", "_at").agg(F.sum("_d").alias("_d")).select(
+        *keys, "_at", F.sum("_d").over(line).alias(name), F.lead("_at").over(line).alias("_until")
+    )
+    filled = counted.where(F.col(name) > 0).withColumn("_at", F.explode(F.sequence("_at", F.col("_until") - 1)))
+    return filled.select(*keys, from_micros(F.col("_at") * step, kind).alias("window_end"), name)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eddyline.functions.hashing import bitmap_offset
-from eddyline.functions.times import span, timed
+from eddyline.functions.times import interval, micros, span, timed
 from eddyline.operators.windows import sliding_counts, sliding_rows
 from eddyline.streaming.filters import met_sql
 
@@ -65,6 +65,7 @@ def late_sliding_counts(
     keys: Sequence[str],
     bound: str,
     lateness: str,
+    panes: bool = False,
 ) -> DataFrame:
     """Sliding counts that late rows still correct, for update mode and ``sinks.TopNTable``.
 
@@ -72,7 +73,25 @@ def late_sliding_counts(
     every micro-batch hands on the counts it changed, early and corrected ones alike.  Spark holds
     rows against the progress before the last micro-batch, so never drops one too early.
     ``sinks.LateRouter`` with the same figures keeps the rows that come later still.
+
+    ``panes`` hands on counts of slide-long panes instead, for a ``TopNTable`` with the same figures in
+    ``sliding``: a row is counted, kept and written once and not once per window.  ``window_end`` is that of
+    the pane's last window, until which it takes rows, and ``seen_us`` its largest event time.
     """
-    delay = f"{span(bound) + span(lateness)} microseconds"
-    # Panes would hold a window back until it is complete.
-    return sliding_counts(stream.withWatermark(ts, delay), ts, size, slide, keys, how=sliding_rows)
+    delay, step = span(bound) + span(lateness), span(slide)
+    if not panes:
+        # A window's count is complete in each micro-batch only if its rows are counted for it.
+        return sliding_counts(
+            stream.withWatermark(ts, f"{delay} microseconds"), ts, size, slide, keys, how=sliding_rows
+        )
+    if span(size) % step:
+        raise ValueError("panes need a size that is a multiple of the slide")
+    if stream.schema[ts].metadata.get("spark.watermarkDelayMs", 0) * 1000 > delay:
+        raise ValueError(f"the watermark on {ts} trails by more than the bound and the lateness")
+    # The time goes on to the pane's last window, and the watermark with it: as if it were not moved.
+    ahead = span(size) - step
+    moved = timed(stream, ts).withColumn("_last", F.col(ts) + interval(ahead))
+    counts = moved.withWatermark("_last", f"{delay + ahead} microseconds").groupBy(
+        F.window("_last", slide).alias("w"), *keys
+    ).agg(F.count(F.lit(1)).alias("cnt"), F.max(micros(ts)).alias("seen_us"))
+    return counts.select(*keys, F.col("w.end").alias("window_end"), "cnt", "seen_us")

@@ -7,6 +7,7 @@ rows behind.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eddyline.functions.times import bucket, micros, span
+from eddyline.operators import late
 from eddyline.operators.topn import top_n_changes, top_n_per_window
 from eddyline.schemas import fields
 
@@ -43,10 +45,35 @@ class Folder:
         self.files.delete(self._at(name), True)
 
 
+class Progress:
+    """The largest event time so far: one value, written anew by every micro-batch."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def upto(self, batch_id: int) -> int | None:
+        """In microseconds, as of a batch; none before the first one."""
+        try:
+            seen = self.spark.read.schema("us long").parquet(f"{self.path}/batch_id={batch_id}")
+        except AnalysisException:
+            return None
+        return seen.first()["us"]
+
+    def put(self, batch_id: int, *known: int | None) -> None:
+        us = F.lit(max((us for us in known if us is not None), default=None)).cast("long")
+        self.spark.range(1).select(us.alias("us")).write.mode("overwrite").parquet(
+            f"{self.path}/batch_id={batch_id}"
+        )
+
+
 #: So many runs of one length are merged into one of the next.
 FAN = 8
 
 
+def _date(day: str) -> dt.date:
+    return dt.date.fromisoformat(day.removeprefix("day="))
+
+
 class WindowValues:
     """One value per (window_end, key), of which each batch brings the changed ones.
 
@@ -57,13 +84,16 @@ class WindowValues:
     batch reads the days it touches.  Runs that a merged one covers stay for one more batch, so that one
     that is run again after a failure starts from the same state; a run counts once it is complete.
     ``keep`` (such as ``"30 days"``) drops days that are so much older than the newest.  Of an empty
-    table the columns are not known yet: ``latest`` then gives a frame without any.
+    table the columns are not known yet: ``latest`` then gives a frame without any.  ``also`` names further
+    columns of the key.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, key: str, value: str = "cnt", keep: str | None = None
+        self, spark: SparkSession, path: str, key: str, value: str = "cnt", keep: str | None = None,
+        also: Sequence[str] = (),
     ):
         self.spark, self.path, self.key, self.value = spark, path, key, value
+        self.keys = [key, *also]
         self.keep = None if keep is None else span(keep) // span("1 day")
         self.runs = Folder(spark, f"{path}/runs")
 
@@ -103,7 +133,7 @@ class WindowValues:
         return rows.select(*schema.names, F.split("run", "-")[1].cast("int").alias("_last"))
 
     def _newest(self, rows: DataFrame) -> DataFrame:
-        return rows.groupBy("window_end", self.key).agg(F.max_by(self.value, "_last").alias(self.value))
+        return rows.groupBy("window_end", *self.keys).agg(F.max_by(self.value, "_last").alias(self.value))
 
     def _write(self, rows: DataFrame, first: int, last: int) -> None:
         day = F.date_format("window_end", "yyyy-MM-dd").alias("day")
@@ -121,18 +151,28 @@ class WindowValues:
         if self.keep is None:
             return
         names = {run: self.runs.names(self._name(*run)) for run in needed}
-        dates = {n: dt.date.fromisoformat(n.removeprefix("day=")) for found in names.values() for n in found}
+        oldest = self._oldest(names.values())
         for run, found in names.items():
             for name in found:
-                if (max(dates.values()) - dates[name]).days > self.keep:
+                if _date(name) < oldest:
                     self.runs.remove(f"{self._name(*run)}/{name}")
 
+    def _oldest(self, days: Iterable[list[str]]) -> dt.date | None:
+        newest = max((_date(name) for found in days for name in found), default=None)
+        return newest and newest - dt.timedelta(self.keep)
+
+    def oldest(self) -> dt.date | None:
+        """The oldest day that is kept, if some are dropped."""
+        if self.keep is None:
+            return None
+        return self._oldest(self.runs.names(self._name(*run)) for run in self._cover())
+
     def put(self, batch: DataFrame, batch_id: int) -> list[str]:
         """Write a batch; returns the days it touched."""
         self._tidy(batch_id)
-        new = batch.select("window_end", self.key, self.value)
+        new = batch.select("window_end", *self.keys, self.value)
         if not Folder(self.spark, f"{self.path}/columns").holds("_SUCCESS"):
-            new.limit(0).write.mode("overwrite").parquet(f"{self.path}/columns")
+            self.spark.createDataFrame([], new.schema).limit(0).write.mode("overwrite").parquet(f"{self.path}/columns")
         self._write(new, batch_id, batch_id)
         length = 1
         while (batch_id + 1) % (length * FAN) == 0:
@@ -143,6 +183,10 @@ class WindowValues:
             self._write(merged, first, batch_id)
         return self.runs.names(self._name(batch_id, batch_id))
 
+    def written(self, upto: int | None = None, since: int = 0, days: list[str] | None = None) -> DataFrame:
+        """The values that the batches from one to another wrote, those that are out of date as well."""
+        return self._read(self._cover(upto, since), days).drop("_last")
+
     def latest(
         self, upto: int | None = None, touched_by: int | None = None, days: list[str] | None = None
     ) -> DataFrame:
@@ -156,35 +200,81 @@ class WindowValues:
         return self._newest(rows)
 
 
+def days_around(days: list[str], reach: int) -> list[str]:
+    """The folders of some days and of those up to ``reach`` days from one of them."""
+    near = {_date(d) + dt.timedelta(k) for d in days for k in range(-reach, reach + 1)}
+    return [f"day={d.isoformat()}" for d in sorted(near)]
+
+
 class TopNTable:
     """Top-N per window under corrections, and the change rows of every micro-batch.
 
     Feed it a windowed count in update mode: a key's newer count replaces the older one, the
     touched windows are ranked again, and what entered or left a list is written as ``+`` and
     ``-`` rows.
+
+    With ``sliding`` (size, slide, bound and lateness of ``queries.late_sliding_counts``) it takes counts of
+    panes.  A pane's count is kept beside the number of its windows that were closed for the batch, and a
+    window adds up what its panes had reached while it was open.  A window is closed for a batch as Spark
+    has it for late rows: by the progress before the batch before.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, key: str, n: int, keep: str | None = None
+        self, spark: SparkSession, path: str, key: str, n: int, keep: str | None = None,
+        sliding: tuple[str, str, str, str] | None = None,
     ):
-        self.spark, self.path, self.key, self.n = spark, path, key, n
-        self.counts = WindowValues(spark, f"{path}/counts", key, keep=keep)
+        self.spark, self.path, self.key, self.n, self.sliding = spark, path, key, n, sliding
+        also = () if sliding is None else (late.CLOSED,)
+        self.counts = WindowValues(spark, f"{path}/counts", key, keep=keep, also=also)
+        self.progress = Progress(spark, f"{path}/progress")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        days = self.counts.put(batch, batch_id)
+        days = self.counts.put(batch, batch_id) if self.sliding is None else self._put_panes(batch, batch_id)
         if not days:
             return
-        after = self._ranked(self.counts.latest(batch_id, batch_id, days))
-        before = self._ranked(self.counts.latest(batch_id - 1, batch_id, days))
+        after, before = (self._ranked(self._touched(upto, batch_id, days)) for upto in (batch_id, batch_id - 1))
         top_n_changes(before, after).write.mode("overwrite").parquet(
             f"{self.path}/changes/batch_id={batch_id}"
         )
 
+    def _put_panes(self, batch: DataFrame, batch_id: int) -> list[str]:
+        size, slide, bound, lateness = map(span, self.sliding)
+        # Spark's watermark begins at the epoch.
+        passed = max(0, (self.progress.upto(batch_id - 2) or 0) - bound - lateness)
+        ahead = F.lit(passed // slide) - (bucket(micros("window_end"), slide) - size // slide)
+        seen = Observation()
+        days = self.counts.put(
+            batch.withColumn(late.CLOSED, F.greatest(F.lit(0), ahead).cast("int")).observe(
+                seen, F.max("seen_us").alias("us")
+            ),
+            batch_id,
+        )
+        self.progress.put(batch_id, self.progress.upto(batch_id - 1), seen.get.get("us"))
+        return days
+
+    def _touched(self, upto: int, batch_id: int, days: list[str]) -> DataFrame:
+        """The counts as of a batch in the windows that a batch touched; of panes, also in those near them."""
+        if self.sliding is None:
+            return self.counts.latest(upto, batch_id, days)
+        size, slide = self.sliding[:2]
+        parts = F.explode(late.stretches("window_end", size, slide)).alias("_part")
+        # A stretch's windows have panes beyond both of its ends.
+        reach = -(-(late.stretch_windows(size, slide) * span(slide) + span(size)) // span("1 day"))
+        near = days_around(days, reach)
+        touched = self.counts.written(batch_id, batch_id, days).select(parts).distinct()
+        return self._windows(self.counts.written(upto, days=near), touched)
+
+    def _windows(self, panes: DataFrame, only: DataFrame | None = None) -> DataFrame:
+        counts = late.windows_of_panes(panes, [self.key], *self.sliding[:2], only=only)
+        oldest = self.counts.oldest()
+        # Windows of the last day that was dropped still have panes on the next one.
+        return counts if oldest is None else counts.where(F.to_date("window_end") >= F.lit(oldest))
+
     def _ranked(self, counts: DataFrame) -> DataFrame:
         return top_n_per_window(counts.select(self.key, "cnt", "window_end"), self.n, self.key)
 
     def current(self) -> DataFrame:
-        return self._ranked(self.counts.latest())
+        return self._ranked(self.counts.latest() if self.sliding is None else self._windows(self.counts.written()))
 
     def changes(self) -> DataFrame:
         path = f"{self.path}/changes"
@@ -221,18 +311,10 @@ class LateRouter:
         self.spark, self.path, self.ts = spark, path, ts
         self.size, self.slide = span(size), span(slide)
         self.delay = span(bound) + span(lateness)
-
-    def _progress_before(self, batch_id: int) -> int | None:
-        try:
-            seen = self.spark.read.schema("us long").parquet(
-                f"{self.path}/progress/batch_id={batch_id - 1}"
-            )
-        except AnalysisException:
-            return None
-        return seen.first()["us"]
+        self.progress = Progress(spark, f"{path}/progress")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        before = self._progress_before(batch_id)
+        before = self.progress.upto(batch_id - 1)
         us = micros(self.ts)
         last_end = bucket(us, self.slide) * self.slide + self.size
         late = F.lit(False) if before is None else last_end <= before - self.delay
@@ -244,11 +326,7 @@ class LateRouter:
             .partitionBy("tag")
             .parquet(f"{self.path}/rows/batch_id={batch_id}")
         )
-        known = [us for us in (before, seen.get.get("us")) if us is not None]
-        progress = F.lit(max(known, default=None)).cast("long")
-        self.spark.range(1).select(progress.alias("us")).write.mode("overwrite").parquet(
-            f"{self.path}/progress/batch_id={batch_id}"
-        )
+        self.progress.put(batch_id, before, seen.get.get("us"))
 
     def rows(self, tag: str) -> DataFrame:
         path = f"{self.path}/rows"
